@@ -5,7 +5,7 @@ Types are read from the variant and never from a cast: casts would turn "5" into
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Formats (fixed values).
@@ -15,22 +15,32 @@ DATETIME_FORMAT = (
 )
 
 
-def parse_document(text: Column) -> Column:
-    """The one JSON document in `text` as VARIANT, or NULL when the text is not exactly that.
+def staged(frame: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that later steps refer to without computing them again.
+
+    Catalyst would copy a projected expression into every filter and column that uses it, and so
+    parse the same text several times. It does not look through a generator.
+    """
+    return frame.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def with_document(frame: DataFrame, text: str, name: str = "_doc") -> DataFrame:
+    """Adds the one JSON document in `text` as VARIANT, or NULL when the text is not exactly that.
 
     The parser stops after the first document, so the text is parsed as the only element of an
     array: `{} x` and `1,2` then fail. Text that closes this array itself (`1] x`) is caught by a
     second parse inside an object, needed only where a `]` occurs.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    one = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
-    nested = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    closed = ~F.contains(text, F.lit("]")) | nested.isNotNull()
-    return F.when(one & closed, F.try_variant_get(listed, "$[0]", "variant"))
+    value, listed = F.col(text), F.col("_listed")
+    wrapped = staged(frame, _listed=F.try_parse_json(F.concat(F.lit("["), value, F.lit("]"))))
+    nested = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")))
+    first, second = (F.try_variant_get(listed, f"$[{i}]", "variant") for i in (0, 1))
+    exact = second.isNull() & (~F.contains(value, F.lit("]")) | nested.isNotNull())
+    return staged(wrapped, **{name: F.when(exact, first)}).drop("_listed")
 
 
 def kind(v: Column) -> Column:
-    """STRING, BIGINT, DECIMAL.., DOUBLE, BOOLEAN, VOID (JSON null), OBJECT.., ARRAY..; NULL if absent."""
+    """STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID (JSON null), OBJECT<..>, ARRAY<..>; NULL if absent."""
     return F.schema_of_variant(v)
 
 
@@ -38,12 +48,21 @@ def member(doc: Column, name: str) -> Column:
     return F.try_variant_get(doc, f"$.{name}", "variant")
 
 
-def text_member(doc: Column, name: str) -> Column:
-    """String member; NULL when absent or of another type."""
-    v = member(doc, name)
+def members(doc: Column, *names: str) -> Column:
+    """Struct of members, read in one pass over the object."""
+    fields = ", ".join(f"{n}: variant" for n in names)
+    return F.try_variant_get(doc, "$", f"struct<{fields}>")
+
+
+def text(v: Column) -> Column:
+    """String value; NULL when absent or of another type."""
     return F.when(kind(v) == "STRING", v.cast("string"))
 
 
+def text_member(doc: Column, name: str) -> Column:
+    return text(member(doc, name))
+
+
 def is_object(v: Column) -> Column:
     return F.coalesce(kind(v).startswith("OBJECT"), F.lit(False))
 
@@ -67,20 +86,36 @@ def instant_text(s: Column) -> Column:
     return F.when(s.rlike(DATETIME_FORMAT), F.try_to_timestamp(s))
 
 
-def numbers_map(v: Column, max_key: int | None = 64) -> Column:
-    """map<string,double> when `v` is an object of finite numbers (and bounded keys), else NULL."""
-    raw = F.try_variant_get(v, "$", "map<string,variant>")
-    numeric = F.forall(F.map_values(raw), lambda x: kind(x).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"))
-    values = F.try_variant_get(v, "$", "map<string,double>")
-    finite = F.forall(F.map_values(values), lambda x: F.abs(x) < float("inf"))
-    good = is_object(v) & numeric & finite
-    if max_key is not None:
-        good = good & F.forall(F.map_keys(raw), lambda k: length_between(k, 1, max_key))
-    return F.when(is_true(good), values)
+def variants(v: Column) -> Column:
+    return v.try_cast("map<string,variant>")
+
+
+def numbers(v: Column) -> Column:
+    return v.try_cast("map<string,double>")
+
+
+def strings(v: Column) -> Column:
+    return v.try_cast("map<string,string>")
+
+
+def numbers_valid(members: Column, values: Column, max_key: int = 64) -> Column:
+    """Whether an object's members are finite numbers under bounded keys (JSON numbers have three kinds)."""
+    return is_true(
+        F.forall(F.map_values(members), lambda x: kind(x).substr(1, 2).isin("BI", "DE", "DO"))
+        & F.forall(F.map_values(values), lambda x: F.abs(x) < float("inf"))
+        & F.forall(F.map_keys(members), lambda k: length_between(k, 1, max_key))
+    )
+
+
+def strings_valid(members: Column) -> Column:
+    return is_true(F.forall(F.map_values(members), lambda x: kind(x) == "STRING"))
+
+
+def numbers_map(v: Column) -> Column:
+    """map<string,double> when `v` is an object of finite numbers under bounded keys, else NULL."""
+    return F.when(is_object(v) & numbers_valid(variants(v), numbers(v)), numbers(v))
 
 
 def strings_map(v: Column) -> Column:
     """map<string,string> when `v` is an object of strings, else NULL."""
-    raw = F.try_variant_get(v, "$", "map<string,variant>")
-    good = is_object(v) & F.forall(F.map_values(raw), lambda x: kind(x) == "STRING")
-    return F.when(is_true(good), F.try_variant_get(v, "$", "map<string,string>"))
+    return F.when(is_object(v) & strings_valid(variants(v)), strings(v))

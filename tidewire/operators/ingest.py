@@ -46,8 +46,7 @@ def ingest_validate(requests: DataFrame, body: str = "body") -> DataFrame:
     """Adds `status` and `event` (the typed body) to single-event requests."""
     doc = F.col("_doc")
     return (
-        requests.withColumn("_doc", C.parse_document(F.col(body)))
-        .withColumn("event", _body(doc))
+        C.staged(C.with_document(requests, body), event=_body(doc))
         .withColumn(
             "status",
             F.when(doc.isNull(), BAD_JSON).when(~F.col("event.valid"), BAD_SCHEMA).otherwise(OK),
@@ -88,8 +87,7 @@ def ingest_batch(
     bodies = F.when(C.member(doc, "events").isNotNull(), F.transform(members, _body))
     accepted = F.size("_bodies").between(1, MAX_BATCH) & F.forall("_bodies", lambda b: b["valid"])
     rows = (
-        requests.withColumn("_doc", C.parse_document(F.col(body)))
-        .withColumn("_bodies", bodies)
+        C.staged(C.with_document(requests, body), _bodies=bodies)
         .filter(C.is_true(accepted))
         .select(request_id, received, F.posexplode("_bodies").alias("position", "event"))
     )
@@ -138,13 +136,8 @@ def mqtt_normalize(
             & (C.member(doc, "tags").isNull() | tags.isNotNull())
         ).alias("valid"),
     )
-    rows = (
-        mqtt_topics(messages, topic)
-        .withColumn("_doc", C.parse_document(F.col(payload)))
-        .filter(doc.isNotNull())
-        .withColumn("event", event)
-        .filter("event.valid")
-    )
+    parsed = C.with_document(mqtt_topics(messages, topic), payload).filter(doc.isNotNull())
+    rows = C.staged(parsed, event=event).filter("event.valid")
     return _canonical(rows, [message_id], received, "mqtt", [F.col(topic), F.col(message_id)])
 
 

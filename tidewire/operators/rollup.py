@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,9 +99,13 @@ def rollup_refresh(telemetry: DataFrame, as_of: datetime | str) -> DataFrame:
     return rollup_1m(refresh_range(telemetry, "time", "1m", as_of))
 
 
+def retention_start(as_of: datetime | str, days: int = 30) -> date:
+    """First day retention keeps: a one-day chunk goes as a whole, once all of it is too old."""
+    return (instant(as_of) - timedelta(days=days)).date()
+
+
 def retention_keep(telemetry: DataFrame, as_of: datetime | str, days: int = 30) -> DataFrame:
-    """Rows of the one-day chunks that end after `as_of - days`; a chunk goes as a whole."""
-    cutoff = (instant(as_of) - timedelta(days=days)).date()
+    cutoff = retention_start(as_of, days)
     kept = telemetry.filter(F.col("time") >= at(cutoff.isoformat()))
     if "event_date" in telemetry.columns:
         kept = kept.filter(F.col("event_date") >= F.lit(cutoff))

@@ -19,9 +19,10 @@ EVENT_COLUMNS = (
 )
 
 
-def _tags_valid(doc: Column, tags: Column) -> Column:
-    # Optional, yet a JSON null is not allowed: absent means no variant at all.
-    return C.member(doc, "tags").isNull() | tags.isNotNull()
+# Message field names of an event (fixed values).
+MESSAGE_FIELDS = (
+    "eventId", "deviceId", "timestamp", "ingestedAt", "schemaVersion", "metrics", "tags", "source",
+)
 
 
 def parse_events(log: DataFrame, value: str = "value") -> DataFrame:
@@ -29,31 +30,41 @@ def parse_events(log: DataFrame, value: str = "value") -> DataFrame:
 
     Precedence: empty, invalid_json, schema_invalid, ok.
     """
-    text = F.col(value)
-    doc = F.col("_doc")
-    parsed = log.withColumn("_doc", F.when(text != "", C.parse_document(text)))
-    fields = parsed.select(
-        *log.columns,
-        doc,
-        C.text_member(doc, "eventId").alias("_event_id"),
-        C.text_member(doc, "deviceId").alias("_device_id"),
-        C.instant_text(C.text_member(doc, "timestamp")).alias("_timestamp"),
-        C.instant_text(C.text_member(doc, "ingestedAt")).alias("_ingested_at"),
-        C.text_member(doc, "schemaVersion").alias("_schema_version"),
-        C.numbers_map(C.member(doc, "metrics")).alias("_metrics"),
-        C.strings_map(C.member(doc, "tags")).alias("_tags"),
-        C.text_member(doc, "source").alias("_source"),
+    c, text, doc = F.col, F.col(value), F.col("_doc")
+    opened = C.staged(
+        C.with_document(log, value),
+        _object=C.is_object(doc),
+        _m=C.members(doc, *MESSAGE_FIELDS),
+    )
+    metrics, tags = c("_m.metrics"), c("_m.tags")
+    fields = C.staged(
+        opened,
+        _event_id=C.text(c("_m.eventId")),
+        _device_id=C.text(c("_m.deviceId")),
+        _timestamp=C.instant_text(C.text(c("_m.timestamp"))),
+        _ingested_at=C.instant_text(C.text(c("_m.ingestedAt"))),
+        _schema_version=C.text(c("_m.schemaVersion")),
+        _metrics_object=C.is_object(metrics),
+        _metrics_members=C.variants(metrics),
+        _metrics=C.numbers(metrics),
+        _no_tags=tags.isNull(),
+        _tags_object=C.is_object(tags),
+        _tags_members=C.variants(tags),
+        _tags=C.strings(tags),
+        _source=C.text(c("_m.source")),
     )
     valid = C.is_true(
-        C.is_object(doc)
-        & F.col("_event_id").rlike(C.UUID_FORMAT)
-        & C.length_between(F.col("_device_id"), 1, 128)
-        & F.col("_timestamp").isNotNull()
-        & F.col("_ingested_at").isNotNull()
-        & (F.col("_schema_version") == SCHEMA_VERSION)
-        & F.col("_metrics").isNotNull()
-        & _tags_valid(doc, F.col("_tags"))
-        & F.col("_source").isin(*SOURCES)
+        c("_object")
+        & c("_event_id").rlike(C.UUID_FORMAT)
+        & C.length_between(c("_device_id"), 1, 128)
+        & c("_timestamp").isNotNull()
+        & c("_ingested_at").isNotNull()
+        & (c("_schema_version") == SCHEMA_VERSION)
+        & c("_source").isin(*SOURCES)
+        & c("_metrics_object")
+        & C.numbers_valid(c("_metrics_members"), c("_metrics"))
+        # Tags are optional, yet a JSON null is not allowed: absent means no variant at all.
+        & (c("_no_tags") | (c("_tags_object") & C.strings_valid(c("_tags_members"))))
     )
     status = (
         F.when(text.isNull() | (text == ""), EMPTY)
@@ -61,12 +72,9 @@ def parse_events(log: DataFrame, value: str = "value") -> DataFrame:
         .when(~valid, BAD_SCHEMA)
         .otherwise(OK)
     )
-    judged = fields.withColumn("status", status)
-    ok = F.col("status") == OK
-    return judged.select(
-        *log.columns,
-        "status",
-        *[F.when(ok, F.col(f"_{c}")).alias(c) for c in EVENT_COLUMNS],
+    ok = c("status") == OK
+    return C.staged(fields, status=status).select(
+        *log.columns, "status", *[F.when(ok, c(f"_{name}")).alias(name) for name in EVENT_COLUMNS]
     )
 
 
@@ -109,11 +117,11 @@ def device_status(devices: DataFrame, value: str = "value") -> DataFrame:
         & C.length_between(C.text_member(doc, "name"), 1, 128)
         & optional_text("model")
         & optional_text("region")
-        & _tags_valid(doc, C.strings_map(C.member(doc, "tags")))
+        & (C.member(doc, "tags").isNull() | C.strings_map(C.member(doc, "tags")).isNotNull())
     )
     status = F.when(doc.isNull(), BAD_JSON).when(~valid, BAD_SCHEMA).otherwise(OK)
     return (
-        devices.withColumn("_doc", C.parse_document(F.col(value)))
+        C.with_document(devices, value)
         .withColumn("status", status)
         .drop("_doc")
     )

@@ -2,58 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-# Spark's Kafka column layout; file-based logs use the same columns.
-EVENT_LOG = StructType.fromDDL(
-    "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
+from pyspark.sql.types import (
+    ArrayType, DataType, DoubleType, IntegerType, LongType, MapType, StringType, StructType, TimestampType,
 )
 
-EVENT = StructType.fromDDL(
-    "event_id string, device_id string, timestamp timestamp, ingested_at timestamp, "
-    "schema_version string, metrics map<string,double>, tags map<string,string>, source string"
+STRING, DOUBLE, INT, BIGINT, TIMESTAMP = StringType(), DoubleType(), IntegerType(), LongType(), TimestampType()
+METRICS_MAP = MapType(STRING, DOUBLE)
+TAGS_MAP = MapType(STRING, STRING)
+
+
+def record(**fields: DataType) -> StructType:
+    schema = StructType()
+    for name, kind in fields.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
+# Spark's Kafka column layout; file-based logs use the same columns.
+EVENT_LOG = record(
+    key=STRING, value=STRING, topic=STRING, partition=INT, offset=BIGINT, timestamp=TIMESTAMP
 )
 
-TELEMETRY = StructType.fromDDL(
-    "time timestamp, device_id string, event_id string, metrics map<string,double>, "
-    "tags map<string,string>, source string, ingested_at timestamp"
+TELEMETRY = record(
+    time=TIMESTAMP, device_id=STRING, event_id=STRING, metrics=METRICS_MAP, tags=TAGS_MAP,
+    source=STRING, ingested_at=TIMESTAMP,
 )
 
-BRONZE = StructType.fromDDL(
-    "event_id string, device_id string, timestamp timestamp, ingested_at timestamp, "
-    "schema_version string, source string, temperature double, humidity double, pressure double, "
-    "region string, model string, lat double, lon double, "
-    "metrics map<string,double>, tags map<string,string>"
+BRONZE = record(
+    event_id=STRING, device_id=STRING, timestamp=TIMESTAMP, ingested_at=TIMESTAMP,
+    schema_version=STRING, source=STRING, temperature=DOUBLE, humidity=DOUBLE, pressure=DOUBLE,
+    region=STRING, model=STRING, lat=DOUBLE, lon=DOUBLE, metrics=METRICS_MAP, tags=TAGS_MAP,
 )
 
 # Kept as strings: as integers the zero padding would be lost.
 BRONZE_PARTITIONS = ("year", "month", "day", "hour")
 
-ALERT = StructType.fromDDL(
-    "alert_id string, device_id string, rule_id string, severity string, message string, "
-    "value double, threshold double, triggered_at timestamp"
+ALERT = record(
+    alert_id=STRING, device_id=STRING, rule_id=STRING, severity=STRING, message=STRING,
+    value=DOUBLE, threshold=DOUBLE, triggered_at=TIMESTAMP,
 )
 
-RULE = StructType.fromDDL(
-    "rule_id string, device_id_pattern string, metric string, operator string, "
-    "threshold double, severity string, message string"
+RULE = record(
+    rule_id=STRING, device_id_pattern=STRING, metric=STRING, operator=STRING, threshold=DOUBLE,
+    severity=STRING, message=STRING,
 )
 
-WEATHER_RESPONSE = StructType.fromDDL(
-    "city string, current struct<time:string, temperature_2m:double, wind_speed_10m:double, "
-    "relative_humidity_2m:double, weather_code:int>"
+LATEST_STATE = record(
+    device_id=STRING, event_id=STRING, timestamp=TIMESTAMP, ingested_at=TIMESTAMP,
+    metrics=METRICS_MAP, tags=TAGS_MAP, source=STRING,
 )
 
-AIR_QUALITY_RESPONSE = StructType.fromDDL(
-    "location_id string, results array<struct<sensors:array<struct<parameter:struct<name:string>, "
-    "latest:struct<value:double, datetime:string>>>>>"
+WEATHER_RESPONSE = record(
+    city=STRING,
+    current=record(
+        time=STRING, temperature_2m=DOUBLE, wind_speed_10m=DOUBLE, relative_humidity_2m=DOUBLE, weather_code=INT
+    ),
 )
 
-MANIFEST = StructType.fromDDL("path string, processed_at timestamp")
-
-LATEST_STATE = StructType.fromDDL(
-    "device_id string, event_id string, timestamp timestamp, ingested_at timestamp, "
-    "metrics map<string,double>, tags map<string,string>, source string"
+AIR_QUALITY_RESPONSE = record(
+    location_id=STRING,
+    results=ArrayType(
+        record(
+            sensors=ArrayType(
+                record(parameter=record(name=STRING), latest=record(value=DOUBLE, datetime=STRING))
+            )
+        )
+    ),
 )
 
 # Topic names, consumer groups, live channels (fixed values).

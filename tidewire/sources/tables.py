@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tidewire.functions.times import at
 from tidewire.operators.flatten import with_hive_partitions
-from tidewire.operators.rollup import POLICIES, refresh_range, rollup_1m, rollup_from_1m
+from tidewire.operators.rollup import POLICIES, refresh_range, retention_start, rollup_1m, rollup_from_1m
 from tidewire.schemas import BRONZE, BRONZE_PARTITIONS, TELEMETRY
 
 WRITE_ROWS = 5_000_000
@@ -54,23 +54,24 @@ def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def drop_expired_partitions(spark: SparkSession, path: str, as_of: datetime | str, days: int = 30) -> list[str]:
-    """Deletes whole day partitions that retention no longer keeps; the rest is not rewritten."""
-    from tidewire.operators.rollup import retention_keep
-
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    dates = {s.getPath().getName(): s.getPath() for s in fs.listStatus(root) if s.isDirectory()}
-    days_of = {n: p for n, p in dates.items() if n.startswith("event_date=")}
-    if not days_of:
-        return []
-    listed = spark.createDataFrame([(n, n.split("=", 1)[1]) for n in days_of], "name string, day string")
-    chunks = listed.select("name", F.col("day").cast("timestamp").alias("time"))
-    kept = {r["name"] for r in retention_keep(chunks, as_of, days).collect()}
-    expired = sorted(set(days_of) - kept)
-    for name in expired:
-        fs.delete(days_of[name], True)
-    return expired
+    """Deletes the day partitions retention no longer keeps; the rest is not rewritten."""
+    first_kept = f"event_date={retention_start(as_of, days)}"
+    root, fs = _file_system(spark, path)
+    chunks = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+    expired = [c for c in chunks if c.getName().startswith("event_date=") and c.getName() < first_kept]
+    for chunk in expired:
+        fs.delete(chunk, True)
+    return sorted(c.getName() for c in expired)
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    root, fs = _file_system(spark, path)
+    return fs.exists(root)
 
 
 def write_bronze(bronze: DataFrame, path: str, flushed_at: Column, mode: str = "append") -> None:
@@ -132,10 +133,7 @@ def refresh_rollup(
     scope = refresh_range(source, time_col, interval, as_of)
     fresh = rollup_1m(scope) if interval == "1m" else rollup_from_1m(scope, interval)
     fresh = fresh.withColumn("event_date", F.to_date("bucket"))
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
+    if exists(spark, path):
         days = F.col("event_date").between(F.lit(start.date()), F.lit(end.date()))
         outside = (F.col("bucket") < at(start)) | (F.col("bucket") >= at(end))
         kept = spark.read.schema(fresh.schema).parquet(path).filter(days & outside)
