@@ -66,5 +66,5 @@ def metrics_long(events: DataFrame, *keep: str) -> DataFrame:
     return events.select(*keep, F.explode("metrics").alias("metric", "value"))
 
 
-def live_feed(events: DataFrame) -> DataFrame:
-    return events.select("event_id", "device_id", "metrics", "tags", "timestamp")
+def live_feed(events: DataFrame, *keep: str) -> DataFrame:
+    return events.select("event_id", "device_id", "metrics", "tags", "timestamp", *keep)

@@ -48,8 +48,11 @@ def one_row_per_event(telemetry: DataFrame) -> DataFrame:
     return telemetry.dropDuplicates(["event_id"])
 
 
-def rollup_1m(telemetry: DataFrame, sums: bool = False) -> DataFrame:
-    """Per (minute, device). `sums` adds the sums and counts that weighted rollups need."""
+def rollup_1m(telemetry: DataFrame, sums: bool = False, event_time: bool = False) -> DataFrame:
+    """Per (minute, device). `sums` adds the sums and counts that weighted rollups need.
+
+    `event_time` adds the column a stream must use to roll the result up further.
+    """
     readings = telemetry.select("time", "device_id", *[entry("metrics", m).alias(m) for m in METRICS])
     aggregates = []
     for m in METRICS:
@@ -61,12 +64,15 @@ def rollup_1m(telemetry: DataFrame, sums: bool = False) -> DataFrame:
     grouped = readings.groupBy(F.window("time", WIDTHS["1m"]).alias("_w"), "device_id").agg(
         *aggregates, F.count("*").alias("sample_count")
     )
-    return grouped.select(F.col("_w.start").alias("bucket"), *[c for c in grouped.columns if c != "_w"])
+    times = [F.col("_w.start").alias("bucket")]
+    if event_time:
+        times.append(F.window_time("_w").alias("bucket_time"))
+    return grouped.select(*times, *[c for c in grouped.columns if c != "_w"])
 
 
-def rollup_from_1m(one_minute: DataFrame, interval: str) -> DataFrame:
+def rollup_from_1m(one_minute: DataFrame, interval: str, time_col: str = "bucket") -> DataFrame:
     """Averages of minute averages (each minute counts the same), extremes and counts."""
-    grouped = one_minute.groupBy(F.window("bucket", WIDTHS[interval]).alias("_w"), "device_id").agg(
+    grouped = one_minute.groupBy(F.window(time_col, WIDTHS[interval]).alias("_w"), "device_id").agg(
         F.avg("avg_temperature").alias("avg_temperature"),
         F.min("min_temperature").alias("min_temperature"),
         F.max("max_temperature").alias("max_temperature"),

@@ -671,3 +671,69 @@ define(
          - greatest(0, coalesce(max(id) FILTER (event_type = 'error' AND id % 8 <> 3) + 1, -1))) AS BIGINT) AS lag
 FROM ev GROUP BY id % 8""",
 )
+
+# --- streams and file sinks: the same rows as the batch operators ----------------------------------
+
+define(
+    "src_event_log",
+    """SELECT dev AS key, r.value, CAST(r.id % 8 AS INTEGER) AS partition, r.id AS "offset", r.ts AS timestamp
+FROM raw r JOIN ev ON ev.id = r.id""",
+    STATUS,
+    RAW,
+)
+define(
+    "sink_event_log",
+    f"""SELECT dev AS key, 'ok' AS status, {uuid_v7('ts', 'id', '0')} AS event_id, value AS temperature, 'http' AS source
+FROM ev WHERE id % 10 IN (0, 1, 8, 9)""",
+)
+define(
+    "sink_alerts",
+    """SELECT device_id AS key, alert_id AS "alertId", device_id AS "deviceId", rule_id AS "ruleId", value FROM fired""",
+    FIRED,
+)
+ORACLE["dlq_stream"] = ORACLE["dlq_rows"]
+define(
+    "telemetry_stream",
+    """SELECT uuid AS event_id, dev AS device_id, date_trunc('millisecond', ts) AS time, CAST(ts AS DATE) AS event_date,
+       'http' AS source, value AS temperature, CAST(0 AS BIGINT) AS n_tags FROM status WHERE status = 'ok'""",
+    STATUS,
+)
+define(
+    "bronze_stream",
+    """SELECT uuid AS event_id, dev AS device_id, date_trunc('millisecond', ts) AS timestamp, value AS temperature,
+       CAST(NULL AS DOUBLE) AS humidity, CAST(NULL AS VARCHAR) AS region,
+       '2024' AS year, '02' AS month, '03' AS day, '04' AS hour FROM status WHERE status = 'ok'""",
+    STATUS,
+)
+ORACLE["silver_write"] = ORACLE["silver"]
+define("silver_stream", "SELECT event_id, device_id, temp_category, climate_zone, event_date FROM refined", REFINED)
+ORACLE["describe_table"] = (
+    "SELECT column_name, CAST(row_number() OVER (ORDER BY column_index) - 1 AS BIGINT) AS position "
+    "FROM duckdb_columns() WHERE table_name = 'lineitem'"
+)
+ORACLE["list_files"] = "SELECT unnest([{}]) AS name".format(
+    ", ".join(
+        f"'{t}.parquet'"
+        for t in (
+            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+            "embeddings", "pages", "benchmark", "labels", "conversations",
+        )
+    )
+)
+CLOSED = """closed AS (SELECT max(time) - INTERVAL {delay} MINUTE AS mark FROM tele)"""
+define(
+    "rollup_stream",
+    f"SELECT {M1_COLUMNS} FROM m1, closed WHERE bucket + INTERVAL 1 MINUTE <= mark",
+    minute(),
+    CLOSED.format(delay=10),
+)
+define(
+    "rollup_5m_stream",
+    "SELECT coarse.* FROM coarse, closed WHERE bucket + INTERVAL 5 MINUTE <= mark",
+    minute(),
+    coarse("5 minutes"),
+    CLOSED.format(delay=1),
+)
+define("realtime_dedup_stream", "SELECT event_id, device_id FROM tele")
+ORACLE["latest_state_stream"] = ORACLE["latest_state"]
+ORACLE["anomaly_stream"] = ORACLE["anomaly_zscore"]

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, DataType, DoubleType, IntegerType, LongType, MapType, StringType, StructType, TimestampType,
+    ArrayType, DataType, DateType, DoubleType, IntegerType, LongType, MapType,
+    StringType, StructType, TimestampType,
 )
 
-STRING, DOUBLE, INT, BIGINT, TIMESTAMP = StringType(), DoubleType(), IntegerType(), LongType(), TimestampType()
+STRING, DOUBLE, INT, BIGINT = StringType(), DoubleType(), IntegerType(), LongType()
+TIMESTAMP, DATE = TimestampType(), DateType()
 METRICS_MAP = MapType(STRING, DOUBLE)
 TAGS_MAP = MapType(STRING, STRING)
 
@@ -18,6 +20,11 @@ def record(**fields: DataType) -> StructType:
     return schema
 
 
+def extended(schema: StructType, **fields: DataType) -> StructType:
+    """A copy with more fields (StructType.add would change the original)."""
+    return StructType([*schema.fields, *record(**fields).fields])
+
+
 # Spark's Kafka column layout; file-based logs use the same columns.
 EVENT_LOG = record(
     key=STRING, value=STRING, topic=STRING, partition=INT, offset=BIGINT, timestamp=TIMESTAMP

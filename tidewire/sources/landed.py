@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewire.schemas import AIR_QUALITY_RESPONSE, WEATHER_RESPONSE
+from tidewire.schemas import AIR_QUALITY_RESPONSE, TIMESTAMP, WEATHER_RESPONSE, extended
 
 
 def _landing(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The landing time, written by the poller beside each response, stands for the time of the poll."""
-    return spark.read.schema(StructType(schema.fields).add("received_at", "timestamp")).json(path)
+    return spark.read.schema(extended(schema, received_at=TIMESTAMP)).json(path)
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:

@@ -6,12 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 from tidewire.functions.times import at
 from tidewire.operators.flatten import with_hive_partitions
 from tidewire.operators.rollup import POLICIES, refresh_range, retention_start, rollup_1m, rollup_from_1m
-from tidewire.schemas import BRONZE, BRONZE_PARTITIONS, TELEMETRY
+from tidewire.schemas import BRONZE, BRONZE_PARTITIONS, DATE, STRING, TELEMETRY, extended
 
 WRITE_ROWS = 5_000_000
 SILVER_ROW_GROUP_BYTES = 32 * 1024 * 1024
@@ -50,7 +50,7 @@ def write_telemetry(telemetry: DataFrame, path: str, mode: str = "append") -> No
 
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(StructType(TELEMETRY.fields).add("event_date", "date")).parquet(path)
+    return spark.read.schema(extended(TELEMETRY, event_date=DATE)).parquet(path)
 
 
 def drop_expired_partitions(spark: SparkSession, path: str, as_of: datetime | str, days: int = 30) -> list[str]:
@@ -74,6 +74,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root)
 
 
+def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the complete `prefix=<n>` directories below `path`, ascending."""
+    if not exists(spark, path):
+        return []
+    root, fs = _file_system(spark, path)
+    found = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{prefix}=") and exists(spark, f"{path}/{name}/_SUCCESS"):
+            found.append(int(name.split("=", 1)[1]))
+    return sorted(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    root, fs = _file_system(spark, path)
+    fs.delete(root, True)
+
+
 def write_bronze(bronze: DataFrame, path: str, flushed_at: Column, mode: str = "append") -> None:
     """Hourly Hive layout of the flush time, Snappy."""
     rows = with_hive_partitions(bronze, flushed_at)
@@ -87,10 +105,7 @@ def write_bronze(bronze: DataFrame, path: str, flushed_at: Column, mode: str = "
 
 
 def bronze_schema() -> StructType:
-    schema = StructType(BRONZE.fields)
-    for name in BRONZE_PARTITIONS:
-        schema = schema.add(name, StringType())
-    return schema
+    return extended(BRONZE, **dict.fromkeys(BRONZE_PARTITIONS, STRING))
 
 
 def read_bronze(spark: SparkSession, *paths: str) -> DataFrame:
