@@ -58,10 +58,11 @@ _SCORES = ("n_samples", "mean", "std_dev", "z_score", "is_anomaly")
 
 
 def _rolling(readings: DataFrame, partition: list[str]) -> DataFrame:
-    latest = Window.partitionBy(*partition).orderBy(*ORDER).rowsBetween(1 - WINDOW_SIZE, 0)
+    in_order = Window.partitionBy(*partition).orderBy(*ORDER)
+    latest = in_order.rowsBetween(1 - WINDOW_SIZE, 0)
     return readings.withColumns(
         {
-            "n_samples": F.count("value").over(latest),
+            "n_samples": F.least(F.row_number().over(in_order), F.lit(WINDOW_SIZE)).cast("bigint"),
             "mean": F.avg("value").over(latest),
             "std_dev": F.stddev_pop("value").over(latest),
         }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.functions.checks import staged
 from tidewire.functions.ids import uuid_v7
 from tidewire.functions.maps import entry
 from tidewire.functions.numbers import to_fixed
@@ -69,13 +70,13 @@ def _reported_at(text: Column) -> Column:
 
 def _event(rows: DataFrame, reported: Column, received: Column, metrics: Column, tags: Column) -> DataFrame:
     """Canonical events; a time that is given but unreadable drops the row."""
-    absent = reported.isNull() | (reported == "")
-    ts = _reported_at(reported)
     at = received.cast("timestamp")
-    return rows.filter(absent | ts.isNotNull()).select(
+    absent = reported.isNull() | (reported == "")
+    timed = staged(rows, _at=F.when(absent, at).otherwise(_reported_at(reported)))
+    return timed.filter("_at IS NOT NULL").select(
         uuid_v7(at, F.col("device_id"), at).alias("event_id"),
         "device_id",
-        F.when(absent, at).otherwise(ts).alias("timestamp"),
+        F.col("_at").alias("timestamp"),
         at.alias("ingested_at"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         metrics.alias("metrics"),
@@ -125,7 +126,7 @@ def aq_normalize(responses: DataFrame, received: str = "received_at") -> DataFra
         lambda s: (s["parameter"]["name"] != "") & s["latest"]["value"].isNotNull(),
     )
     rows = (
-        responses.withColumn("_sensors", usable)
+        staged(responses, _sensors=usable)
         .filter(F.size("_sensors") > 0)
         .join(air_quality_sites(responses.sparkSession), "location_id")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.session import cut_lineage
+
 BROADCAST_ROWS = 100_000
 
 
@@ -23,9 +25,11 @@ def lookup_join(
 ) -> DataFrame:
     """Inner equi-join of facts with a narrow lookup table.
 
-    A lookup of at most `max_rows` rows is broadcast, so facts do not move. A larger one is
-    replicated `salts` times and each key of the facts is spread over as many tasks.
+    The lookup is written once, as it is needed for its size and for the join. At most `max_rows`
+    rows are broadcast, so facts do not move. A larger lookup is replicated `salts` times and each
+    key of the facts is spread over as many tasks.
     """
+    dim = cut_lineage(dim, "lookup")
     if fits(dim, max_rows):
         return facts.join(F.broadcast(dim), on)
     salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")

@@ -22,7 +22,7 @@ def latest_ingestion(bronze: DataFrame) -> DataFrame:
     Spark keeps one row per event and task before the shuffle (WindowGroupLimit), so an event
     with very many copies does not pile up in one task.
     """
-    complete = bronze.dropna(subset=list(REQUIRED))
+    complete = bronze.filter(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED))
     ties = [
         F.col(f.name).desc_nulls_last()
         for f in bronze.schema.fields

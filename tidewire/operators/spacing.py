@@ -50,7 +50,7 @@ def _later_kept(times: DataFrame, keys: list[str], gap: int, fold_limit: int) ->
     """Kept (key, _t) pairs after each key's first, or None when no key spans the gap."""
     spans = times.groupBy(*keys).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     long_lived = spans.filter(F.col("_last") - F.col("_first") >= gap).select(*keys, "_first")
-    candidates = (
+    candidates = cut_lineage(
         times.join(long_lived, keys)
         .filter(F.col("_t") >= F.col("_first") + gap)
         .groupBy(*keys, "_t")
@@ -82,7 +82,6 @@ def _fold(candidates: DataFrame, keys: list[str], gap: int) -> DataFrame:
 
 def _follow_links(candidates: DataFrame, keys: list[str], gap: int) -> DataFrame:
     """Kept times of crowded keys, reached from each key's first time along links t -> first time >= t + gap."""
-    candidates = cut_lineage(candidates)
     starts = candidates.groupBy(*keys).agg(F.min("_first").alias("_t"))
     nodes = candidates.select(*keys, "_t").unionByName(starts)
     links = cut_lineage(_links(nodes, keys, gap))

@@ -37,12 +37,12 @@ def parse_events(log: DataFrame, value: str = "value") -> DataFrame:
         _m=C.members(doc, *MESSAGE_FIELDS),
     )
     metrics, tags = c("_m.metrics"), c("_m.tags")
-    fields = C.staged(
+    typed = C.staged(
         opened,
         _event_id=C.text(c("_m.eventId")),
         _device_id=C.text(c("_m.deviceId")),
-        _timestamp=C.instant_text(C.text(c("_m.timestamp"))),
-        _ingested_at=C.instant_text(C.text(c("_m.ingestedAt"))),
+        _timestamp_text=C.text(c("_m.timestamp")),
+        _ingested_at_text=C.text(c("_m.ingestedAt")),
         _schema_version=C.text(c("_m.schemaVersion")),
         _metrics_object=C.is_object(metrics),
         _metrics_members=C.variants(metrics),
@@ -53,6 +53,11 @@ def parse_events(log: DataFrame, value: str = "value") -> DataFrame:
         _tags=C.strings(tags),
         _source=C.text(c("_m.source")),
     )
+    fields = C.staged(
+        typed,
+        _timestamp=C.instant_text(c("_timestamp_text")),
+        _ingested_at=C.instant_text(c("_ingested_at_text")),
+    )
     valid = C.is_true(
         c("_object")
         & c("_event_id").rlike(C.UUID_FORMAT)

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tidewire.functions.maps import without_nulls
+from tidewire.schemas import BIGINT, DOUBLE, STRING, record
 from tidewire.session import configure
 
 X = F.expr
 
+EVENTS = record(
+    event_id=BIGINT, ts=TimestampNTZType(), user_id=BIGINT, event_type=STRING, value=DOUBLE, props=STRING
+)
+
 
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    # A given schema saves the job that would read it from the files.
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_id").alias("id"),
         "ts",
         "user_id",
@@ -23,6 +30,15 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Spreads rows over all cores when the input has fewer splits than cores, as one small file has.
+
+    Parsing text is heavy enough to pay for moving it; input with enough splits stays where it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
+
+
 def device(user_id: str = "user_id") -> Column:
     return X(f"concat('dev-', lpad(cast({user_id} % 20 as string), 4, '0'))")
 
@@ -110,7 +126,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log messages; `id % 20` decides which failure a message shows (FIXTURES.md)."""
-    e = source_events(spark, sf_dir).withColumn("at", X("concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\"), 'Z')"))
+    e = spread(source_events(spark, sf_dir), "id").withColumn("at", X("concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\"), 'Z')"))
 
     def body(**changes: str) -> Column:
         part = {
@@ -150,7 +166,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def http_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = source_events(spark, sf_dir)
+    e = spread(source_events(spark, sf_dir), "id")
     head = F.concat(F.lit('{"deviceId":"'), device(), F.lit('"'))
     metrics = F.concat(F.lit(',"metrics":{"temperature":'), F.col("value").cast("string"), F.lit("}"))
     stamp = X("concat(',\"timestamp\":\"', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\"), '+05:30\"')")
@@ -171,7 +187,7 @@ def http_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = source_events(spark, sf_dir)
+    e = spread(source_events(spark, sf_dir), "id")
     one = F.concat(
         F.lit('{"deviceId":"'), device(), F.lit('","metrics":{"temperature":'), F.col("value").cast("string"), F.lit("}}")
     )
@@ -190,7 +206,7 @@ def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mqtt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = source_events(spark, sf_dir)
+    e = spread(source_events(spark, sf_dir), "id")
     metrics = F.concat(F.lit('"metrics":{"temperature":'), F.col("value").cast("string"), F.lit("}"))
     stamp = X("concat(',\"timestamp\":\"', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\"), '+05:30\"')")
     k = F.col("id") % 20
@@ -219,7 +235,7 @@ def mqtt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed weather responses as text; one in nine is for a city that is not polled."""
-    e = source_events(spark, sf_dir)
+    e = spread(source_events(spark, sf_dir), "id")
     city = X(
         "element_at(array('San Francisco','New York','London','Tokyo','Sydney','Dubai','Singapore','Berlin',"
         "'Atlantis'), cast(user_id % 9 + 1 as int))"
@@ -242,7 +258,7 @@ def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def air_quality_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = source_events(spark, sf_dir)
+    e = spread(source_events(spark, sf_dir), "id")
     site = X("element_at(array('2178', '8118', '155', '2473', '9999'), cast(user_id % 5 + 1 as int))")
     at = "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), 'Z')"
     sensors = F.concat(
@@ -268,7 +284,7 @@ def air_quality_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def device_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device metadata as text, one per customer of the events table's users."""
-    e = source_events(spark, sf_dir)
+    e = spread(source_events(spark, sf_dir), "id")
     k = F.col("id") % 6
     head = F.concat(F.lit('{"deviceId":"'), device(), F.lit('"'))
     value = (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewire.functions.checks import staged
 from tidewire.schemas import AIR_QUALITY_RESPONSE, TIMESTAMP, WEATHER_RESPONSE, extended
 
 
@@ -25,5 +26,5 @@ def read_air_quality(spark: SparkSession, path: str) -> DataFrame:
 def parse_responses(raw: DataFrame, schema: StructType, text: str = "response") -> DataFrame:
     """Responses held as text in a column; unreadable ones become rows of NULLs."""
     names = [c for c in raw.columns if c != text]
-    parsed = raw.withColumn("_r", F.from_json(text, schema))
+    parsed = staged(raw, _r=F.from_json(text, schema))
     return parsed.select(*names, "_r.*")
