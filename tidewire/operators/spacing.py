@@ -42,6 +42,8 @@ def keep_spaced(
     extra = _later_kept(timed.select(*keys, "_t"), keys, gap, fold_limit)
     if extra is None:
         return first.drop("_t")
+    # Written, so that a small table is broadcast and the rows are not moved for it.
+    extra = cut_lineage(extra, "kept")
     later = first_of(timed.join(extra, [*keys, "_t"], "left_semi"), [*keys, "_t"])
     return first.unionByName(later).drop("_t")
 
@@ -49,17 +51,20 @@ def keep_spaced(
 def _later_kept(times: DataFrame, keys: list[str], gap: int, fold_limit: int) -> DataFrame | None:
     """Kept (key, _t) pairs after each key's first, or None when no key spans the gap."""
     spans = times.groupBy(*keys).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-    long_lived = spans.filter(F.col("_last") - F.col("_first") >= gap).select(*keys, "_first")
+    long_lived = cut_lineage(
+        spans.filter(F.col("_last") - F.col("_first") >= gap).select(*keys, "_first"), "long-lived"
+    )
+    if long_lived.isEmpty():
+        return None
     candidates = cut_lineage(
         times.join(long_lived, keys)
         .filter(F.col("_t") >= F.col("_first") + gap)
         .groupBy(*keys, "_t")
-        .agg(F.min("_first").alias("_first"))
+        .agg(F.min("_first").alias("_first")),
+        "candidates",
     )
     sizes = candidates.groupBy(*keys).agg(F.count("*").alias("_n"))
     largest = sizes.agg(F.max("_n")).first()[0]
-    if largest is None:
-        return None
     if largest <= fold_limit:
         return _fold(candidates, keys, gap)
     crowded = cut_lineage(sizes.filter(F.col("_n") > fold_limit).select(*keys))

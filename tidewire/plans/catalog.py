@@ -295,7 +295,9 @@ def history_1h(spark, sf):
 
 @query
 def history_envelope(spark, sf):
-    return history.history_envelope(_history(spark, sf, "raw"), DEVICE, "raw", FIRST, LAST)
+    envelope = history.history_envelope(_history(spark, sf, "raw"), DEVICE, "raw", FIRST, LAST)
+    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"}
+    return envelope.withColumn("data", F.to_json("data", options))
 
 
 # --- alerts and anomalies ------------------------------------------------------------------------

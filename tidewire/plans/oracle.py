@@ -341,6 +341,15 @@ WHERE device_id = 'dev-0001' AND time BETWEEN (SELECT max(time) FROM tele) - INT
   AND (SELECT max(time) FROM tele)
 ORDER BY time, event_id LIMIT 1000""",
 )
+define(
+    "history_envelope",
+    """SELECT 'dev-0001' AS device_id, 'raw' AS "interval", TIMESTAMP '2024-01-01 00:00:00' AS "from",
+       TIMESTAMP '2024-01-31 00:00:00' AS "to", count(*) AS count,
+       '[' || string_agg('{"time":"' || strftime(time, '%Y-%m-%dT%H:%M:%S.%gZ') || '","temperature":'
+         || coalesce(CAST(temperature AS VARCHAR), 'null') || ',"humidity":' || coalesce(CAST(humidity AS VARCHAR), 'null')
+         || ',"pressure":' || coalesce(CAST(pressure AS VARCHAR), 'null') || '}', ',' ORDER BY time) || ']' AS data
+FROM tele WHERE device_id = 'dev-0001'""",
+)
 define(
     "history_1m",
     """SELECT bucket AS time, round(avg_temperature + 1e-9, 6) AS temperature, round(avg_humidity + 1e-9, 6) AS humidity,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -12,6 +14,9 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 
 from tidewire.operators.anomaly import MIN_SAMPLES, WINDOW_SIZE, Z_THRESHOLD
 
+# Python workers get the processor's code with the query and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCORED = (
     StructType()
     .add("device_id", StringType())

@@ -168,15 +168,16 @@ def silver_batch(silver_path: str, runs_path: str) -> Callable[[DataFrame, int],
         spark = bronze.sparkSession
         bronze = bronze.persist()
         try:
-            days = bronze.agg(
-                F.min(F.to_date("timestamp")).alias("first"), F.max(F.to_date("timestamp")).alias("last")
-            ).first()
             fresh = silver.silver(bronze)
             schema = extended(fresh.schema, batch_id=BIGINT)
-            if days["first"] is not None and tables.exists(spark, silver_path):
-                earlier = spark.read.schema(schema).parquet(silver_path).filter(
-                    F.col("event_date").between(F.lit(days["first"]), F.lit(days["last"]))
-                    & (F.col("batch_id") < batch_id)
+            if tables.exists(spark, silver_path):
+                # The calendar bounds the number of days; only their partitions are read.
+                days = bronze.select(F.to_date("timestamp").alias("event_date")).distinct()
+                earlier = (
+                    spark.read.schema(schema)
+                    .parquet(silver_path)
+                    .filter(F.col("batch_id") < batch_id)
+                    .join(F.broadcast(days), "event_date", "left_semi")
                 )
                 fresh = fresh.join(earlier.select("event_id"), "event_id", "left_anti")
             (
