@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.times import micros
+from tidewire.operators.joins import BROADCAST_ROWS
 from tidewire.session import cut_lineage
 
 FOLD_LIMIT = 50_000
@@ -42,8 +43,6 @@ def keep_spaced(
     extra = _later_kept(timed.select(*keys, "_t"), keys, gap, fold_limit)
     if extra is None:
         return first.drop("_t")
-    # Written, so that a small table is broadcast and the rows are not moved for it.
-    extra = cut_lineage(extra, "kept")
     later = first_of(timed.join(extra, [*keys, "_t"], "left_semi"), [*keys, "_t"])
     return first.unionByName(later).drop("_t")
 
@@ -64,9 +63,11 @@ def _later_kept(times: DataFrame, keys: list[str], gap: int, fold_limit: int) ->
         "candidates",
     )
     sizes = candidates.groupBy(*keys).agg(F.count("*").alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0]
+    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
     if largest <= fold_limit:
-        return _fold(candidates, keys, gap)
+        kept = _fold(candidates, keys, gap)
+        # Few kept times are sent to the rows, so that the rows need not move for them.
+        return F.broadcast(kept) if total <= BROADCAST_ROWS else kept
     crowded = cut_lineage(sizes.filter(F.col("_n") > fold_limit).select(*keys))
     few = candidates.join(crowded, keys, "left_anti")
     many = candidates.join(crowded, keys, "left_semi")

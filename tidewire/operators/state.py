@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.times import at, instant
+from tidewire.operators.flatten import metrics_long
 from tidewire.schemas import LATEST_STATE
 
 STATE_TTL = timedelta(hours=1)
@@ -63,24 +64,26 @@ def device_get(state: DataFrame, device_id: str) -> DataFrame:
 
 
 def device_board(events: DataFrame, arrival: str = "ingested_at") -> DataFrame:
-    """Merged view per device: newest value of each metric, newest tags of an event that has any."""
+    """Merged view per device: newest value of each metric, newest tags of an event that has any.
+
+    Metrics and tags are reduced apart, so that an event's tags are not copied to each of its metrics.
+    """
     order = F.struct(arrival, "event_id")
-    readings = events.select(
-        "device_id", "tags", "timestamp", order.alias("_o"), F.explode_outer("metrics").alias("metric", "value")
+    latest = events.groupBy("device_id").agg(
+        F.max_by("tags", F.when(F.col("tags").isNotNull(), order)).alias("tags"),
+        F.max_by("timestamp", order).alias("timestamp"),
+    )
+    per_metric = (
+        metrics_long(events, "device_id", arrival, "event_id")
+        .groupBy("device_id", "metric")
+        .agg(F.max_by("value", order).alias("value"))
     )
-    tagged = F.when(F.col("tags").isNotNull(), F.col("_o"))
-    per_metric = readings.groupBy("device_id", "metric").agg(
-        F.max_by("value", "_o").alias("value"),
-        F.max_by("tags", tagged).alias("tags"),
-        F.max(tagged).alias("_tagged"),
-        F.max_by("timestamp", "_o").alias("timestamp"),
-        F.max("_o").alias("_o"),
+    merged = per_metric.groupBy("device_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value")))).alias("_metrics")
     )
-    pair = F.when(F.col("metric").isNotNull(), F.struct("metric", "value"))
-    return per_metric.groupBy("device_id").agg(
-        F.max_by("tags", "_tagged").alias("tags"),
-        F.max_by("timestamp", "_o").alias("timestamp"),
-        F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("metrics"),
+    none = F.create_map().cast("map<string,double>")
+    return latest.join(merged, "device_id", "left").select(
+        "device_id", "tags", "timestamp", F.coalesce("_metrics", none).alias("metrics")
     )
 
 
