@@ -87,8 +87,8 @@ def spaced_reference(rows, gap):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("fold_limit", [50_000, 5, 0])
-@pytest.mark.parametrize("gap", [1, 45, 90, 600])
+@pytest.mark.parametrize("fold_limit", [50_000, 5])
+@pytest.mark.parametrize("gap", [1, 90, 600])
 def test_spacing_equals_the_sequential_rule(spark, fold_limit, gap):
     rng = random.Random(gap)
     rows = [("hot", rng.randrange(0, 4000)) for _ in range(400)]

@@ -204,6 +204,8 @@ def test_rollup_streams_equal_batch_for_closed_windows(spark, tmp_path):
     mark = T0 + timedelta(seconds=7 * 599) - timedelta(minutes=2)
     batch = rollup.rollup_1m(data).filter(F.col("bucket") + F.expr("interval 1 minute") <= F.lit(mark))
     got = spark.read.parquet(str(tmp_path / "m"))
+    (message,) = jobs.aggregate_messages(got.orderBy("bucket", "device_id").limit(1)).collect()
+    assert message["key"] == "d0" and json.loads(message["value"])["bucket"] == "2024-01-01T00:00:00.000Z"
     assert values(got, "bucket", "device_id", "sample_count") == values(batch, "bucket", "device_id", "sample_count")
 
 
@@ -240,6 +242,8 @@ def test_telemetry_table_prunes_days_and_drops_expired_ones(spark, tmp_path):
     scan = result._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in scan and "TakeOrderedAndProject" in scan
     assert "EqualTo(device_id,d)" in scan and "GreaterThanOrEqual(time" in scan
+    listed = [r["path"].rsplit("/", 2)[1] for r in tables.list_files(spark, path).collect()]
+    assert sorted(set(listed)) == [f"event_date=2024-01-{d:02d}" for d in range(1, 11)]
     gone = tables.drop_expired_partitions(spark, path, datetime(2024, 2, 4, 18))
     assert gone == [f"event_date=2024-01-0{d}" for d in range(1, 5)]
     assert tables.read_telemetry(spark, path).count() == 6
@@ -295,3 +299,15 @@ def test_accepted_events_feed_the_anomaly_alerts(spark, tmp_path):
     finish(found.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path / "c")
     (alert,) = spark.read.parquet(str(tmp_path / "out")).collect()
     assert alert["rule_id"] == "anomaly-temperature" and alert["value"] == 500.0
+
+
+def test_many_copies_are_thinned_out_in_several_tasks(spark, tmp_path):
+    log = tmp_path / "log"
+    rows = log_rows(30)
+    land(log, "a.json", rows + [{**rows[0], "offset": 1000 + i} for i in range(300)])
+    land(log, "b.json", [{**rows[0], "offset": 2000 + i} for i in range(300)])
+    accepted = jobs.accepted_stream(read_log(spark, log), salts=4).select("event_id")
+    query = finish(accepted.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path / "c")
+    valid = validate.valid_events(batch_log(spark, log))
+    assert values(spark.read.parquet(str(tmp_path / "out"))) == values(valid.select("event_id").distinct())
+    assert len(query.lastProgress["stateOperators"]) == 2

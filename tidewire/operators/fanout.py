@@ -72,7 +72,7 @@ def live_fanout(messages: DataFrame, members: DataFrame) -> DataFrame:
     sizes = members.groupBy("audience").agg(F.count("*").alias("n_clients"))
     audiences = F.filter(F.array(F.lit(EVERYTHING), F.col("device_id")), lambda a: a.isNotNull())
     routed = messages.withColumn("audience", F.explode(F.array_distinct(audiences)))
-    return lookup_join(routed, sizes, ["audience"], ["message_id"])
+    return lookup_join(routed, sizes, ["audience"], ["message_id"], computed=True)
 
 
 def messages_sent(routed: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def messages_sent(routed: DataFrame) -> DataFrame:
 def client_feed(routed: DataFrame, members: DataFrame, client_id: str) -> DataFrame:
     """What one client receives."""
     mine = members.filter(F.col("client_id") == client_id).select("audience")
-    return lookup_join(routed, mine, ["audience"], ["message_id"])
+    return lookup_join(routed, mine, ["audience"], ["message_id"], computed=True)
 
 
 def live_device_filter(messages: DataFrame, device_id: str) -> DataFrame:

@@ -22,14 +22,16 @@ def lookup_join(
     salt_by: list[str],
     max_rows: int = BROADCAST_ROWS,
     salts: int = 64,
+    computed: bool = False,
 ) -> DataFrame:
     """Inner equi-join of facts with a narrow lookup table.
 
-    The lookup is written once, as it is needed for its size and for the join. At most `max_rows`
-    rows are broadcast, so facts do not move. A larger lookup is replicated `salts` times and each
-    key of the facts is spread over as many tasks.
+    At most `max_rows` rows are broadcast, so facts do not move. A larger lookup is replicated
+    `salts` times and each key of the facts is spread over as many tasks. A `computed` lookup is
+    written first, as it is needed both for its size and for the join.
     """
-    dim = cut_lineage(dim, "lookup")
+    if computed:
+        dim = cut_lineage(dim, "lookup")
     if fits(dim, max_rows):
         return facts.join(F.broadcast(dim), on)
     salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")

@@ -218,7 +218,7 @@ define(
 define(
     "silver_increment",
     """SELECT event_id, device_id, ingested_at, temp_category FROM refined
-WHERE source = 'http' AND timestamp >= TIMESTAMP '2024-01-16 00:00:00'""",
+WHERE timestamp >= TIMESTAMP '2024-01-16 00:00:00'""",
     REFINED,
 )
 TOTALS = """totals AS (
@@ -407,7 +407,7 @@ define(
 UNION ALL
 SELECT device_id, 'own-' || CAST(s_suppkey AS VARCHAR), 'info', s_name, value, 60, ingested_at
 FROM long JOIN supplier ON device_id = 'dev-' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0')
-WHERE s_suppkey < 20 AND metric = 'humidity' AND value >= 60""",
+WHERE metric = 'humidity' AND value >= 60""",
     FIRED,
 )
 define(
@@ -720,15 +720,6 @@ ORACLE["describe_table"] = (
     "SELECT column_name, CAST(row_number() OVER (ORDER BY column_index) - 1 AS BIGINT) AS position "
     "FROM duckdb_columns() WHERE table_name = 'lineitem'"
 )
-ORACLE["list_files"] = "SELECT unnest([{}]) AS name".format(
-    ", ".join(
-        f"'{t}.parquet'"
-        for t in (
-            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-            "embeddings", "pages", "benchmark", "labels", "conversations",
-        )
-    )
-)
 CLOSED = """closed AS (SELECT max(time) - INTERVAL {delay} MINUTE AS mark FROM tele)"""
 define(
     "rollup_stream",

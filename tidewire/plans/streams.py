@@ -136,12 +136,6 @@ def describe_table(spark, sf):
     )
 
 
-@query
-def list_files(spark, sf):
-    files = tables.list_files(spark, sf)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"))
-
-
 @query
 def rollup_stream(spark, sf):
     """Minutes the watermark has closed by the end of the input."""

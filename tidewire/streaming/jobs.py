@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidewire.functions.times import iso
 from tidewire.operators import alerts, fanout, flatten, rollup, silver, state, validate
 from tidewire.operators.anomaly import samples
 from tidewire.schemas import BIGINT, BRONZE_PARTITIONS, LATEST_STATE, extended
@@ -38,13 +39,18 @@ def parsed_stream(log: DataFrame) -> DataFrame:
     return validate.parse_events(log.withColumnRenamed("timestamp", "arrived_at"))
 
 
-def accepted_stream(parsed: DataFrame, ttl: str = PROCESSED_TTL) -> DataFrame:
+def accepted_stream(parsed: DataFrame, ttl: str = PROCESSED_TTL, salts: int = 1) -> DataFrame:
     """Valid events without those already processed within the TTL.
 
-    The watermark runs on arrival, so wrong device clocks do not drop events.
+    The watermark runs on arrival, so wrong device clocks do not drop events. Where single events
+    come in very many copies, `salts` > 1 thins them out in as many tasks first, at the price of a
+    second state store.
     """
-    valid = validate.valid_events(parsed)
-    return valid.withWatermark("arrived_at", ttl).dropDuplicatesWithinWatermark(["event_id"])
+    valid = validate.valid_events(parsed).withWatermark("arrived_at", ttl)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64("partition", "offset", "arrived_at"), F.lit(salts))
+        valid = valid.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
+    return valid.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def start(writer: DataStreamWriter, checkpoint: str, trigger: dict) -> StreamingQuery:
@@ -148,6 +154,12 @@ def coarse_rollup_stream(one_minute: DataFrame, interval: str) -> DataFrame:
     return rollup.rollup_from_1m(one_minute, interval, time_col="bucket_time")
 
 
+def aggregate_messages(one_minute: DataFrame) -> DataFrame:
+    """Rollup rows as messages of the aggregates topic, keyed by device."""
+    rows = one_minute.drop("bucket_time").withColumn("bucket", iso(F.col("bucket")))
+    return event_log.keyed_json(rows, "device_id")
+
+
 def silver_stream(spark: SparkSession, bronze_path: str, files: int = SILVER_FILES) -> DataFrame:
     """New bronze files; the checkpoint remembers which were processed."""
     return (
