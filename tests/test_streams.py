@@ -1,5 +1,6 @@
 import json
 import random
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tidewire.schemas import EVENT_LOG
 from tidewire.sources import event_log, tables
 from tidewire.streaming import jobs
 from tidewire.streaming.anomaly import anomaly_stream
-from tidewire.streaming.progress import gauges, offset_frames
+from tidewire.streaming.progress import ProgressLog, gauges, offset_frames
 
 T0 = datetime(2024, 1, 1)
 ALL = {"availableNow": True}
@@ -279,9 +280,18 @@ def test_landed_responses(spark, tmp_path):
 
 def test_gauges_and_offsets_from_progress(spark, tmp_path):
     land(tmp_path / "log", "a.json", log_rows(20))
-    writer = jobs.telemetry_job(read_log(spark, tmp_path / "log"), str(tmp_path / "t"))
-    query = finish(writer, tmp_path / "c")
+    watch = ProgressLog()
+    spark.streams.addListener(watch)
+    try:
+        writer = jobs.telemetry_job(read_log(spark, tmp_path / "log"), str(tmp_path / "t"))
+        query = finish(writer.queryName("telemetry"), tmp_path / "c")
+        deadline = time.time() + 30
+        while not watch.rows and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(watch)
     assert gauges(query)["input_rows"] >= 0
+    assert ("telemetry", 0, 22) in watch.rows
     progress = {"sources": [{"endOffset": '{"t":{"0":5,"1":7}}', "latestOffset": {"t": {"0": 9, "1": 7}}}]}
     done, end = offset_frames(spark, "g", progress)
     assert values(done) == [("g", "t", 0, 5), ("g", "t", 1, 7)] and values(end) == [("t", 0, 9), ("t", 1, 7)]

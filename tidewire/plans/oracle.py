@@ -162,7 +162,7 @@ FROM ev WHERE id % 20 BETWEEN 3 AND 6 OR id % 20 > 10""",
 define("event_id_v7", f"SELECT id, {uuid_v7('ts', chr(39) + 'telemetry.raw' + chr(39), 'id % 8', 'id')} AS uuid FROM ev")
 define(
     "rate_limit_audit",
-    """SELECT source AS key, date_trunc('minute', dense_ts) AS window_start, count(*) AS requests,
+    """SELECT CASE model WHEN 'SHT31' THEN region ELSE source END AS key, date_trunc('minute', dense_ts) AS window_start, count(*) AS requests,
        CAST(greatest(0, count(*) - 15) AS BIGINT) AS rejected
 FROM wide GROUP BY ALL""",
 )

@@ -30,6 +30,12 @@ def to_files(frame: DataFrame, writer_mode: str, path: str) -> str:
     return path
 
 
+def to_log(records: DataFrame, path: str) -> str:
+    """Writes (key, value) messages to a file log and returns its path."""
+    run(event_log.write_event_log(records, path, f"{path}-checkpoint", fmt="parquet"), f"{path}-checkpoint")
+    return path
+
+
 def log_files(spark: SparkSession, sf: str) -> str:
     """The raw log as JSON-lines files."""
     path = scratch_path(spark, "log")
@@ -63,7 +69,7 @@ def sink_event_log(spark, sf):
     """Normalised HTTP requests go to the log as messages and come back as valid events."""
     requests = frame_stream(adapter.http_requests(spark, sf), "requests")
     records = ingest.to_log_record(ingest.ingest_normalize(requests))
-    path = to_files(records, "append", scratch_path(spark, "records"))
+    path = to_log(records, scratch_path(spark, "records"))
     back = validate.parse_events(spark.read.parquet(path))
     return back.select("key", "status", "event_id", entry("metrics", "temperature").alias("temperature"), "source")
 
@@ -71,7 +77,7 @@ def sink_event_log(spark, sf):
 @query
 def sink_alerts(spark, sf):
     stream = frame_stream(_alerts(spark, sf), "alerts")
-    path = to_files(event_log.alert_messages(stream), "append", scratch_path(spark, TOPIC_ALERTS))
+    path = to_log(event_log.alert_messages(stream), scratch_path(spark, TOPIC_ALERTS))
     value = F.from_json("value", "alertId string, deviceId string, ruleId string, value double")
     return spark.read.parquet(path).select("key", value.alias("a")).select("key", "a.*")
 
