@@ -13,7 +13,7 @@ TABLES = (
     "conversations"
 ).split()
 
-QUERIES = entry_module.queries()
+QUERIES = dict(entry_module.QUERIES)
 ORACLE = entry_module.oracle_sql()
 
 
@@ -46,7 +46,7 @@ def test_query(name, spark, duck):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
 
 
 def test_entry_has_rows(spark):
