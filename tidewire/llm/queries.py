@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import langid, mixing, pieces, secrets, simhash
+from tidewire.llm import chat, langid, mincut, mixing, pieces, secrets, simhash, syncmers
 from tidewire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,16 @@ def op2_secret_ownership(spark, sf):
     )
 
 
+@query
+def op3_html_min_cut(spark, sf):
+    return mincut.extract(table(spark, sf, "pages"))
+
+
+@query
+def op5_closed_syncmers(spark, sf):
+    return syncmers.compare_with_edits(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op6_simhash_components(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -95,6 +105,18 @@ def op7_language_ppm(spark, sf):
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+CONTROLS_IN_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op9_chat_windows(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", CONTROLS_IN_TEXT), (-7, 1, "assistant", CONTROLS_IN_TEXT)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    return chat.read_back(chat.format_windows(turns.unionByName(planted), PIECES))
+
+
 @query
 def op10_sentencepiece(spark, sf):
     return pieces.round_trip(table(spark, sf, "documents"), PIECES)
