@@ -85,12 +85,13 @@ def plan_copies(
     a name that the documents have already gets underscores in front.
     """
     names = {n: fresh(docs, n) for n in ("size", "source_size", "target", "copies")}
-    own = {n: fresh(docs, n) for n in ("_mix_class", "_mix_bucket", "_mix_source", "_mix_start", "_mix_step", "_mix_rank")}
+    own = {n: fresh(docs, n) for n in ("_mix_class", "_mix_bucket", "_mix_source", "_mix_start", "_mix_step", "_mix_rank", "_mix_tie")}
     c_class, c_bucket, c_source = own["_mix_class"], own["_mix_bucket"], own["_mix_source"]
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     placed = (
         docs.withColumn(names["size"], word_count(F.col(text)))
         .withColumn(c_class, size_class(F.col(names["size"])))
+        .withColumn(own["_mix_tie"], F.xxhash64(text))
         .withColumn(c_bucket, F.conv(F.substring(digest, 1, 2), 16, 10).cast("int"))
         # A null can't be joined on: sources are told apart by a prefixed name.
         .withColumn(c_source, F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")))
@@ -129,7 +130,7 @@ def plan_copies(
             (F.col("_offset") + (F.col("_class_start") + F.col("_bucket_start")) * F.col("_step")).alias(own["_mix_start"]),
         )
     )
-    ties = [F.col(names["size"]), F.col(key), F.xxhash64(text)]
+    ties = [F.col(names["size"]), F.col(key), F.col(own["_mix_tie"])]
     rank = F.row_number().over(Window.partitionBy(c_source, c_class, c_bucket).orderBy(*ties))
 
     def crossed(rank: Column) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, langid, mincut, mixing, pieces, secrets, simhash, syncmers
+from tidewire.llm import chat, langid, mincut, mixing, pieces, secrets, simhash, substring, syncmers
 from tidewire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ def op3_html_min_cut(spark, sf):
     return mincut.extract(table(spark, sf, "pages"))
 
 
+@query
+def op4_substring_fm_index(spark, sf):
+    return substring.digest_kept(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op5_closed_syncmers(spark, sf):
     return syncmers.compare_with_edits(table(spark, sf, "documents").select("doc_id", "text"))
