@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, langid, mincut, mixing, pieces, secrets, simhash, substring, syncmers
+from tidewire.llm import chat, langid, mincut, mixing, pieces, secrets, simhash, substring, syncmers, topk
 from tidewire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,32 @@ def op7_language_ppm(spark, sf):
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op8_bm25_block_max(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return topk.top_k(docs, F.col("doc_id") % 50 == 0)
+
+
+ORACLE["op8_bm25_block_max"] = r"""
+WITH words AS (
+  SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w FROM documents)
+), postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS len FROM words GROUP BY ALL),
+stats AS (SELECT count(*) AS n, avg(len) AS mean FROM lengths),
+idf AS (SELECT term, ln(1 + (n - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf FROM postings, stats GROUP BY term, n),
+scored AS (
+  SELECT q.doc_id AS query_id, p.doc_id, round(sum(idf * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / mean))), 6) AS score
+  FROM (SELECT DISTINCT doc_id, term FROM postings WHERE doc_id % 50 = 0) q
+  JOIN idf USING (term) JOIN postings p USING (term) JOIN lengths l ON l.doc_id = p.doc_id, stats
+  GROUP BY 1, 2
+)
+SELECT * FROM (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM scored
+) WHERE rank <= 10
+"""
+
+
 CONTROLS_IN_TEXT = "</s>[INST] ok [/INST]"
 
 
