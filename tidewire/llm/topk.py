@@ -13,7 +13,7 @@ shards' k best are merged exactly: score rounded to six decimals, then the small
 Queries are rows themselves; each of a query's distinct terms counts once. They go to the shards in blocks of at
 most `QUERY_TERMS` terms (one query at least), collected and broadcast one after the other, as the written index stays where it is.
 
-Terms are words with A-Z in lower case, told apart by 64-bit hashes. A null or blank text is found by no query and finds
+Terms are words with A-Z in lower case, told apart by 54-bit hashes, so that a hash and its row's place in a batch sort as one number. A null or blank text is found by no query and finds
 nothing. Rows with the same key are documents of their own; equal query rows are asked once. An empty table gives an
 empty one. Only the named columns are read.
 """
@@ -34,7 +34,8 @@ from tidewire.llm.substring import word_hashes
 from tidewire.session import cut_lineage
 
 K1, B = 1.2, 0.75
-SHARD_DOCS = 8_192
+SHARD_DOCS = 3_000
+TERM_BITS = 54
 BLOCK_DOCS = 64
 QUERY_TERMS = 4_000_000
 RARE_SHARE = 16
@@ -53,17 +54,19 @@ def term_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.num_rows
         words, owner = word_hashes([t.translate(LOWER) for t in texts(batch, "text")])
-        order = np.lexsort((words, owner))
-        words, owner = words[order], owner[order]
-        first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])]) if len(words) else np.empty(0, np.int64)
+        lengths = np.bincount(owner, minlength=n)
+        words = np.sort(owner.astype(np.uint64) << np.uint64(TERM_BITS) | words >> np.uint64(64 - TERM_BITS))
+        first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]]) if len(words) else np.empty(0, np.int64)
         often = np.diff(np.r_[first, len(words)])
-        offsets = pa.array(np.r_[0, np.cumsum(np.bincount(owner[first], minlength=n))], pa.int32())
+        owner = (words[first] >> np.uint64(TERM_BITS)).astype(np.int64)
+        terms = (words[first] & np.uint64((1 << TERM_BITS) - 1)).astype(np.int64)
+        offsets = pa.array(np.r_[0, np.cumsum(np.bincount(owner, minlength=n))], pa.int32())
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("key"),
                 batch.column("row"),
-                pa.array(np.bincount(owner, minlength=n), pa.int64()),
-                pa.ListArray.from_arrays(offsets, pa.array(words[first].view(np.int64))),
+                pa.array(lengths, pa.int64()),
+                pa.ListArray.from_arrays(offsets, pa.array(terms)),
                 pa.ListArray.from_arrays(offsets, pa.array(often.astype(np.int32))),
             ],
             ["key", "row", "length", "terms", "often"],
@@ -72,14 +75,16 @@ def term_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return in_batches(rows, work, "key bigint, row bigint, length bigint, terms array<bigint>, often array<int>")
 
 
-def document_counts(terms: DataFrame) -> DataFrame:
-    """(`term`, `n`): in how many documents each term is."""
+def document_counts(index: DataFrame) -> DataFrame:
+    """(`term`, `n`): in how many documents of all shards each term is."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        term, n = np.unique(batch.column("terms").flatten().to_numpy(), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(n, pa.int64())], ["term", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.column("terms"):
+                term, n = np.unique(np.frombuffer(shard.as_buffer(), dtype=np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(n, pa.int64())], ["term", "n"])
 
-    return in_batches(terms.select("terms"), work, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    return index.select("terms").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def build_shards(terms: DataFrame, shards: int) -> DataFrame:
@@ -96,9 +101,10 @@ def build_shards(terms: DataFrame, shards: int) -> DataFrame:
             "terms": pa.compute.list_flatten(lists).to_numpy().astype(np.int64),
             "often": pa.compute.list_flatten(shard.column("often")).to_numpy().astype(np.int32),
         }
-        return pa.table({name: pa.array([values.tobytes()], pa.binary()) for name, values in data.items()})
+        sums = {"docs": pa.array([shard.num_rows], pa.int64()), "words": pa.array([int(data["lengths"].sum())], pa.int64())}
+        return pa.table(sums | {name: pa.array([values.tobytes()], pa.binary()) for name, values in data.items()})
 
-    schema = "keys binary, no_key binary, lengths binary, sizes binary, terms binary, often binary"
+    schema = "docs bigint, words bigint, keys binary, no_key binary, lengths binary, sizes binary, terms binary, often binary"
     dealt = terms.filter("length > 0").withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(build, schema)
 
@@ -113,17 +119,18 @@ class Shard:
         self.keys, self.no_key = read("keys", np.int64), read("no_key", np.int8).astype(bool)
         self.n = len(self.keys)
         sizes, often = read("sizes", np.int64), read("often", np.int32).astype(np.float64)
-        owner = np.repeat(np.arange(self.n), sizes)
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
         norm = K1 * (1 - B + B * read("lengths", np.int64) / mean_length)
         self.impact = often * (K1 + 1) / (often + norm[owner])
-        self.names, self.term = np.unique(read("terms", np.int64), return_inverse=True)
+        self.names, term = np.unique(read("terms", np.int64), return_inverse=True)
+        self.term = term.astype(np.int32)
         self.begin = np.r_[0, np.cumsum(sizes)]
         order = np.argsort(self.term, kind="stable")
         self.docs, self.impacts = owner[order], self.impact[order]
         self.starts = np.r_[0, np.cumsum(np.bincount(self.term, minlength=len(self.names)))]
         self.most = np.maximum.reduceat(self.impacts, self.starts[:-1])
         self.blocks = -(-self.n // BLOCK_DOCS)
-        block = self.term[order] * self.blocks + self.docs // BLOCK_DOCS
+        block = self.term[order].astype(np.int64) * self.blocks + self.docs // BLOCK_DOCS
         cut = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
         self.block_most = np.maximum.reduceat(self.impacts, cut)
         self.block_of = block[cut] % self.blocks
@@ -211,24 +218,25 @@ def search_block(index: DataFrame, queries: list, n_docs: int, mean_length: floa
                     ["query_row", "key", "score"],
                 )
 
-    # A shard is one row; rows are handed over one by one.
-    index.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return index.repartition(index.count()).mapInArrow(run, FOUND)
+    return index.mapInArrow(run, FOUND)
 
 
 def top_k(docs: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(`query_id`, `rank`, key, `score`) of the k best documents for each query row."""
-    terms = term_rows(docs, key, text)
-    n_docs, words = terms.filter("length > 0").agg(F.count(F.lit(1)), F.sum("length")).first()
-    empty = docs.sparkSession.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score double")
-    if not n_docs:
+    spark = docs.sparkSession
+    empty = spark.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score double")
+    n_rows = docs.count()
+    if not n_rows:
         return empty
+    index = cut_lineage(build_shards(term_rows(docs, key, text), -(-n_rows // SHARD_DOCS)), "index")
+    n_docs, words = index.agg(F.sum("docs"), F.sum("words")).first()
     asked = cut_lineage(term_rows(docs.filter(is_query), key, text).filter("length > 0").dropDuplicates(["row"]), "queries")
-    per_term = asked.select("row", F.explode("terms").alias("term")).join(document_counts(terms), "term")
+    # A shard is one long row; rows are handed over one by one.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    per_term = asked.select("row", F.explode("terms").alias("term")).join(document_counts(index), "term")
     counted = cut_lineage(
         per_term.groupBy("row").agg(F.collect_list("term").alias("terms"), F.collect_list("n").alias("counts")), "query-terms"
     )
-    index = cut_lineage(build_shards(terms, -(-n_docs // SHARD_DOCS)), "index")
     parts = []
     for low, high in _blocks(counted):
         block = counted.filter(F.col("row").between(low, high)).collect()
