@@ -5,9 +5,11 @@ keeps their terms (forward) and each term's documents (inverted), with the large
 every term in each block of `BLOCK_DOCS` documents. Document counts and the mean length are global, so scores do
 not depend on the shard.
 
-A query runs through a shard in three steps. Its rarer terms are summed up over their postings. For the other terms,
-the block maxima bound what any document of a block can still get; documents are visited in falling order of sum plus bound, scored
-exactly from their forward lists, and the visit ends when the bound falls below the k-th best score so far. The
+A query runs through a shard in steps. Its rarer terms are summed up over their postings. For the other terms,
+the block maxima bound what any document of a block can still get. The documents with the highest sum plus bound are scored
+exactly from their forward lists; the k-th best of them closes all documents whose bound is below it. What is still open
+is scored the same way if that reads fewer postings than the other terms have; else those terms are summed up, too, and
+only documents whose sum reaches the k-th best are scored. The
 shards' k best are merged exactly: score rounded to six decimals, then the smaller key.
 
 Queries are rows themselves; each of a query's distinct terms counts once. They go to the shards in blocks of at
@@ -34,7 +36,7 @@ from tidewire.llm.substring import word_hashes
 from tidewire.session import cut_lineage
 
 K1, B = 1.2, 0.75
-SHARD_DOCS = 3_000
+SHARD_DOCS = 1_500
 TERM_BITS = 54
 BLOCK_DOCS = 64
 QUERY_TERMS = 4_000_000
@@ -150,6 +152,12 @@ class Shard:
         values = self.weights[self.term[at]] * self.impact[at]
         return np.round(np.add.reduceat(values, np.cumsum(sizes) - sizes), DIGITS)
 
+    def _better(self, best: np.ndarray, scores: np.ndarray, visit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of those so far and of the visited documents."""
+        best, scores = np.r_[best, visit], np.r_[scores, self.exact(visit)]
+        order = np.lexsort((self.keys[best], self.no_key[best], -scores))[:k]
+        return best[order], scores[order]
+
     def search(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best documents and their scores."""
         at = np.minimum(np.searchsorted(self.names, terms), len(self.names) - 1)
@@ -166,36 +174,40 @@ class Shard:
         most = sums + np.repeat(bounds, BLOCK_DOCS)[: self.n]
         best, scores, floor = np.empty(0, dtype=np.int64), np.empty(0), 0.0
         open_ = np.flatnonzero(most > 0)
-        step = VISIT
-        while len(open_):
-            if len(open_) > step:
-                split = np.argpartition(-most[open_], step)
-                visit, open_ = open_[split[:step]], open_[split[step:]]
-            else:
-                visit, open_ = open_, open_[:0]
-            best, scores = np.r_[best, visit], np.r_[scores, self.exact(visit)]
-            order = np.lexsort((self.keys[best], self.no_key[best], -scores))[:k]
-            best, scores = best[order], scores[order]
+        if len(open_) > VISIT:
+            split = np.argpartition(-most[open_], VISIT)
+            visit, open_ = open_[split[:VISIT]], open_[split[VISIT:]]
+            best, scores = self._better(best, scores, visit, k)
             if len(best) == k:
                 floor = scores[-1]
-            # Ties with the k-th are looked at, too: the smaller key wins.
-            open_ = open_[most[open_] >= floor - 10**-DIGITS]
-            step *= 2
+        # Ties with the k-th are looked at, too: the smaller key wins.
+        slack = 10**-DIGITS
+        open_ = open_[most[open_] >= floor - slack]
+        frequent = at[~rare]
+        if (self.begin[open_ + 1] - self.begin[open_]).sum() > (self.starts[frequent + 1] - self.starts[frequent]).sum():
+            places, sizes = self._slices(self.starts, frequent)
+            sums = sums + np.bincount(self.docs[places], np.repeat(idf[~rare], sizes) * self.impacts[places], minlength=self.n)
+            if len(open_) > k:
+                floor = max(floor, -np.partition(-sums[open_], k - 1)[k - 1] - slack)
+            open_ = open_[sums[open_] >= floor - slack]
+        if len(open_):
+            best, scores = self._better(best, scores, open_, k)
         self.weights[at] = 0
         return best, scores
 
 
-def search_block(index: DataFrame, queries: list, n_docs: int, mean_length: float, k: int) -> DataFrame:
+def search_block(index: DataFrame, queries: pa.Table, n_docs: int, mean_length: float, k: int) -> DataFrame:
     """(`query_row`, `key`, `score`) of each shard's k best for a block of queries."""
+    queries = queries.combine_chunks()
+    counts = pa.compute.list_flatten(queries.column("counts")).to_numpy()
+    ends = np.cumsum(pa.compute.list_value_length(queries.column("terms")).to_numpy())[:-1]
     sent = index.sparkSession.sparkContext.broadcast(
-        [
-            (
-                q["row"],
-                np.array(q["terms"], dtype=np.int64),
-                np.log(1 + (n_docs - np.array(q["counts"]) + 0.5) / (np.array(q["counts"]) + 0.5)),
-            )
-            for q in queries
-        ]
+        (
+            queries.column("row").to_numpy(),
+            pa.compute.list_flatten(queries.column("terms")).to_numpy(),
+            np.log(1 + (n_docs - counts + 0.5) / (counts + 0.5)),
+            ends,
+        )
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +215,8 @@ def search_block(index: DataFrame, queries: list, n_docs: int, mean_length: floa
             for i in range(batch.num_rows):
                 shard = Shard(batch.slice(i, 1).to_pylist()[0], mean_length)
                 rows, keys, no_key, scores = [], [], [], []
-                for row, terms, idf in sent.value:
+                asked, terms_of_all, idf_of_all, ends = sent.value
+                for row, terms, idf in zip(asked, np.split(terms_of_all, ends), np.split(idf_of_all, ends), strict=True):
                     docs, found = shard.search(terms, idf, k)
                     rows.append(np.full(len(docs), row))
                     keys.append(shard.keys[docs])
@@ -239,7 +252,7 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", t
     )
     parts = []
     for low, high in _blocks(counted):
-        block = counted.filter(F.col("row").between(low, high)).collect()
+        block = counted.filter(F.col("row").between(low, high)).toArrow()
         parts.append(cut_lineage(search_block(index, block, n_docs, words / n_docs, k), "found"))
     if not parts:
         return empty
