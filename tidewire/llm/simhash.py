@@ -274,7 +274,10 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """Adds `component_id`, the smallest key reachable, to rows of (key, `fingerprint`, ...)."""
+    """Adds `component_id`, the smallest key reachable, to rows of (key, `fingerprint`, ...).
+
+    `component` is the smallest fingerprint reachable; it tells components apart whose keys clash.
+    """
     prints = cut_lineage(prints, "fingerprints")
     nodes = cut_lineage(prints.groupBy("fingerprint").agg(F.min(key).alias("low")), "nodes")
     reached = components(links(nodes, radius))
@@ -282,7 +285,7 @@ def near_duplicates(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS
         "label", F.coalesce("label", "fingerprint")
     )
     ids = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = cut_lineage(labelled.join(ids, "label").select("fingerprint", "component_id"), "components")
+    named = cut_lineage(labelled.join(ids, "label").select("fingerprint", "component_id", F.col("label").alias("component")), "components")
     return prints.join(named, "fingerprint")
 
 
@@ -293,16 +296,13 @@ def hex_digits(prints: Column) -> Column:
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """One document of each component, columns as they were: the one with the smallest key.
 
-    Of rows with the same key and text one stays; of rows with the same key and other text the one
-    whose text has the smaller hash.
+    A key counts before none; of a component's rows with the same key, one with the smallest hash of its text stays.
     """
     row, mark = fresh(docs, "_row"), fresh(docs, "_mark")
     marked = docs.withColumn(row, F.xxhash64(F.col(key), F.col(text)))
     found = near_duplicates(fingerprints(marked, key, text, (row,)), key, radius)
-    # Fingerprint zero and a null id still make a group: it is told apart by its fingerprint.
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
     stays = (
-        found.groupBy(*[g.alias(f"g{i}") for i, g in enumerate(group)])
+        found.groupBy("component")
         .agg(F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col(row).alias("r"))).alias("s"))
         .select(F.col("s.r").alias(row), F.coalesce(F.col("s.k").cast("string"), F.lit("")).alias(mark))
         .distinct()

@@ -253,7 +253,8 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", t
     parts = []
     for low, high in _blocks(counted):
         block = counted.filter(F.col("row").between(low, high)).toArrow()
-        parts.append(cut_lineage(search_block(index, block, n_docs, words / n_docs, k), "found"))
+        if block.num_rows:
+            parts.append(cut_lineage(search_block(index, block, n_docs, words / n_docs, k), "found"))
     if not parts:
         return empty
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("key").asc_nulls_last())
