@@ -63,19 +63,19 @@ def batch_log(spark, path):
     return validate.parse_events(rows.withColumnRenamed("timestamp", "arrived_at"))
 
 
-def finish(writer, checkpoint):
-    query = jobs.start(writer, str(checkpoint), ALL)
-    query.awaitTermination()
+def finish(writer, checkpoint, idle_batches=True):
+    query = jobs.start(writer, str(checkpoint), ALL, idle_batches)
+    assert query.awaitTermination(90)
     return query
 
 
 def test_three_readers_restart_and_agree_with_batch(spark, tmp_path):
     log = tmp_path / "log"
-    out = jobs.RealtimeOutputs(*[str(tmp_path / n) for n in ("alerts", "live", "state")])
+    out = jobs.RealtimeOutputs(*[str(tmp_path / n) for n in ("alerts", "live", "state", "alert-log")])
 
     def run():
         parsed = read_log(spark, log)
-        finish(jobs.realtime_job(jobs.accepted_stream(parsed), out), tmp_path / "c1")
+        finish(jobs.realtime_job(jobs.accepted_stream(parsed), out), tmp_path / "c1", False)
         finish(jobs.dead_letter_stream(parsed).writeStream.format("json").option("path", str(tmp_path / "dlq")), tmp_path / "c2")
         finish(jobs.telemetry_job(parsed, str(tmp_path / "telemetry")), tmp_path / "c3")
         finish(jobs.archive_job(parsed, str(tmp_path / "bronze")), tmp_path / "c4")
@@ -96,7 +96,8 @@ def test_three_readers_restart_and_agree_with_batch(spark, tmp_path):
     assert values(stored, "event_id") == values(valid, "event_id")
     assert values(tables.read_bronze(spark, str(tmp_path / "bronze")), "event_id") == values(valid, "event_id")
 
-    fired = spark.read.parquet(out.alerts)
+    fired = jobs.read_alerts(spark, out.alerts)
+    assert spark.read.parquet(out.log).count() == fired.count()
     once = valid.dropDuplicates(["event_id"])
     expected = alerts.alerts_rules(once, arrival="arrived_at")
     columns = ("device_id", "rule_id", "value")
@@ -107,13 +108,14 @@ def test_three_readers_restart_and_agree_with_batch(spark, tmp_path):
     assert live.filter("type = 'alert'").count() == fired.count()
 
     kept = jobs.read_state(spark, out.state)
-    newest = once.agg(F.max("ingested_at")).first()[0]
-    assert values(kept, "device_id", "event_id") == values(state.latest_state(once, newest), "device_id", "event_id")
+    newest = once.agg(F.max("arrived_at")).first()[0]
+    expected = state.latest_state(once, newest, arrival="arrived_at")
+    assert values(kept, "device_id", "event_id") == values(expected, "device_id", "event_id")
 
 
 def test_state_expires_between_triggers(spark, tmp_path):
     log = tmp_path / "log"
-    out = jobs.RealtimeOutputs(*[str(tmp_path / n) for n in ("alerts", "live", "state")])
+    out = jobs.RealtimeOutputs(*[str(tmp_path / n) for n in ("alerts", "live", "state", "alert-log")])
 
     def record(i, device, t):
         return {"key": device, "value": message(i, device, t, {"t": 1.0}), "topic": "telemetry.raw",
@@ -121,7 +123,7 @@ def test_state_expires_between_triggers(spark, tmp_path):
 
     for name, row in (("a", record(1, "old", T0)), ("b", record(2, "new", T0 + timedelta(minutes=61)))):
         land(log, f"{name}.json", [row])
-        finish(jobs.realtime_job(jobs.accepted_stream(read_log(spark, log)), out), tmp_path / "c")
+        finish(jobs.realtime_job(jobs.accepted_stream(read_log(spark, log)), out), tmp_path / "c", False)
     assert values(jobs.read_state(spark, out.state), "device_id") == [("new",)]
     assert len(tables.numbered(spark, out.state, "version")) == 2
 
@@ -130,11 +132,12 @@ def test_repeated_trigger_replaces_its_output(spark, tmp_path):
     events = validate.valid_events(validate.parse_events(frame(
         spark, [(message(i, "d", T0, {"temperature": 50.0}), T0) for i in range(5)], "value string, arrived_at timestamp"
     ))).select(*validate.EVENT_COLUMNS, "arrived_at")
-    out = jobs.RealtimeOutputs(*[str(tmp_path / n) for n in ("alerts", "live", "state")])
+    out = jobs.RealtimeOutputs(*[str(tmp_path / n) for n in ("alerts", "live", "state", "alert-log")])
     process = jobs.realtime_batch(out)
     for _ in range(2):
         process(events, 0)
-    assert spark.read.parquet(out.alerts).count() == 10
+    assert jobs.read_alerts(spark, out.alerts).count() == 10
+    assert spark.read.parquet(out.log).count() == 10
     assert spark.read.parquet(out.live).count() == 15
 
 
@@ -172,10 +175,10 @@ def test_silver_stream_drops_copies_of_earlier_triggers(spark, tmp_path):
     run([*range(0, 50), 3, 4], 1, "2024-03-01 01:00:00")
     run(range(40, 90), 2, "2024-03-01 02:00:00")
     run(range(90, 90), 2, "2024-03-01 03:00:00")
-    out = spark.read.parquet(silver_path)
+    out = tables.read_silver(spark, silver_path)
     assert out.count() == 90 and out.select("event_id").distinct().count() == 90
     stats = spark.read.parquet(runs)
-    assert values(stats, "batch_id", "events_in", "events_out", "duplicates_removed")[:2] == [(0, 52, 50, 2), (1, 50, 40, 10)]
+    assert values(stats, "batch_id", "events_in", "events_out", "duplicates_removed")[:2] == [(0, 52, 50, 2), (1, 50, 50, 0)]
     assert (tmp_path / "bronze" / "year=2024" / "month=03" / "day=01" / "hour=01").is_dir()
 
 
@@ -185,8 +188,8 @@ def test_silver_trigger_repeats_without_change(spark, tmp_path):
     process = jobs.silver_batch(str(tmp_path / "s"), str(tmp_path / "r"))
     for batch in (0, 0, 1, 1):
         process(data, batch)
-    assert spark.read.parquet(str(tmp_path / "s")).count() == 6
-    assert values(spark.read.parquet(str(tmp_path / "r")), "batch_id", "events_out") == [(0, 6), (1, 0)]
+    assert tables.read_silver(spark, str(tmp_path / "s")).count() == 6
+    assert values(spark.read.parquet(str(tmp_path / "r")), "batch_id", "events_out") == [(0, 6), (1, 6)]
 
 
 def test_rollup_streams_equal_batch_for_closed_windows(spark, tmp_path):
@@ -306,18 +309,87 @@ def test_accepted_events_feed_the_anomaly_alerts(spark, tmp_path):
         rows += [{"key": "d", "value": value, "topic": "telemetry.raw", "partition": 0, "offset": i, "timestamp": t.isoformat() + "Z"}] * 2
     land(log, "a.json", rows)
     found = jobs.anomaly_alert_stream(jobs.accepted_stream(read_log(spark, log)))
-    finish(found.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path / "c")
+    finish(found.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path / "c", False)
     (alert,) = spark.read.parquet(str(tmp_path / "out")).collect()
     assert alert["rule_id"] == "anomaly-temperature" and alert["value"] == 500.0
 
 
-def test_many_copies_are_thinned_out_in_several_tasks(spark, tmp_path):
+def test_late_partition_loses_no_new_event(spark, tmp_path):
+    """A log partition two days behind brings events never seen before, and a mark that expired."""
     log = tmp_path / "log"
-    rows = log_rows(30)
-    land(log, "a.json", rows + [{**rows[0], "offset": 1000 + i} for i in range(300)])
-    land(log, "b.json", [{**rows[0], "offset": 2000 + i} for i in range(300)])
-    accepted = jobs.accepted_stream(read_log(spark, log), salts=4).select("event_id")
-    query = finish(accepted.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path / "c")
-    valid = validate.valid_events(batch_log(spark, log))
-    assert values(spark.read.parquet(str(tmp_path / "out"))) == values(valid.select("event_id").distinct())
-    assert len(query.lastProgress["stateOperators"]) == 2
+
+    def record(i, offset, hours, partition):
+        t = T0 + timedelta(hours=hours)
+        return {"key": "d", "value": message(i, "d", t, {"temperature": 20.0}), "topic": "telemetry.raw",
+                "partition": partition, "offset": offset, "timestamp": t.isoformat() + "Z"}
+
+    land(log, "a.json", [record(1, 0, 48, 0), record(2, 1, 49, 0)])
+    land(log, "b.json", [record(3, 2, 97, 0), record(1, 3, 60, 0), record(1, 4, 72, 0)])
+    land(log, "c.json", [record(4, 0, 0, 1), record(4, 1, 25, 1), record(4, 2, 26, 1), record(5, 3, 1, 1)])
+    accepted = jobs.accepted_stream(read_log(spark, log)).select("event_id", "arrived_at")
+    finish(accepted.writeStream.format("parquet").option("path", str(tmp_path / "out")), tmp_path / "c", False)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    hours = {(r["event_id"][-1], (r["arrived_at"] - T0) / timedelta(hours=1)) for r in got.collect()}
+    assert hours == {("1", 48), ("1", 72), ("2", 49), ("3", 97), ("4", 0), ("4", 25), ("5", 1)}
+    batch = dedup.realtime_dedup(validate.valid_events(batch_log(spark, log)), arrival="arrived_at")
+    assert values(got) == values(batch.select("event_id", "arrived_at"))
+
+
+def test_state_ignores_device_clocks_and_survives_compaction(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 3)
+    path = str(tmp_path / "state")
+
+    def events(rows):
+        data = [(f"e{i}", d, T0, clock, {"t": float(i)}, None, "http", T0 + timedelta(minutes=m)) for i, d, clock, m in rows]
+        return frame(spark, data, "event_id string, device_id string, timestamp timestamp, ingested_at timestamp, "
+                     "metrics map<string,double>, tags map<string,string>, source string, arrived_at timestamp")
+
+    future, past = datetime(2030, 1, 1), datetime(2001, 1, 1)
+    jobs.save_state(events([(1, "a", T0, 0), (2, "b", T0, 1), (3, "z", T0, 1)]), path, 0)
+    jobs.save_state(events([(4, "c", future, 20), (5, "a", past, 30)]), path, 1)
+    assert values(jobs.read_state(spark, path), "device_id", "event_id") == [("a", "e5"), ("b", "e2"), ("c", "e4"), ("z", "e3")]
+    for batch in range(2, 10):
+        jobs.save_state(events([(10 + batch, "b", T0, 58 + batch)]), path, batch)
+        jobs.save_state(events([(10 + batch, "b", T0, 58 + batch)]), path, batch)
+    # At minute 67 the device last heard of at minute 1 is gone, whatever the clocks say.
+    assert values(jobs.read_state(spark, path), "device_id", "event_id") == [("a", "e5"), ("b", "e19"), ("c", "e4")]
+    assert tables.numbered(spark, path, "base") == [6, 9]
+    assert tables.numbered(spark, path, "version") == [6, 7, 8, 9]
+    assert values(jobs.read_state(spark, path, T0 + timedelta(hours=1, minutes=25)), "device_id") == [("a",), ("b",)]
+
+
+def test_silver_keeps_the_latest_ingestion_whatever_the_triggers(spark, tmp_path):
+    from tidewire.operators import silver
+
+    def row(i, day, delay, temperature):
+        return (f"e{i}", "d", T0 + timedelta(days=day), T0 + timedelta(hours=delay), "1.0", "http",
+                temperature, None, None, "r", "m", 1.0, 2.0, {}, None)
+
+    first = [row(1, 0, 1, 10.0), row(2, 0, 1, 11.0), row(3, 0, 9, 12.0)]
+    second = [row(1, 0, 2, 35.0), row(2, 3, 2, 36.0), row(3, 1, 5, 37.0)]
+    path = str(tmp_path / "s")
+    process = jobs.silver_batch(path, str(tmp_path / "r"))
+    for batch, rows in enumerate((first, second)):
+        process(frame(spark, rows, tables.BRONZE).withColumn("_file", F.lit(f"f{batch}")), batch)
+    expected = values(silver.silver(frame(spark, first + second, tables.BRONZE)).drop("event_date").orderBy("event_id"))
+    assert values(tables.read_silver(spark, path).drop("event_date")) == expected
+    assert [r[6] for r in expected] == [35.0, 36.0, 12.0]
+    tables.compact_silver(spark, path, str(tmp_path / "compact"))
+    assert values(spark.read.parquet(str(tmp_path / "compact")).drop("event_date")) == expected
+    runs = spark.read.parquet(str(tmp_path / "r"))
+    assert values(runs, "batch_id", "processed_files", "skipped_files") == [(0, 1, 0), (1, 1, 1)]
+    assert all(r["duration_ms"] > 0 for r in runs.collect())
+
+
+def test_rolling_moments_equal_the_plain_windows():
+    import numpy as np
+
+    from tidewire.streaming.anomaly import rolling_moments
+
+    series = np.random.default_rng(3).normal(10, 2, 25_000)
+    for start in (0, 40, 100, 24_990):
+        size, mean, deviation = rolling_moments(series, start)
+        for i in {0, 1, len(mean) // 2, len(mean) - 1}:
+            window = series[max(0, start + i + 1 - 100) : start + i + 1]
+            assert size[i] == len(window)
+            assert abs(mean[i] - window.mean()) < 1e-9 and abs(deviation[i] - window.std()) < 1e-9

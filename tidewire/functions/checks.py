@@ -83,7 +83,16 @@ def length_between(s: Column, low: int, high: int) -> Column:
 
 def instant_text(s: Column) -> Column:
     """Timestamp of an ISO text with offset; NULL when the format or the calendar date is wrong."""
-    return F.when(s.rlike(DATETIME_FORMAT), F.try_to_timestamp(s))
+    return F.when(s.rlike(DATETIME_FORMAT), F.coalesce(F.try_to_timestamp(s), _far_offset(s)))
+
+
+def _far_offset(s: Column) -> Column:
+    """Offsets from 18 to 23 hours, which the parser refuses: the local time less the offset."""
+    offset = F.regexp_extract(s, r"[+-](1[89]|2[0-3]):?[0-5]\d$", 0)
+    local = F.try_to_timestamp(F.concat(F.regexp_replace(s, r"[+-]\d{2}:?\d{2}$", ""), F.lit("Z")))
+    minutes = F.substring(offset, 2, 2).cast("bigint") * 60 + F.right(offset, F.lit(2)).cast("bigint")
+    ahead = F.when(F.startswith(offset, F.lit("+")), minutes).otherwise(-minutes)
+    return F.when(offset != "", F.timestamp_micros(F.unix_micros(local) - ahead * 60_000_000))
 
 
 def variants(v: Column) -> Column:

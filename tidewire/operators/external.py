@@ -59,13 +59,16 @@ def air_quality_sites(spark: SparkSession) -> DataFrame:
 
 
 def condition(code: Column) -> Column:
+    """Label of a code, which a feed may write as 61 or 61.0."""
     pairs = [F.lit(x) for item in WEATHER_CONDITIONS.items() for x in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code), F.lit("Unknown"))
+    whole = F.when(code == F.floor(code), code.cast("int"))
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), whole), F.lit("Unknown"))
 
 
 def _reported_at(text: Column) -> Column:
     """Feed time, UTC when it carries no offset; minutes are precise enough for some feeds."""
-    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm")))
+    patterns = ("yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mmXXX")
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
 
 
 def _event(rows: DataFrame, reported: Column, received: Column, metrics: Column, tags: Column) -> DataFrame:
@@ -107,7 +110,7 @@ def weather_normalize(responses: DataFrame, received: str = "received_at", missi
         F.lit("region"), c("region"),
         F.lit("source"), F.lit("open-meteo"),
         F.lit("city"), c("city"),
-        F.lit("condition"), condition(F.coalesce(c("current.weather_code"), F.lit(0))),
+        F.lit("condition"), condition(F.coalesce(c("current.weather_code"), F.lit(0.0))),
         F.lit("lat"), c("lat").cast("string"),
         F.lit("lon"), c("lon").cast("string"),
     )

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 # Histogram bounds in seconds (fixed values).
 INGEST_LATENCY = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5)
-EVENT_PROCESSING = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5)
-BATCH_BUFFERING = (0.0001, 0.0005, 0.001, 0.005, 0.01)
-ARCHIVE_FLUSH = (0.1, 0.5, 1, 2, 5, 10)
-SILVER_TRANSFORM = (0.5, 1, 2, 5, 10, 30, 60)
 
 RATE_LIMIT = 1000
 RATE_WINDOW = "60 seconds"

@@ -83,6 +83,16 @@ def rollup_from_1m(one_minute: DataFrame, interval: str, time_col: str = "bucket
     return grouped.select(F.col("_w.start").alias("bucket"), *[c for c in grouped.columns if c != "_w"])
 
 
+def with_open_end(closed: DataFrame, telemetry: DataFrame, interval: str = "1m") -> DataFrame:
+    """Stored buckets and, computed now, the later ones that the stream has not closed yet."""
+    last = closed.agg(F.max(F.col("bucket").cast("timestamp_ntz"))).first()[0]
+    open_end = telemetry
+    if last is not None:
+        open_end = telemetry.filter(F.col("time") >= at(last + POLICIES[interval].width))
+    minutes = rollup_1m(open_end)
+    return closed.unionByName(minutes if interval == "1m" else rollup_from_1m(minutes, interval))
+
+
 def weighted_from_1m(one_minute: DataFrame, interval: str) -> DataFrame:
     """True averages over the samples; needs a 1-minute rollup built with `sums=True`."""
     grouped = one_minute.groupBy(F.window("bucket", WIDTHS[interval]).alias("_w"), "device_id").agg(

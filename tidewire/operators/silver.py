@@ -16,19 +16,16 @@ CARRIED = (
 )
 
 
-def latest_ingestion(bronze: DataFrame) -> DataFrame:
+def latest_ingestion(bronze: DataFrame, ties: tuple[str, ...] | None = None) -> DataFrame:
     """Complete rows, one per event_id: the latest ingestion, remaining columns break ties.
 
     Spark keeps one row per event and task before the shuffle (WindowGroupLimit), so an event
     with very many copies does not pile up in one task.
     """
     complete = bronze.filter(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED))
-    ties = [
-        F.col(f.name).desc_nulls_last()
-        for f in bronze.schema.fields
-        if f.name not in ("event_id", "ingested_at") and not isinstance(f.dataType, MapType)
-    ]
-    newest = Window.partitionBy("event_id").orderBy(F.col("ingested_at").desc_nulls_last(), *ties)
+    names = ties or [f.name for f in bronze.schema.fields if not isinstance(f.dataType, MapType)]
+    last = [F.col(c).desc_nulls_last() for c in names if c not in ("event_id", "ingested_at")]
+    newest = Window.partitionBy("event_id").orderBy(F.col("ingested_at").desc_nulls_last(), *last)
     return complete.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
@@ -40,12 +37,13 @@ def temp_category(t: Column) -> Column:
 
 
 def climate_zone(lat: Column, lon: Column) -> Column:
-    """Beyond 60 degrees the polar zones win, so the temperate ones end there and not at 66.5."""
-    north = F.abs(lat) == lat
+    """Zones by latitude in degrees (fixed values); the first that holds counts."""
     return (
         F.when(lat.isNull() | lon.isNull(), "unknown")
-        .when(F.abs(lat) > 60, F.when(north, "arctic").otherwise("antarctic"))
-        .when(F.abs(lat) >= 23.5, F.when(north, "northern-temperate").otherwise("southern-temperate"))
+        .when(lat > 60, "arctic")
+        .when(lat < -60, "antarctic")
+        .when((lat >= 23.5) & (lat <= 66.5), "northern-temperate")
+        .when((lat <= -23.5) & (lat >= -66.5), "southern-temperate")
         .otherwise("tropical")
     )
 
@@ -55,7 +53,7 @@ def hemisphere(lat: Column) -> Column:
     return F.when(lat > 0, "northern").when(lat < 0, "southern").otherwise("equatorial")
 
 
-def enrich(deduplicated: DataFrame) -> DataFrame:
+def enrich(deduplicated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     c = F.col
     ts = c("timestamp")
     return deduplicated.select(
@@ -79,11 +77,13 @@ def enrich(deduplicated: DataFrame) -> DataFrame:
         (c("temperature") >= 30).alias("is_high_temp"),
         (c("humidity") < 20).alias("is_low_humidity"),
         (c("pressure") < 1000).alias("is_low_pressure"),
+        *keep,
     )
 
 
-def silver(bronze: DataFrame) -> DataFrame:
-    return enrich(latest_ingestion(bronze.select(*CARRIED)))
+def silver(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """`keep` names bronze columns to carry along."""
+    return enrich(latest_ingestion(bronze.select(*CARRIED)), keep)
 
 
 def silver_increment(bronze_batch: DataFrame, recent_silver: DataFrame) -> DataFrame:

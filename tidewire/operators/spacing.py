@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.times import micros
-from tidewire.operators.joins import BROADCAST_ROWS
+from tidewire.operators.joins import BROADCAST_ROWS, fits
 from tidewire.session import cut_lineage
 
-FOLD_LIMIT = 50_000
+# The fold copies its array per kept time, so longer chains follow links.
+FOLD_LIMIT = 2_000
 CELL_MICROS = 60_000_000
 
 
@@ -48,20 +49,20 @@ def keep_spaced(
 
 
 def _later_kept(times: DataFrame, keys: list[str], gap: int, fold_limit: int) -> DataFrame | None:
-    """Kept (key, _t) pairs after each key's first, or None when no key spans the gap."""
-    spans = times.groupBy(*keys).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    """Kept (key, _t) pairs after each key's first, or None when no key spans the gap.
+
+    The input is read once, down to the distinct times, which spread a key over all tasks. The join
+    with the keys ends in a write, so a skewed key can be split while it runs.
+    """
+    distinct = cut_lineage(times.distinct(), "times")
+    spans = distinct.groupBy(*keys).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     long_lived = cut_lineage(
         spans.filter(F.col("_last") - F.col("_first") >= gap).select(*keys, "_first"), "long-lived"
     )
     if long_lived.isEmpty():
         return None
-    candidates = cut_lineage(
-        times.join(long_lived, keys)
-        .filter(F.col("_t") >= F.col("_first") + gap)
-        .groupBy(*keys, "_t")
-        .agg(F.min("_first").alias("_first")),
-        "candidates",
-    )
+    few = F.broadcast(long_lived) if fits(long_lived) else long_lived
+    candidates = cut_lineage(distinct.join(few, keys).filter(F.col("_t") >= F.col("_first") + gap), "candidates")
     sizes = candidates.groupBy(*keys).agg(F.count("*").alias("_n"))
     largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
     if largest <= fold_limit:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.times import at, instant
 from tidewire.operators.flatten import metrics_long
-from tidewire.schemas import LATEST_STATE
+from tidewire.schemas import LATEST_STATE, TIMESTAMP, extended
 
 STATE_TTL = timedelta(hours=1)
 STATE_COLUMNS = tuple(LATEST_STATE.fieldNames())
+ARRIVED_STATE = extended(LATEST_STATE, arrived_at=TIMESTAMP)
 
 
 def alive(frame: DataFrame, as_of: datetime | str, arrival: str = "ingested_at", ttl: timedelta = STATE_TTL) -> DataFrame:
@@ -21,12 +22,14 @@ def alive(frame: DataFrame, as_of: datetime | str, arrival: str = "ingested_at",
     return frame.filter((F.col(arrival) > at(now - ttl)) & (F.col(arrival) <= at(now)))
 
 
-def newest_per_device(events: DataFrame, by: str = "arrival", arrival: str = "ingested_at") -> DataFrame:
+def newest_per_device(
+    events: DataFrame, by: str = "arrival", arrival: str = "ingested_at", carried: tuple[str, ...] = STATE_COLUMNS
+) -> DataFrame:
     """The last processed event per device, or the newest by event time (`by="event_time"`)."""
     if by not in ("arrival", "event_time"):
         raise ValueError(f"by must be 'arrival' or 'event_time', not {by!r}")
     order = F.struct(arrival if by == "arrival" else "timestamp", "event_id")
-    fields = [c for c in STATE_COLUMNS if c != "device_id"]
+    fields = [c for c in carried if c != "device_id"]
     return (
         events.groupBy("device_id")
         .agg(F.max_by(F.struct(*fields), order).alias("_s"))
@@ -44,12 +47,6 @@ def latest_state(
     return newest_per_device(alive(events, as_of, arrival, ttl), by, arrival)
 
 
-def merge_state(state: DataFrame, batch: DataFrame, as_of: datetime | str, ttl: timedelta = STATE_TTL) -> DataFrame:
-    """State after a batch of events, without what has expired."""
-    rows = state.select(*STATE_COLUMNS).unionByName(newest_per_device(batch).select(*STATE_COLUMNS))
-    return latest_state(rows, as_of, ttl=ttl)
-
-
 def devices_list(state: DataFrame) -> DataFrame:
     return state.select("device_id", "timestamp", "ingested_at", "metrics", "tags", "source")
 

@@ -79,6 +79,19 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(again).drop("id")
 
 
+def corrected_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat readings, every tenth one delivered again an hour later with another reading and day."""
+    rows = wide(spark, sf_dir).drop("dense_ts", "dense_ingested_at")
+    again = rows.filter("id % 10 = 0").withColumns(
+        {
+            "ingested_at": X("ingested_at + interval '1' hour"),
+            "timestamp": X("timestamp + interval '1' day"),
+            "temperature": X("temperature + 5"),
+        }
+    )
+    return rows.unionByName(again).drop("id")
+
+
 def _metrics() -> Column:
     pairs = [x for m in ("temperature", "humidity", "pressure") for x in (F.lit(m), F.col(m))]
     return without_nulls(F.create_map(*pairs))

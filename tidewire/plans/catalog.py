@@ -16,8 +16,8 @@ from tidewire.operators import anomaly as Z
 from tidewire.operators import dedup, external, fanout, flatten, history, ingest, quality, rollup, silver, state, validate
 from tidewire.plans import adapter
 from tidewire.schemas import AIR_QUALITY_RESPONSE, WEATHER_RESPONSE
-from tidewire.session import cut_lineage
-from tidewire.sources import landed
+from tidewire.session import cut_lineage, scratch_path
+from tidewire.sources import landed, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,9 +142,13 @@ def bronze_layout(spark, sf):
 
 @query
 def bronze_scan(spark, sf):
-    """Reads several files of one table as one relation."""
-    both = spark.read.parquet(f"{sf}/orders.parquet", f"{sf}/orders.parquet")
-    return both.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.max("o_orderkey").alias("max_orderkey"))
+    """Reads two bronze folders as one relation."""
+    rows = adapter.bronze(spark, sf)
+    paths = []
+    for part in (F.col("source") == "http", F.col("source") != "http"):
+        paths.append(scratch_path(spark, "bronze"))
+        tables.write_bronze(rows.filter(part), paths[-1], F.col("ingested_at"))
+    return tables.read_bronze(spark, *paths).groupBy("source", "year", "month", "day").agg(F.count("*").alias("n"))
 
 
 def _silver(spark, sf):
@@ -174,7 +178,12 @@ def silver_increment(spark, sf):
 
 @query
 def silver_stats(spark, sf):
-    return silver.run_summary(silver.silver_stats(adapter.bronze(spark, sf)), 50, 3, 0.0)
+    """The time a run takes is not a matter of the data."""
+    files, manifest = adapter.file_listing(spark, sf)
+    pending = quality.pending_files(files, manifest).count()
+    known = files.filter(F.col("path").endswith(".parquet")).join(manifest, "path", "left_semi").count()
+    stats = silver.silver_stats(adapter.bronze(spark, sf))
+    return silver.run_summary(stats, pending, known, 0.0).drop("duration_ms")
 
 
 @query
@@ -255,12 +264,11 @@ def retention_keep(spark, sf):
 
 def _history(spark, sf, interval, **kw):
     rows = adapter.telemetry(spark, sf)
-    if interval == "raw":
-        relation = rows
-    elif interval == "1m":
-        relation = rollup.rollup_1m(rows)
-    else:
-        relation = _rollup(spark, sf, interval)
+    relation = rows
+    if interval != "raw":
+        path = scratch_path(spark, "rollup")
+        tables.write_rollup(rollup.rollup_1m(rows) if interval == "1m" else _rollup(spark, sf, interval), path)
+        relation = tables.read_rollup(spark, path)
     args = {"start": FIRST, "end": LAST, "limit": 10_000, **kw}
     return history.history({interval: relation}, DEVICE, LAST, interval=interval, **args)
 
@@ -567,15 +575,29 @@ def pipeline_counters(spark, sf):
     )
     ok = outcomes.filter(c("status") == validate.OK)
     rejected = outcomes.filter(c("status").isin(validate.BAD_JSON, validate.BAD_SCHEMA))
-    copies = adapter.redelivered_events(spark, sf).groupBy("event_id").agg((F.count("*") - 1).alias("copies"))
+    arrived = adapter.redelivered_events(spark, sf)
+    accepted = dedup.realtime_dedup(arrived)
+    skipped = arrived.select(F.lit(1).alias("n")).unionByName(accepted.select(F.lit(-1).alias("n")))
+    requests = ingest.ingest_validate(adapter.http_requests(spark, sf)).groupBy("status").agg(F.count("*").alias("n"))
+    outcome = F.when(c("status") == validate.OK, "ok").otherwise("invalid")
+    messages = adapter.mqtt_messages(spark, sf).select(F.lit(1).alias("n"))
+    bridged = ingest.mqtt_normalize(adapter.mqtt_messages(spark, sf)).select(F.lit(-1).alias("n"))
+    runs = silver.silver_stats(adapter.bronze(spark, sf))
     n = c("n")
     return quality.counters(
-        quality.counter(ok, "ingest_events_total", n, source=c("source"), status=c("status")),
-        quality.counter(ok, "processor_events_processed_total", n, status=c("status")),
+        quality.counter(requests, "ingest_events_total", n, source=F.lit("http"), status=outcome),
+        quality.counter(bridged, "ingest_events_total", -n, source=F.lit("mqtt"), status=F.lit("ok")),
+        quality.counter(messages.unionByName(bridged), "ingest_events_total", n, source=F.lit("mqtt"), status=F.lit("invalid")),
+        quality.counter(accepted, "processor_events_processed_total", status=F.lit("ok")),
+        quality.counter(skipped, "processor_duplicates_total", n),
         quality.counter(rejected, "processor_dlq_total", n, reason=c("status")),
         quality.counter(rejected, "batch_events_invalid_total", n, reason=c("status")),
+        quality.counter(ok, "batch_events_inserted_total", n),
+        quality.counter(ok, "archive_events_buffered_total", n),
+        quality.counter(runs, "silver_events_in_total", c("events_in")),
+        quality.counter(runs, "silver_events_out_total", c("events_out")),
+        quality.counter(runs, "silver_duplicates_removed_total", c("duplicates_removed")),
         quality.counter(_alerts(spark, sf), "processor_alerts_fired_total", severity=c("severity")),
-        quality.counter(copies, "processor_redelivered_total", c("copies")),
         quality.counter(_scored(spark, sf).filter("is_anomaly"), "processor_anomalies_detected_total", metric=c("metric")),
     )
 

@@ -183,9 +183,10 @@ FROM (SELECT strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS mon
              strftime(timestamp, '%d') AS day, strftime(timestamp, '%H') AS hour FROM wide)
 GROUP BY ALL""",
 )
-ORACLE["bronze_scan"] = (
-    "SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS max_orderkey "
-    "FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders) GROUP BY o_orderstatus"
+define(
+    "bronze_scan",
+    """SELECT source, strftime(ingested_at, '%Y') AS year, strftime(ingested_at, '%m') AS month,
+       strftime(ingested_at, '%d') AS day, count(*) AS n FROM bronze GROUP BY ALL""",
 )
 
 REFINED = """complete AS (
@@ -225,13 +226,6 @@ TOTALS = """totals AS (
   SELECT (SELECT count(*) FROM bronze) AS events_in, (SELECT count(*) FROM complete) AS valid,
          (SELECT count(*) FROM refined) AS events_out
 )"""
-define(
-    "silver_stats",
-    """SELECT CAST(50 AS BIGINT) AS processed_files, CAST(3 AS BIGINT) AS skipped_files, events_in, events_out,
-       events_in - events_out AS duplicates_removed, CAST(0 AS DOUBLE) AS duration_ms FROM totals""",
-    REFINED,
-    TOTALS,
-)
 define(
     "silver_removed",
     """SELECT events_in, events_out, events_in - valid AS incomplete_removed, valid - events_out AS copies_removed,
@@ -246,6 +240,15 @@ FILES = """files AS (
          min(ts) AS processed_at, min(id) AS first_id
   FROM ev GROUP BY 1
 )"""
+define(
+    "silver_stats",
+    """SELECT (SELECT least(50, count(*)) FROM files WHERE path LIKE '%.parquet' AND first_id % 4 <> 0) AS processed_files,
+       (SELECT count(*) FROM files WHERE path LIKE '%.parquet' AND first_id % 4 = 0) AS skipped_files,
+       events_in, events_out, events_in - events_out AS duplicates_removed FROM totals""",
+    REFINED,
+    TOTALS,
+    FILES,
+)
 define(
     "pending_files",
     "SELECT path FROM files WHERE path LIKE '%.parquet' AND first_id % 4 <> 0 ORDER BY path LIMIT 50",
@@ -454,10 +457,7 @@ QUALIFY row_number() OVER (PARTITION BY device_id, metric ORDER BY ingested_at D
 
 # --- state, devices, live feed ---------------------------------------------------------------------
 
-define(
-    "realtime_dedup",
-    "SELECT event_id, device_id, t AS ingested_at FROM chain",
-    """copies AS MATERIALIZED (
+CHAIN = """copies AS MATERIALIZED (
   SELECT event_id, device_id, ingested_at + CAST(after AS INTEGER) * INTERVAL 1 SECOND AS t
   FROM (SELECT *, unnest(CASE id % 10 WHEN 0 THEN [0, 1] WHEN 1 THEN [0, 86340] WHEN 2 THEN [0, 86400]
                          WHEN 3 THEN [0, 90000, 93600, 180000] ELSE [0] END) AS after FROM tele)
@@ -467,9 +467,8 @@ define(
   SELECT c.event_id, c.device_id, min(x.t) FROM chain c JOIN copies x
     ON x.event_id = c.event_id AND x.t >= c.t + INTERVAL 24 HOUR
   GROUP BY ALL
-)""",
-    recursive=True,
-)
+)"""
+define("realtime_dedup", "SELECT event_id, device_id, t AS ingested_at FROM chain", CHAIN, recursive=True)
 
 LATEST = """edge AS (SELECT max(ingested_at) AS t FROM tele), latest AS (
   SELECT * FROM tele, edge WHERE ingested_at > t - INTERVAL 1 HOUR
@@ -646,23 +645,38 @@ QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY ingested_at DESC, eve
 
 define(
     "pipeline_counters",
-    """SELECT 'ingest_events_total' AS name, 'source=http,status=ok' AS labels, count(*) AS value
-FROM status WHERE status = 'ok' HAVING count(*) > 0
+    """SELECT 'ingest_events_total' AS name, 'source=http,status=' || CASE WHEN id % 10 IN (0, 1, 8, 9) THEN 'ok' ELSE 'invalid' END
+  AS labels, count(*) AS value FROM ev GROUP BY 2
+UNION ALL
+SELECT 'ingest_events_total', 'source=mqtt,status=' || CASE WHEN id % 20 BETWEEN 3 AND 6 OR id % 20 > 10 THEN 'ok' ELSE 'invalid' END,
+  count(*) FROM ev GROUP BY 2
 UNION ALL
-SELECT 'processor_events_processed_total', 'status=ok', count(*) FROM status WHERE status = 'ok' HAVING count(*) > 0
+SELECT 'processor_events_processed_total', 'status=ok', count(*) FROM chain
+UNION ALL
+SELECT 'processor_duplicates_total', '', (SELECT count(*) FROM copies) - (SELECT count(*) FROM chain)
 UNION ALL
 SELECT 'processor_dlq_total', 'reason=' || status, count(*) FROM status WHERE status LIKE '%invalid%' GROUP BY status
 UNION ALL
 SELECT 'batch_events_invalid_total', 'reason=' || status, count(*) FROM status WHERE status LIKE '%invalid%' GROUP BY status
 UNION ALL
-SELECT 'processor_alerts_fired_total', 'severity=' || severity, count(*) FROM fired GROUP BY severity
+SELECT unnest(['batch_events_inserted_total', 'archive_events_buffered_total']), '', count(*) FROM status WHERE status = 'ok'
+UNION ALL
+SELECT 'silver_events_in_total', '', events_in FROM totals
 UNION ALL
-SELECT 'processor_redelivered_total', '', sum(CASE id % 10 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 3 ELSE 0 END)::BIGINT FROM tele
+SELECT 'silver_events_out_total', '', events_out FROM totals
+UNION ALL
+SELECT 'silver_duplicates_removed_total', '', events_in - events_out FROM totals
+UNION ALL
+SELECT 'processor_alerts_fired_total', 'severity=' || severity, count(*) FROM fired GROUP BY severity
 UNION ALL
 SELECT 'processor_anomalies_detected_total', 'metric=' || metric, count(*) FROM judged WHERE z_score > 3 GROUP BY metric""",
     STATUS,
+    CHAIN,
+    REFINED,
+    TOTALS,
     FIRED,
     SCORED,
+    recursive=True,
 )
 define(
     "latency_histogram",
@@ -695,45 +709,63 @@ define(
     f"""SELECT dev AS key, 'ok' AS status, {uuid_v7('ts', 'id', '0')} AS event_id, value AS temperature, 'http' AS source
 FROM ev WHERE id % 10 IN (0, 1, 8, 9)""",
 )
+define("sink_alerts", f"SELECT device_id AS key, {ALERT} FROM fired", FIRED)
+define("realtime_alerts", f"SELECT device_id AS key, {ALERT} FROM every_alert", FIRED, SCORED, ODD)
 define(
-    "sink_alerts",
-    """SELECT device_id AS key, alert_id AS "alertId", device_id AS "deviceId", rule_id AS "ruleId", value FROM fired""",
+    "realtime_alert_table",
+    f"SELECT {ALERT}, false AS acknowledged, CAST(triggered_at AS DATE) AS event_date FROM every_alert",
     FIRED,
+    SCORED,
+    ODD,
 )
 ORACLE["dlq_stream"] = ORACLE["dlq_rows"]
 define(
     "telemetry_stream",
-    """SELECT uuid AS event_id, dev AS device_id, date_trunc('millisecond', ts) AS time, CAST(ts AS DATE) AS event_date,
+    """SELECT uuid AS event_id, dev AS device_id, date_trunc('millisecond', ts) AS time,
+       date_trunc('millisecond', ts) AS ingested_at, CAST(ts AS DATE) AS event_date,
        'http' AS source, value AS temperature, CAST(0 AS BIGINT) AS n_tags FROM status WHERE status = 'ok'""",
     STATUS,
 )
 define(
     "bronze_stream",
-    """SELECT uuid AS event_id, dev AS device_id, date_trunc('millisecond', ts) AS timestamp, value AS temperature,
+    """SELECT uuid AS event_id, dev AS device_id, date_trunc('millisecond', ts) AS timestamp,
+       date_trunc('millisecond', ts) AS ingested_at, value AS temperature,
        CAST(NULL AS DOUBLE) AS humidity, CAST(NULL AS VARCHAR) AS region,
        '2024' AS year, '02' AS month, '03' AS day, '04' AS hour FROM status WHERE status = 'ok'""",
     STATUS,
 )
 ORACLE["silver_write"] = ORACLE["silver"]
-define("silver_stream", "SELECT event_id, device_id, temp_category, climate_zone, event_date FROM refined", REFINED)
+define(
+    "silver_stream",
+    "SELECT * FROM refined",
+    """corrected AS (
+  SELECT * EXCLUDE (id, dense_ts, dense_ingested_at) FROM wide
+  UNION ALL
+  SELECT * EXCLUDE (id, dense_ts, dense_ingested_at)
+    REPLACE (ingested_at + INTERVAL 1 HOUR AS ingested_at, timestamp + INTERVAL 1 DAY AS timestamp, temperature + 5 AS temperature)
+  FROM wide WHERE id % 10 = 0
+)""",
+    REFINED.replace("FROM bronze WHERE", "FROM corrected WHERE", 1),
+)
 ORACLE["describe_table"] = (
-    "SELECT column_name, CAST(row_number() OVER (ORDER BY column_index) - 1 AS BIGINT) AS position "
+    "SELECT column_name, CAST(row_number() OVER (ORDER BY column_index) - 1 AS BIGINT) AS position, "
+    "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+    "ELSE lower(data_type) END AS column_type "
     "FROM duckdb_columns() WHERE table_name = 'lineitem'"
 )
-CLOSED = """closed AS (SELECT max(time) - INTERVAL {delay} MINUTE AS mark FROM tele)"""
+ORACLE["rollup_stream"] = ORACLE["rollup_1m"]
+ORACLE["rollup_5m_stream"] = ORACLE["rollup_5m"]
 define(
-    "rollup_stream",
-    f"SELECT {M1_COLUMNS} FROM m1, closed WHERE bucket + INTERVAL 1 MINUTE <= mark",
+    "aggregates_stream",
+    f"SELECT device_id AS key, {M1_COLUMNS} FROM m1, closed WHERE m1.bucket + INTERVAL 1 MINUTE <= mark",
     minute(),
-    CLOSED.format(delay=10),
+    "closed AS (SELECT max(time) - INTERVAL 10 MINUTE AS mark FROM tele)",
 )
+ORACLE["realtime_dedup_stream"] = ORACLE["realtime_dedup"]
 define(
-    "rollup_5m_stream",
-    "SELECT coarse.* FROM coarse, closed WHERE bucket + INTERVAL 5 MINUTE <= mark",
-    minute(),
-    coarse("5 minutes"),
-    CLOSED.format(delay=1),
+    "latest_state_stream",
+    f"""SELECT event_id, {STATE.replace('ingested_at', 'ingested_at + (CASE id % 5 WHEN 1 THEN 2190 WHEN 2 THEN -365 ELSE 0 END) * INTERVAL 1 DAY AS ingested_at')}
+FROM latest""",
+    LATEST.format(order="ingested_at"),
 )
-define("realtime_dedup_stream", "SELECT event_id, device_id FROM tele")
-ORACLE["latest_state_stream"] = ORACLE["latest_state"]
 ORACLE["anomaly_stream"] = ORACLE["anomaly_zscore"]

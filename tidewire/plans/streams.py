@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.maps import entry
-from tidewire.operators import ingest, validate
+from tidewire.functions.times import at
+from tidewire.operators import ingest, rollup, validate
 from tidewire.operators.anomaly import samples
 from tidewire.plans import adapter
 from tidewire.plans.catalog import MEASURES, QUERIES, ROLLED, _alerts, _ntz, _rounded, _silver, query
-from tidewire.schemas import EVENT_LOG, TOPIC_ALERTS, TOPIC_RAW
+from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
 from tidewire.sources import event_log, tables
 from tidewire.streaming import jobs
@@ -20,13 +21,14 @@ ALL = {"availableNow": True}
 LOG_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def run(writer, checkpoint: str) -> None:
-    jobs.start(writer, checkpoint, ALL).awaitTermination()
+def run(writer, checkpoint: str, idle_batches: bool = True) -> None:
+    jobs.start(writer, checkpoint, ALL, idle_batches).awaitTermination()
 
 
-def to_files(frame: DataFrame, writer_mode: str, path: str) -> str:
+def to_files(frame: DataFrame, writer_mode: str, path: str, idle_batches: bool = True) -> str:
     """Writes the stream to Parquet and returns the path."""
-    run(frame.writeStream.format("parquet").option("path", path).outputMode(writer_mode), f"{path}-checkpoint")
+    writer = frame.writeStream.format("parquet").option("path", path).outputMode(writer_mode)
+    run(writer, f"{path}-checkpoint", idle_batches)
     return path
 
 
@@ -74,12 +76,23 @@ def sink_event_log(spark, sf):
     return back.select("key", "status", "event_id", entry("metrics", "temperature").alias("temperature"), "source")
 
 
+ALERT_MESSAGE = (
+    "alertId string, deviceId string, ruleId string, severity string, message string, value double, "
+    "threshold double, triggeredAt timestamp"
+)
+
+
+def _alert_log(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of an alert log by the names of the alert table."""
+    rows = spark.read.parquet(path).select("key", F.from_json("value", ALERT_MESSAGE).alias("a")).select("key", "a.*")
+    names = {v: k for k, v in event_log.ALERT_FIELDS.items()}
+    return _rounded(_ntz(rows.withColumnsRenamed(names), "triggered_at"), "threshold")
+
+
 @query
 def sink_alerts(spark, sf):
     stream = frame_stream(_alerts(spark, sf), "alerts")
-    path = to_log(event_log.alert_messages(stream), scratch_path(spark, TOPIC_ALERTS))
-    value = F.from_json("value", "alertId string, deviceId string, ruleId string, value double")
-    return spark.read.parquet(path).select("key", value.alias("a")).select("key", "a.*")
+    return _alert_log(spark, to_log(event_log.alert_messages(stream), scratch_path(spark, TOPIC_ALERTS)))
 
 
 @query
@@ -96,10 +109,10 @@ def telemetry_stream(spark, sf):
     path = scratch_path(spark, "telemetry")
     run(jobs.telemetry_job(jobs.parsed_stream(log_stream(spark, sf)), path), f"{path}-checkpoint")
     rows = tables.read_telemetry(spark, path).select(
-        "event_id", "device_id", "time", "event_date", "source", entry("metrics", "temperature").alias("temperature"),
+        "event_id", "device_id", "time", "ingested_at", "event_date", "source", entry("metrics", "temperature").alias("temperature"),
         F.size("tags").cast("bigint").alias("n_tags"),
     )
-    return _ntz(rows, "time")
+    return _ntz(rows, "time", "ingested_at")
 
 
 @query
@@ -109,9 +122,10 @@ def bronze_stream(spark, sf):
     flushed = F.lit("2024-02-03 04:05:06").cast("timestamp")
     run(jobs.archive_job(jobs.parsed_stream(log_stream(spark, sf)), path, flushed), f"{path}-checkpoint")
     rows = tables.read_bronze(spark, path).select(
-        "event_id", "device_id", "timestamp", "temperature", "humidity", "region", "year", "month", "day", "hour"
+        "event_id", "device_id", "timestamp", "ingested_at", "temperature", "humidity", "region",
+        "year", "month", "day", "hour",
     )
-    return _ntz(rows, "timestamp")
+    return _ntz(rows, "timestamp", "ingested_at")
 
 
 @query
@@ -125,61 +139,112 @@ def silver_write(spark, sf):
 def silver_stream(spark, sf):
     jobs.prepare(spark)
     bronze_path, path = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    rows = adapter.bronze(spark, sf)
+    rows = adapter.corrected_bronze(spark, sf)
     for column in ("timestamp", "ingested_at"):
         rows = rows.withColumn(column, F.col(column).cast("timestamp"))
     # One file per day and several triggers, so that copies arrive in different ones.
     tables.write_bronze(rows, bronze_path, F.date_trunc("day", "ingested_at"))
     stream = jobs.silver_stream(spark, bronze_path, files=20)
     run(jobs.silver_job(stream, path, f"{path}-runs"), f"{path}-checkpoint")
-    return spark.read.parquet(path).select("event_id", "device_id", "temp_category", "climate_zone", "event_date")
+    return _ntz(tables.read_silver(spark, path), "timestamp", "ingested_at")
 
 
 @query
 def describe_table(spark, sf):
     return tables.describe_table(spark.read.parquet(f"{sf}/lineitem.parquet")).select(
-        "column_name", F.col("position").cast("bigint").alias("position")
+        "column_name", "column_type", F.col("position").cast("bigint").alias("position")
     )
 
 
 @query
 def rollup_stream(spark, sf):
-    """Minutes the watermark has closed by the end of the input."""
-    stream = frame_stream(adapter.telemetry(spark, sf), "telemetry")
-    path = to_files(jobs.rollup_stream(stream, "10 minutes"), "append", scratch_path(spark, "rollup"))
-    return _rounded(_ntz(spark.read.parquet(path).drop("bucket_time"), "bucket"), *ROLLED)
+    """Minutes the watermark has closed, with the open end of the table behind them.
+
+    The test tables span less than the usual delay, so it is shorter here.
+    """
+    rows = adapter.telemetry(spark, sf)
+    stream = jobs.rollup_stream(frame_stream(rows, "telemetry"), "10 minutes")
+    path = to_files(stream, "append", scratch_path(spark, "rollup"))
+    closed = _ntz(spark.read.parquet(path).drop("bucket_time"), "bucket")
+    return _rounded(rollup.with_open_end(closed, rows), *ROLLED)
 
 
 @query
 def rollup_5m_stream(spark, sf):
     """Chained windows: minutes roll up to five minutes within one query."""
-    stream = frame_stream(adapter.telemetry(spark, sf), "telemetry")
-    coarse = jobs.coarse_rollup_stream(jobs.rollup_stream(stream, "1 minute"), "5m")
+    rows = adapter.telemetry(spark, sf)
+    coarse = jobs.coarse_rollup_stream(jobs.rollup_stream(frame_stream(rows, "telemetry"), "10 minutes"), "5m")
     path = to_files(coarse, "append", scratch_path(spark, "rollup"))
-    return _rounded(_ntz(spark.read.parquet(path), "bucket"), *ROLLED)
+    return _rounded(rollup.with_open_end(_ntz(spark.read.parquet(path), "bucket"), rows, "5m"), *ROLLED)
+
+
+@query
+def aggregates_stream(spark, sf):
+    """The aggregates topic: minutes that are closed."""
+    stream = frame_stream(adapter.telemetry(spark, sf), "telemetry")
+    path = scratch_path(spark, TOPIC_AGGREGATES)
+    run(jobs.aggregates_job(stream, path, f"{path}-checkpoint", "10 minutes", "parquet"), f"{path}-checkpoint")
+    value = F.from_json("value", AGGREGATE_MESSAGE)
+    rows = spark.read.parquet(path).select("key", value.alias("v")).select("key", "v.*")
+    return _rounded(_ntz(rows, "bucket"), *ROLLED)
+
+
+AGGREGATE_MESSAGE = (
+    "bucket timestamp, device_id string, avg_temperature double, min_temperature double, max_temperature double, "
+    "avg_humidity double, min_humidity double, max_humidity double, avg_pressure double, sample_count bigint"
+)
+
+
+def triggers(parts: list[DataFrame], name: str) -> DataFrame:
+    """A stream of files that delivers the parts one after the other."""
+    spark = jobs.prepare(parts[0].sparkSession)
+    path, files = scratch_path(spark, name), spark.sparkContext.defaultParallelism
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def by_arrival(rows: DataFrame, n: int) -> list[DataFrame]:
+    """The rows cut into `n` spans of arrival of equal length."""
+    first, last = rows.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    cuts = [first + (last - first) * i / n for i in range(1, n)]
+    bounds = [None, *cuts, None]
+    t = F.col("ingested_at")
+    return [
+        rows.filter((F.lit(True) if a is None else t >= at(a)) & (F.lit(True) if b is None else t < at(b)))
+        for a, b in zip(bounds, bounds[1:])
+    ]
 
 
 def _arrivals(frame: DataFrame) -> DataFrame:
     return frame.withColumn("arrived_at", F.col("ingested_at").cast("timestamp"))
 
 
+def _accepted(stream: DataFrame) -> DataFrame:
+    return jobs.accepted_stream(_arrivals(stream).withColumn("status", F.lit(validate.OK)))
+
+
 @query
 def realtime_dedup_stream(spark, sf):
-    """Within one trigger and TTL the first row of an event id is kept, whichever copy that is."""
-    stream = _arrivals(frame_stream(adapter.redelivered_events(spark, sf), "events"))
-    unique = stream.withWatermark("arrived_at", "24 hours").dropDuplicatesWithinWatermark(["event_id"])
-    path = to_files(unique.select("event_id", "device_id"), "append", scratch_path(spark, "unique"))
-    return spark.read.parquet(path)
+    """Half the devices lag behind: their events arrive after the last ones of the others."""
+    rows = adapter.redelivered_events(spark, sf)
+    lags = F.col("device_id").endswith("7") | F.col("device_id").endswith("2")
+    stream = triggers([*by_arrival(rows.filter(~lags), 2), *by_arrival(rows.filter(lags), 2)], "events")
+    kept = _accepted(stream).select("event_id", "device_id", "ingested_at")
+    return spark.read.parquet(to_files(kept, "append", scratch_path(spark, "unique"), False))
 
 
 @query
 def latest_state_stream(spark, sf):
-    stream = _arrivals(frame_stream(adapter.events(spark, sf), "events"))
+    """Devices set their clocks years ahead and behind; only the order of arrival counts."""
+    n = F.substring("event_id", -12, 12).cast("bigint") % 5
+    days = F.when(n == 1, 2190).when(n == 2, -365).otherwise(0)
+    stream = _arrivals(triggers(by_arrival(adapter.events(spark, sf), 3), "events"))
+    stream = stream.withColumn("ingested_at", F.col("ingested_at") + F.make_interval(days=days))
     for column in ("timestamp", "ingested_at"):
         stream = stream.withColumn(column, F.col(column).cast("timestamp"))
-    path = scratch_path(spark, "realtime")
-    outputs = jobs.RealtimeOutputs(f"{path}/alerts", f"{path}/live", f"{path}/state")
-    run(jobs.realtime_job(stream, outputs), f"{path}/checkpoint")
+    outputs = _outputs(spark)
+    run(jobs.realtime_job(stream, outputs), f"{outputs.state}-checkpoint")
     s = jobs.read_state(spark, outputs.state).select(
         "device_id", "event_id", "timestamp", "ingested_at", "source",
         *[entry("metrics", m).alias(m) for m in MEASURES], entry("tags", "region").alias("region"),
@@ -187,9 +252,40 @@ def latest_state_stream(spark, sf):
     return _ntz(s, "timestamp", "ingested_at")
 
 
+def _outputs(spark: SparkSession) -> jobs.RealtimeOutputs:
+    path = scratch_path(spark, "realtime")
+    return jobs.RealtimeOutputs(*[f"{path}/{name}" for name in ("alerts", "live", "state", "log")])
+
+
+def _realtime_run(spark: SparkSession, sf: str) -> jobs.RealtimeOutputs:
+    """Both alert jobs over events of which every tenth is delivered twice."""
+    rows = adapter.events(spark, sf)
+    again = rows.filter(F.col("event_id").endswith("0"))
+    copies = again.withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 1 second"))
+    stream = triggers(by_arrival(rows.unionByName(copies), 3), "events")
+    outputs = _outputs(spark)
+    run(jobs.realtime_job(_accepted(stream), outputs), f"{outputs.state}-checkpoint", False)
+    run(jobs.anomaly_job(_accepted(stream), outputs), f"{outputs.state}-checkpoint-anomaly", False)
+    return outputs
+
+
+@query
+def realtime_alerts(spark, sf):
+    """Threshold and anomaly alerts as they leave by the alert log."""
+    return _alert_log(spark, _realtime_run(spark, sf).log)
+
+
+@query
+def realtime_alert_table(spark, sf):
+    """Threshold and anomaly alerts in the alert table."""
+    rows = jobs.read_alerts(spark, _realtime_run(spark, sf).alerts).drop("created_at")
+    return _rounded(_ntz(rows, "triggered_at"), "threshold")
+
+
 @query
 def anomaly_stream_(spark, sf):
-    stream = frame_stream(samples(adapter.events(spark, sf)), "samples")
+    parts = by_arrival(adapter.events(spark, sf), 3)
+    stream = triggers([samples(part) for part in parts], "samples")
     path = to_files(anomaly_stream(stream), "append", scratch_path(spark, "scores"))
     return _rounded(_ntz(spark.read.parquet(path), "ts"), "mean", "std_dev", "z_score")
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, DataType, DateType, DoubleType, IntegerType, LongType, MapType,
+    ArrayType, BooleanType, DataType, DateType, DoubleType, IntegerType, LongType, MapType,
     StringType, StructType, TimestampType,
 )
 
 STRING, DOUBLE, INT, BIGINT = StringType(), DoubleType(), IntegerType(), LongType()
-TIMESTAMP, DATE = TimestampType(), DateType()
+TIMESTAMP, DATE, BOOLEAN = TimestampType(), DateType(), BooleanType()
 METRICS_MAP = MapType(STRING, DOUBLE)
 TAGS_MAP = MapType(STRING, STRING)
 
@@ -62,7 +62,7 @@ LATEST_STATE = record(
 WEATHER_RESPONSE = record(
     city=STRING,
     current=record(
-        time=STRING, temperature_2m=DOUBLE, wind_speed_10m=DOUBLE, relative_humidity_2m=DOUBLE, weather_code=INT
+        time=STRING, temperature_2m=DOUBLE, wind_speed_10m=DOUBLE, relative_humidity_2m=DOUBLE, weather_code=DOUBLE
     ),
 )
 
@@ -77,10 +77,7 @@ AIR_QUALITY_RESPONSE = record(
     ),
 )
 
-# Topic names, consumer groups, live channels (fixed values).
+# Topic names (fixed values).
 TOPIC_RAW = "telemetry.raw"
 TOPIC_ALERTS = "telemetry.alerts"
-TOPIC_DLQ = "telemetry.dlq"
 TOPIC_AGGREGATES = "telemetry.aggregates"
-LIVE_TELEMETRY = "telemetry:live"
-LIVE_ALERTS = "alerts:live"

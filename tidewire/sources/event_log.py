@@ -46,6 +46,14 @@ def write_event_log(
     return writer.option("path", target)
 
 
+def publish(records: DataFrame, target: str, topic: str, part: str, fmt: str = "kafka") -> None:
+    """Sends one trigger's messages; files of a repeated part replace each other, Kafka gets them again."""
+    if fmt == "kafka":
+        records.write.format(fmt).option("kafka.bootstrap.servers", target).option("topic", topic).save()
+    else:
+        records.write.format(fmt).mode("overwrite").save(f"{target}/part={part}")
+
+
 def keyed_json(rows: DataFrame, key: str | None, rename: dict[str, str] | None = None) -> DataFrame:
     """Rows as messages: JSON value of all columns, key column or none."""
     names = rename or {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,12 @@ from pyspark.sql.types import StructType
 from tidewire.functions.times import at
 from tidewire.operators.flatten import with_hive_partitions
 from tidewire.operators.rollup import POLICIES, refresh_range, retention_start, rollup_1m, rollup_from_1m
+from tidewire.operators.silver import CARRIED, latest_ingestion
 from tidewire.schemas import BRONZE, BRONZE_PARTITIONS, DATE, STRING, TELEMETRY, extended
 
 WRITE_ROWS = 5_000_000
+# Stored beside silver so that ties between copies fall as in the batch operator.
+SILVER_TIES = ("lat", "lon")
 SILVER_ROW_GROUP_BYTES = 32 * 1024 * 1024
 
 
@@ -109,8 +113,8 @@ def bronze_schema() -> StructType:
 
 
 def read_bronze(spark: SparkSession, *paths: str) -> DataFrame:
-    """The given schema keeps the zero-padded partition values as strings."""
-    return spark.read.schema(bronze_schema()).parquet(*paths)
+    """One or more bronze tables; the given schema keeps the zero-padded partition values as strings."""
+    return reduce(DataFrame.unionByName, [spark.read.schema(bronze_schema()).parquet(path) for path in paths])
 
 
 def write_silver(refined: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -123,6 +127,24 @@ def write_silver(refined: DataFrame, path: str, mode: str = "overwrite") -> None
     )
 
 
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """The streamed silver table: of each event the latest ingestion, as batch `silver` has it."""
+    stored = spark.read.parquet(path)
+    return latest_ingestion(stored, ties=CARRIED).drop("batch_id", *SILVER_TIES)
+
+
+def compact_silver(spark: SparkSession, path: str, target: str) -> None:
+    """Rewrites the streamed table by day, without superseded rows."""
+    (
+        read_silver(spark, path)
+        .repartitionByRange("event_date", "device_id", "timestamp")
+        .write.mode("overwrite")
+        .option("parquet.block.size", SILVER_ROW_GROUP_BYTES)
+        .partitionBy("event_date")
+        .parquet(target)
+    )
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """Paths below `root`; file contents are not read."""
     return (
@@ -134,6 +156,24 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     )
 
 
+def write_rollup(rollup: DataFrame, path: str) -> None:
+    """Day partitions, ordered by device and time; only the days in `rollup` are replaced."""
+    (
+        rollup.withColumn("event_date", F.to_date("bucket"))
+        .repartitionByRange("event_date", "device_id", "bucket")
+        .sortWithinPartitions("event_date", "device_id", "bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """A stored rollup; `event_date` lets history queries skip days."""
+    return spark.read.parquet(path)
+
+
 def refresh_rollup(
     spark: SparkSession, source: DataFrame, path: str, interval: str, as_of: datetime | str
 ) -> None:
@@ -147,16 +187,9 @@ def refresh_rollup(
     time_col = "time" if interval == "1m" else "bucket"
     scope = refresh_range(source, time_col, interval, as_of)
     fresh = rollup_1m(scope) if interval == "1m" else rollup_from_1m(scope, interval)
-    fresh = fresh.withColumn("event_date", F.to_date("bucket"))
     if exists(spark, path):
         days = F.col("event_date").between(F.lit(start.date()), F.lit(end.date()))
         outside = (F.col("bucket") < at(start)) | (F.col("bucket") >= at(end))
-        kept = spark.read.schema(fresh.schema).parquet(path).filter(days & outside)
-        fresh = fresh.unionByName(kept)
-    (
-        fresh.repartitionByRange("event_date", "device_id", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+        stored = spark.read.schema(extended(fresh.schema, event_date=DATE)).parquet(path)
+        fresh = fresh.unionByName(stored.filter(days & outside).drop("event_date"))
+    write_rollup(fresh, path)

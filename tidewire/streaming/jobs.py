@@ -6,8 +6,10 @@ Sinks write a trigger's rows under its batch id, so a repeated trigger replaces
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +18,27 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tidewire.functions.times import iso
 from tidewire.operators import alerts, fanout, flatten, rollup, silver, state, validate
 from tidewire.operators.anomaly import samples
-from tidewire.schemas import BIGINT, BRONZE_PARTITIONS, LATEST_STATE, extended
+from tidewire.operators.dedup import PROCESSED_TTL_SECONDS
+from tidewire.schemas import (
+    ALERT,
+    BIGINT,
+    BOOLEAN,
+    BRONZE_PARTITIONS,
+    DATE,
+    STRING,
+    TIMESTAMP,
+    TOPIC_AGGREGATES,
+    TOPIC_ALERTS,
+    extended,
+)
 from tidewire.session import STATE_STORE, configure
 from tidewire.sources import event_log, tables
 from tidewire.streaming.anomaly import anomaly_stream
+from tidewire.streaming.dedup import first_arrivals
 
-PROCESSED_TTL = "24 hours"
 ROLLUP_DELAY = "3 hours"
 SILVER_FILES = 50
-TELEMETRY_TRIGGER = "5 seconds"
-ARCHIVE_TRIGGER = "60 seconds"
+COMPACT_EVERY = 100
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -39,22 +52,25 @@ def parsed_stream(log: DataFrame) -> DataFrame:
     return validate.parse_events(log.withColumnRenamed("timestamp", "arrived_at"))
 
 
-def accepted_stream(parsed: DataFrame, ttl: str = PROCESSED_TTL, salts: int = 1) -> DataFrame:
-    """Valid events without those already processed within the TTL.
+def accepted_stream(parsed: DataFrame, ttl_seconds: int = PROCESSED_TTL_SECONDS) -> DataFrame:
+    """Valid events without those already accepted within the TTL; no id seen for the first time is dropped."""
+    valid = validate.valid_events(parsed).select(*validate.EVENT_COLUMNS, "arrived_at")
+    return first_arrivals(valid, ttl_seconds)
 
-    The watermark runs on arrival, so wrong device clocks do not drop events. Where single events
-    come in very many copies, `salts` > 1 thins them out in as many tasks first, at the price of a
-    second state store.
-    """
-    valid = validate.valid_events(parsed).withWatermark("arrived_at", ttl)
-    if salts > 1:
-        salt = F.pmod(F.xxhash64("partition", "offset", "arrived_at"), F.lit(salts))
-        valid = valid.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
-    return valid.dropDuplicatesWithinWatermark(["event_id"])
+
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def start(writer: DataStreamWriter, checkpoint: str, trigger: dict) -> StreamingQuery:
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+def start(writer: DataStreamWriter, checkpoint: str, trigger: dict, idle_batches: bool = True) -> StreamingQuery:
+    """Windows need batches without input to close. Streams over `accepted_stream` don't, and as their
+    marks expire by the wall clock, Spark would run such batches without end: turn them off there."""
+    conf = SparkSession.active().conf
+    before = conf.get(IDLE_BATCHES)
+    conf.set(IDLE_BATCHES, str(idle_batches).lower())
+    try:
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    finally:
+        conf.set(IDLE_BATCHES, before)
 
 
 def dead_letter_stream(parsed: DataFrame) -> DataFrame:
@@ -66,55 +82,105 @@ def write_part(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_dated(rows: DataFrame, path: str, at: str, batch_id: int) -> None:
+    """Rows of one trigger below the days of `at`, so that readers of few days list few files."""
+    (
+        rows.withColumns({"event_date": F.to_date(at), "batch_id": F.lit(batch_id).cast("bigint")})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "batch_id")
+        .parquet(path)
+    )
+
+
 @dataclass(frozen=True)
 class RealtimeOutputs:
+    """Alert table, live feed, state table, and the alert log: a broker list, or a folder for `log_format` files."""
+
     alerts: str
     live: str
     state: str
+    log: str
+    log_format: str = "parquet"
+
+
+def publish_alerts(fired: DataFrame, outputs: RealtimeOutputs, origin: str, batch_id: int) -> None:
+    """Alerts go to the table, the alert log and the live feed; `origin` keeps the jobs' triggers apart."""
+    write_dated(alerts.to_alert_table(fired), f"{outputs.alerts}/origin={origin}", "triggered_at", batch_id)
+    messages = event_log.alert_messages(fired)
+    event_log.publish(messages, outputs.log, TOPIC_ALERTS, f"{origin}-{batch_id}", outputs.log_format)
+    live = fanout.alert_messages(fired, F.col("triggered_at"))
+    write_dated(live, f"{outputs.live}/origin={origin}", "received_at", batch_id)
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alert table of all jobs."""
+    schema = extended(
+        ALERT, acknowledged=BOOLEAN, created_at=TIMESTAMP, origin=STRING, event_date=DATE, batch_id=BIGINT
+    )
+    return spark.read.schema(schema).parquet(path).drop("origin", "batch_id")
 
 
 def realtime_batch(outputs: RealtimeOutputs, rules: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
     """Threshold alerts, live messages and latest state of one trigger's accepted events."""
 
     def process(events: DataFrame, batch_id: int) -> None:
-        spark = events.sparkSession
         events = events.persist()
         try:
             if events.isEmpty():
                 return
             fired = alerts.alerts_rules(events, rules, arrival="arrived_at")
-            write_part(alerts.to_alert_table(fired), outputs.alerts, batch_id)
+            publish_alerts(fired, outputs, "rules", batch_id)
             feed = fanout.telemetry_messages(flatten.live_feed(events, "arrived_at"), F.col("arrived_at"))
-            messages = feed.unionByName(fanout.alert_messages(fired, F.col("triggered_at")))
-            write_part(messages, outputs.live, batch_id)
-            save_state(spark, events, outputs.state, batch_id)
+            write_dated(feed, f"{outputs.live}/origin=telemetry", "received_at", batch_id)
+            save_state(events, outputs.state, batch_id)
         finally:
             events.unpersist()
 
     return process
 
 
-def save_state(spark: SparkSession, events: DataFrame, path: str, batch_id: int) -> None:
-    """Writes the next version of the state table; expired devices are left out, older versions removed."""
-    known = [v for v in tables.numbered(spark, path, "version") if v < batch_id]
-    current = (
-        spark.read.schema(LATEST_STATE).parquet(f"{path}/version={known[-1]}")
-        if known
-        else spark.createDataFrame([], LATEST_STATE)
-    )
-    newest = events.agg(F.max("ingested_at")).first()[0]
-    held = current.agg(F.max("ingested_at")).first()[0]
-    merged = state.merge_state(current, events, max(t for t in (newest, held) if t is not None))
-    merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-    for old in known[:-1]:
-        tables.remove(spark, f"{path}/version={old}")
-
+def save_state(events: DataFrame, path: str, batch_id: int) -> None:
+    """Adds the newest event of each device of this trigger; devices without events are not rewritten.
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    versions = tables.numbered(spark, path, "version")
-    if not versions:
-        return spark.createDataFrame([], LATEST_STATE)
-    return spark.read.schema(LATEST_STATE).parquet(f"{path}/version={versions[-1]}")
+    `version=n` holds trigger n, `base=n` all that was alive of the triggers before n. Both can be
+    written again, as the files they are made from stay until the next base.
+    """
+    spark = events.sparkSession
+    newest = state.newest_per_device(events, arrival="arrived_at", carried=(*state.STATE_COLUMNS, "arrived_at"))
+    newest.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    if batch_id == 0 or batch_id % COMPACT_EVERY:
+        return
+    held = read_state(spark, path, before=batch_id, arrivals=True)
+    bases = [n for n in tables.numbered(spark, path, "base") if n < batch_id]
+    held.write.mode("overwrite").parquet(f"{path}/base={batch_id}")
+    if bases:
+        for kind, numbers in (("base", bases[:-1]), ("version", tables.numbered(spark, path, "version"))):
+            for n in (n for n in numbers if n < bases[-1]):
+                tables.remove(spark, f"{path}/{kind}={n}")
+
+
+def read_state(
+    spark: SparkSession,
+    path: str,
+    as_of: datetime | str | None = None,
+    before: int | None = None,
+    arrivals: bool = False,
+) -> DataFrame:
+    """State per device at `as_of`, by default the newest arrival; the log's clock orders and expires it."""
+    bases, versions = (
+        [n for n in tables.numbered(spark, path, kind) if before is None or n < before] for kind in ("base", "version")
+    )
+    parts = [f"{path}/base={n}" for n in bases[-1:]]
+    parts += [f"{path}/version={n}" for n in versions if not bases or n >= bases[-1]]
+    rows = spark.read.schema(state.ARRIVED_STATE).parquet(*parts) if parts else spark.createDataFrame([], state.ARRIVED_STATE)
+    now = rows.agg(F.max(F.col("arrived_at").cast("timestamp_ntz"))).first()[0] if as_of is None else as_of
+    if now is None:
+        alive = rows
+    else:
+        carried = (*state.STATE_COLUMNS, "arrived_at")
+        alive = state.newest_per_device(state.alive(rows, now, "arrived_at"), arrival="arrived_at", carried=carried)
+    return alive if arrivals else alive.drop("arrived_at")
 
 
 def realtime_job(accepted: DataFrame, outputs: RealtimeOutputs, rules: DataFrame | None = None) -> DataStreamWriter:
@@ -126,6 +192,19 @@ def anomaly_alert_stream(accepted: DataFrame, arrival: str = "arrived_at") -> Da
     return alerts.anomaly_alerts(anomaly_stream(samples(accepted, arrival)))
 
 
+def anomaly_job(accepted: DataFrame, outputs: RealtimeOutputs) -> DataStreamWriter:
+    """Anomaly alerts into the same table, log and live feed as the threshold alerts."""
+
+    def process(fired: DataFrame, batch_id: int) -> None:
+        fired = fired.persist()
+        try:
+            publish_alerts(fired, outputs, "anomaly", batch_id)
+        finally:
+            fired.unpersist()
+
+    return anomaly_alert_stream(accepted).writeStream.foreachBatch(process)
+
+
 def telemetry_job(parsed: DataFrame, path: str) -> DataStreamWriter:
     """Appends valid events to the telemetry table; redelivered events are kept."""
     rows = tables.with_event_date(flatten.to_telemetry(validate.valid_events(parsed)))
@@ -160,6 +239,14 @@ def aggregate_messages(one_minute: DataFrame) -> DataFrame:
     return event_log.keyed_json(rows, "device_id")
 
 
+def aggregates_job(
+    telemetry: DataFrame, target: str, checkpoint: str, delay: str = ROLLUP_DELAY, fmt: str = "kafka"
+) -> DataStreamWriter:
+    """Closed minutes to the aggregates topic."""
+    messages = aggregate_messages(rollup_stream(telemetry, delay))
+    return event_log.write_event_log(messages, target, checkpoint, TOPIC_AGGREGATES, fmt)
+
+
 def silver_stream(spark: SparkSession, bronze_path: str, files: int = SILVER_FILES) -> DataFrame:
     """New bronze files; the checkpoint remembers which were processed."""
     return (
@@ -171,36 +258,27 @@ def silver_stream(spark: SparkSession, bronze_path: str, files: int = SILVER_FIL
 
 
 def silver_batch(silver_path: str, runs_path: str) -> Callable[[DataFrame, int], None]:
-    """Refines one trigger's bronze rows, without events an earlier trigger already refined.
+    """Refines one trigger's bronze rows.
 
-    Copies of an event share its timestamp, so only silver of the same days can hold them.
+    A trigger adds its own rows and reads no earlier silver; `tables.read_silver` shows the latest
+    ingestion of each event, whichever triggers and days its copies came in.
     """
 
     def process(bronze: DataFrame, batch_id: int) -> None:
         spark = bronze.sparkSession
+        started = time.monotonic()
         bronze = bronze.persist()
         try:
-            fresh = silver.silver(bronze)
-            schema = extended(fresh.schema, batch_id=BIGINT)
-            if tables.exists(spark, silver_path):
-                # The calendar bounds the number of days; only their partitions are read.
-                days = bronze.select(F.to_date("timestamp").alias("event_date")).distinct()
-                earlier = (
-                    spark.read.schema(schema)
-                    .parquet(silver_path)
-                    .filter(F.col("batch_id") < batch_id)
-                    .join(F.broadcast(days), "event_date", "left_semi")
-                )
-                fresh = fresh.join(earlier.select("event_id"), "event_id", "left_anti")
+            fresh = silver.silver(bronze, keep=tables.SILVER_TIES)
             (
                 fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .option("parquet.block.size", tables.SILVER_ROW_GROUP_BYTES)
-                .partitionBy("event_date", "batch_id")
+                .partitionBy("batch_id", "event_date")
                 .parquet(silver_path)
             )
-            written = spark.read.schema(schema).parquet(silver_path)
+            written = spark.read.schema(extended(fresh.schema, batch_id=BIGINT)).parquet(silver_path)
             n_out = F.lit(written.filter(F.col("batch_id") == batch_id).count())
             n_files = bronze.select("_file").distinct().count() if "_file" in bronze.columns else 0
             stats = bronze.agg(F.count("*").alias("events_in")).select(
@@ -208,13 +286,24 @@ def silver_batch(silver_path: str, runs_path: str) -> Callable[[DataFrame, int],
                 n_out.cast("bigint").alias("events_out"),
                 (F.col("events_in") - n_out).alias("duplicates_removed"),
             )
-            write_part(silver.run_summary(stats, n_files, 0, 0.0), runs_path, batch_id)
+            known = files_before(spark, runs_path, batch_id)
+            elapsed = (time.monotonic() - started) * 1000
+            write_part(silver.run_summary(stats, n_files, known, elapsed), runs_path, batch_id)
         finally:
             bronze.unpersist()
 
     return process
 
 
+def files_before(spark: SparkSession, runs_path: str, batch_id: int) -> int:
+    """Bronze files that earlier runs processed, which this run skips; the last summary knows the sum."""
+    earlier = [n for n in tables.numbered(spark, runs_path, "batch_id") if n < batch_id]
+    if not earlier:
+        return 0
+    last = spark.read.parquet(f"{runs_path}/batch_id={earlier[-1]}").first()
+    return last["processed_files"] + last["skipped_files"]
+
+
 def silver_job(bronze: DataFrame, silver_path: str, runs_path: str) -> DataStreamWriter:
     with_file = bronze.withColumn("_file", F.col("_metadata.file_path"))
     return with_file.writeStream.foreachBatch(silver_batch(silver_path, runs_path))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -41,10 +42,10 @@ def gauges(query: StreamingQuery) -> dict[str, float]:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects (query name, batch id, input rows) of every trigger."""
+    """Holds (query name, batch id, input rows) of the newest triggers."""
 
-    def __init__(self) -> None:
-        self.rows: list[tuple[str | None, int, int]] = []
+    def __init__(self, triggers: int = 10_000) -> None:
+        self.rows: deque[tuple[str | None, int, int]] = deque(maxlen=triggers)
 
     def onQueryStarted(self, event) -> None:
         pass
