@@ -87,7 +87,7 @@ def spaced_reference(rows, gap):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("fold_limit", [50_000, 5])
+@pytest.mark.parametrize("fold_limit", [2_000, 5])
 @pytest.mark.parametrize("gap", [1, 90, 600])
 def test_spacing_equals_the_sequential_rule(spark, fold_limit, gap):
     rng = random.Random(gap)
@@ -320,3 +320,42 @@ def test_pending_files_and_manifest(spark):
 def test_rate_limit_counts_the_excess(spark):
     rows = frame(spark, [("a", seconds(i % 60)) for i in range(1005)] + [("a", seconds(61)), ("b", T0)], "key string, t timestamp")
     assert values(quality.rate_limit_audit(rows, "key", "t"), "key", "requests", "rejected") == [("a", 1, 0), ("a", 1005, 5), ("b", 1, 0)]
+
+
+def test_offsets_up_to_a_day(spark):
+    from tidewire.functions.checks import instant_text
+
+    cases = {
+        "2024-01-01T00:00:00+19:00": datetime(2023, 12, 31, 5), "2024-01-01T00:00:00.5-2330": datetime(2024, 1, 1, 23, 30, 0, 500_000),
+        "2024-01-01T00:00:00+23:00": datetime(2023, 12, 31, 1), "2024-01-01T00:00:00+05:30": datetime(2023, 12, 31, 18, 30),
+        "2024-01-01T00:00:00-18:00": datetime(2024, 1, 1, 18), "2024-01-01T00:00:00+24:00": None,
+        "2024-02-30T00:00:00+19:00": None, "2024-01-01T00:00:00+19:60": None,
+    }
+    rows = frame(spark, [(t,) for t in cases], "t string").select("t", instant_text(F.col("t")).alias("at"))
+    assert {r["t"]: r["at"] for r in rows.collect()} == cases
+
+
+def test_weather_codes_and_minutes_with_offset(spark):
+    from tidewire.operators import external
+    from tidewire.schemas import WEATHER_RESPONSE
+    from tidewire.sources import landed
+
+    current = ('"weather_code":61.0', '"weather_code":61', '"weather_code":61.5', '"time":"2024-01-01T00:00+01:00"')
+    rows = [('{"city":"London","current":{%s}}' % c, seconds(i)) for i, c in enumerate(current)]
+    parsed = landed.parse_responses(frame(spark, rows, "response string, received_at timestamp"), WEATHER_RESPONSE)
+    found = external.weather_normalize(parsed).orderBy("ingested_at").collect()
+    assert [r["tags"]["condition"] for r in found] == ["Light Rain", "Light Rain", "Unknown", "Clear"]
+    assert [r["metrics"]["weather_code"] for r in found] == [61.0, 61.0, 61.5, 0.0]
+    assert found[3]["timestamp"] == datetime(2023, 12, 31, 23)
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    from pathlib import Path
+
+    from tidewire.session import cut_lineage, drop_scratch, shared_dir
+
+    assert cut_lineage(spark.range(3)).count() == 3
+    folder = Path(shared_dir(spark).removeprefix("file:")) / spark.sparkContext.applicationId
+    assert folder.is_dir()
+    drop_scratch(spark)
+    assert not folder.exists()
