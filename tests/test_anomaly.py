@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import frame
+from conftest import frame, values
 from tidewire.operators import alerts
 from tidewire.operators.anomaly import anomaly_zscore
 
@@ -79,3 +79,17 @@ def test_no_task_holds_a_long_series(spark):
     plan = anomaly_zscore(frame(spark, rows, SCHEMA), series_rows=500, block_rows=200)
     assert "_block" in plan._jdf.queryExecution().optimizedPlan().toString()
     assert plan.filter(F.col("n_samples") == 100).count() == 1901
+
+
+def test_samples_of_one_instant_are_cut_into_blocks(spark):
+    from tidewire.operators.anomaly import _with_blocks
+
+    rng = random.Random(12)
+    rows = [("bulk", "t", f"{i:06d}", datetime(2024, 1, 1), rng.gauss(10, 2)) for i in range(6000)]
+    rows += [("bulk", "t", f"{i:06d}", datetime(2024, 1, 1, 0, 0, i % 50), rng.gauss(10, 2)) for i in range(6000, 6400)]
+    data = frame(spark, rows, "device_id string, metric string, event_id string, ts timestamp, value double")
+    blocks = _with_blocks(data, 500, 1_000_000).filter("NOT _context").groupBy("_block").count().collect()
+    assert sum(r["count"] for r in blocks) == 6400 and max(r["count"] for r in blocks) < 1500
+    columns = ["event_id", "n_samples", "is_anomaly", *[F.round(F.col(c), 8).alias(c) for c in ("mean", "std_dev", "z_score")]]
+    cut = anomaly_zscore(data, series_rows=1000, block_rows=500).select(*columns)
+    assert values(cut) == values(anomaly_zscore(data).select(*columns))

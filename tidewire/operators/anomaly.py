@@ -19,6 +19,8 @@ Z_THRESHOLD = 3.0
 SERIES_ROWS = 2_000_000
 BLOCK_ROWS = 500_000
 BIN_MICROS = 1_000_000
+PARTS_PER_BLOCK = 4
+MAX_PARTS = 10_000
 
 SERIES = ("device_id", "metric")
 ORDER = ("ts", "event_id")
@@ -87,10 +89,11 @@ def _with_blocks(readings: DataFrame, block_rows: int, bin_micros: int) -> DataF
     """
     series = list(SERIES)
     reach = WINDOW_SIZE - 1
-    in_time = Window.partitionBy(*series).orderBy("_bin")
-    binned = readings.withColumn("_bin", F.floor(micros(F.col("ts")) / bin_micros))
+    place = ["_bin", "_part"]
+    in_time = Window.partitionBy(*series).orderBy(*place)
+    binned = _with_bins(readings, block_rows, bin_micros)
     bins = (
-        binned.groupBy(*series, "_bin")
+        binned.groupBy(*series, *place)
         .agg(F.count("*").alias("_n"))
         .withColumn("_end", F.sum("_n").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_before", F.col("_end") - F.col("_n"))
@@ -105,18 +108,43 @@ def _with_blocks(readings: DataFrame, block_rows: int, bin_micros: int) -> DataF
     near = F.filter(ahead, lambda b: b["start"] - F.col("_end") < reach)
     targets = bins.withColumn("_near", near).select(
         *series,
-        "_bin",
+        *place,
         F.concat(
             F.array(F.struct(F.col("_block").alias("_block"), F.lit(False).alias("_context"))),
             F.transform("_near", lambda b: F.struct(b["block"].alias("_block"), F.lit(True).alias("_context"))),
         ).alias("_targets"),
     )
     return (
-        binned.join(targets, [*series, "_bin"])
+        binned.join(targets, [*series, *place])
         .select(*readings.columns, F.inline("_targets"))
     )
 
 
+def _with_bins(readings: DataFrame, block_rows: int, bin_micros: int) -> DataFrame:
+    """Adds the time bin, and the part of a bin that alone holds more rows than a block.
+
+    Such bins, of a bulk load stamped once, are cut into ranges of the order within them. The
+    ranges are written, as they come from a sample and both counts and rows need the same ones.
+    """
+    series = list(SERIES)
+    binned = readings.withColumn("_bin", F.floor(micros(F.col("ts")) / bin_micros))
+    counts = binned.groupBy(*series, "_bin").agg(F.count("*").alias("_n"))
+    crowded = cut_lineage(counts.filter(F.col("_n") > block_rows), "crowded")
+    rows = crowded.agg(F.sum("_n")).first()[0]
+    if rows is None:
+        return binned.withColumn("_part", F.lit(0))
+    marked = crowded.drop("_n")
+    marked = F.broadcast(marked) if fits(marked) else marked
+    parts = min(MAX_PARTS, -(-rows * PARTS_PER_BLOCK // block_rows))
+    ranged = (
+        binned.join(marked, [*series, "_bin"], "left_semi")
+        .repartitionByRange(parts, *series, *ORDER)
+        .withColumn("_part", F.spark_partition_id())
+    )
+    rest = binned.join(marked, [*series, "_bin"], "left_anti").withColumn("_part", F.lit(0))
+    return rest.unionByName(cut_lineage(ranged, "parts"))
+
+
 def recent_samples(readings: DataFrame, n: int = WINDOW_SIZE) -> DataFrame:
     """The newest `n` samples per series."""
     newest = Window.partitionBy(*SERIES).orderBy(F.col("ts").desc(), F.col("event_id").desc())
