@@ -136,9 +136,10 @@ def test_rules_at_their_thresholds(spark):
     ]
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0])
-def test_device_rules_with_broadcast_and_with_salt(spark, limit, monkeypatch):
+@pytest.mark.parametrize("limit, heavy", [(joins.BROADCAST_ROWS, 1), (0, 1), (0, 100)])
+def test_device_rules_with_broadcast_and_with_salt(spark, limit, heavy, monkeypatch):
     monkeypatch.setattr(joins, "fits", lambda dim, _=None: dim.count() <= limit)
+    monkeypatch.setattr(joins, "HEAVY_ROWS", heavy)
     rules = alerts.rules_frame(spark, [
         ("all", "*", "t", ">=", 5.0, "info", "m"), ("mine", "a", "t", "<=", 5.0, "info", "m"),
         ("glob", "a*", "t", ">", 0.0, "info", "m"),
@@ -274,9 +275,10 @@ def test_board_merges_metrics_and_keeps_tags(spark):
     assert board["timestamp"] == seconds(3)
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0])
-def test_each_client_gets_each_message_once(spark, limit, monkeypatch):
+@pytest.mark.parametrize("limit, heavy", [(joins.BROADCAST_ROWS, 30), (0, 30), (0, 1_000)])
+def test_each_client_gets_each_message_once(spark, limit, heavy, monkeypatch):
     monkeypatch.setattr(joins, "fits", lambda dim, _=None: dim.count() <= limit)
+    monkeypatch.setattr(joins, "HEAVY_ROWS", heavy)
     rng = random.Random(5)
     clients, devices = [f"c{i}" for i in range(6)], ["d1", "d2", "d3"]
     log = [(rng.choice(clients), i, rng.choice(["subscribe", "unsubscribe"]), rng.choice(["*"] * 3 + devices)) for i in range(80)]
