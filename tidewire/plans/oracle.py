@@ -762,6 +762,7 @@ define(
     "closed AS (SELECT max(time) - INTERVAL 10 MINUTE AS mark FROM tele)",
 )
 ORACLE["realtime_dedup_stream"] = ORACLE["realtime_dedup"]
+ORACLE["alert_cooldown_stream"] = ORACLE["alert_cooldown"]
 define(
     "latest_state_stream",
     f"""SELECT event_id, {STATE.replace('ingested_at', 'ingested_at + (CASE id % 5 WHEN 1 THEN 2190 WHEN 2 THEN -365 ELSE 0 END) * INTERVAL 1 DAY AS ingested_at')}

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tidewire.functions.maps import entry
 from tidewire.functions.times import at
 from tidewire.operators import ingest, rollup, validate
+from tidewire.operators.alerts import alerts_rules
 from tidewire.operators.anomaly import samples
 from tidewire.plans import adapter
-from tidewire.plans.catalog import MEASURES, QUERIES, ROLLED, _alerts, _ntz, _rounded, _silver, query
+from tidewire.plans.catalog import COOLDOWN_SECONDS, MEASURES, QUERIES, ROLLED, _alerts, _ntz, _rounded, _silver, query
 from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
 from tidewire.sources import event_log, tables
@@ -252,6 +253,15 @@ def latest_state_stream(spark, sf):
     return _ntz(s, "timestamp", "ingested_at")
 
 
+@query
+def alert_cooldown_stream(spark, sf):
+    """The cooldown reaches over triggers."""
+    stream = _arrivals(triggers(by_arrival(adapter.events(spark, sf), 3), "events"))
+    cooled = jobs.cooled_alert_stream(alerts_rules(stream, arrival="arrived_at"), COOLDOWN_SECONDS)
+    path = to_files(cooled, "append", scratch_path(spark, "cooled"), False)
+    return _ntz(spark.read.parquet(path), "triggered_at")
+
+
 def _outputs(spark: SparkSession) -> jobs.RealtimeOutputs:
     path = scratch_path(spark, "realtime")
     return jobs.RealtimeOutputs(*[f"{path}/{name}" for name in ("alerts", "live", "state", "log")])

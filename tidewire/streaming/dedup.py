@@ -1,4 +1,4 @@
-"""Idempotency of the realtime stream: keyed marks, so that no event is late."""
+"""Idempotency and alert cooldown of the realtime stream: keyed marks, so that no event is late."""
 
 from __future__ import annotations
 
@@ -11,23 +11,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import TimestampType
 
+from tidewire.operators.dedup import PROCESSED_TTL_SECONDS
+
 # Python workers get the processor's code with the query and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class FirstArrival(StatefulProcessor):
-    """Holds when an event id was last accepted.
+    """Holds when a row of the key was last accepted.
 
-    A copy passes once it arrives a TTL after that. Of one trigger's rows of an id, one per arrival
-    time is held in memory.
+    Another one passes once it arrives a TTL after that. Of one trigger's rows of a key, one per
+    arrival time is held in memory.
     """
 
     def __init__(self, arrival: str, ttl_seconds: int, ties: tuple[str, ...]) -> None:
         self._arrival, self._ttl, self._ties = arrival, ttl_seconds, ties
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # The store forgets a mark a TTL of processing time after it was set.
-        self._mark = handle.getValueState("mark", "at bigint", self._ttl * 1000)
+        # The store forgets by the wall clock; a day at least, so that slow triggers lose no short mark.
+        held = max(self._ttl, PROCESSED_TTL_SECONDS)
+        self._mark = handle.getValueState("mark", "at bigint", held * 1000)
 
     def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
         def rank(row: Row) -> tuple:
@@ -56,14 +59,15 @@ def first_arrivals(
     ttl_seconds: int,
     arrival: str = "arrived_at",
     ties: tuple[str, ...] = ("device_id", "source"),
+    keys: tuple[str, ...] = ("event_id",),
 ) -> DataFrame:
-    """Stream counterpart of `realtime_dedup`: equal to it while each id's rows come in order of arrival.
+    """Stream counterpart of `keep_spaced`: equal to it while each key's rows come in order of arrival.
 
     Needs the RocksDB state store. Times pass Python as microseconds and so keep their exact value.
     """
     times = [f.name for f in events.schema.fields if isinstance(f.dataType, TimestampType)]
     rows = events.withColumns({c: F.unix_micros(c) for c in times})
-    kept = rows.groupBy("event_id").transformWithState(
+    kept = rows.groupBy(*keys).transformWithState(
         statefulProcessor=FirstArrival(arrival, ttl_seconds, ties),
         outputStructType=rows.schema,
         outputMode="append",

@@ -183,6 +183,11 @@ def read_state(
     return alive if arrivals else alive.drop("arrived_at")
 
 
+def cooled_alert_stream(fired: DataFrame, seconds: int) -> DataFrame:
+    """Alerts without those of a (device, rule) within `seconds` of the last one let through."""
+    return first_arrivals(fired, seconds, "triggered_at", ("alert_id",), ("device_id", "rule_id"))
+
+
 def realtime_job(accepted: DataFrame, outputs: RealtimeOutputs, rules: DataFrame | None = None) -> DataStreamWriter:
     return accepted.writeStream.foreachBatch(realtime_batch(outputs, rules))
 
