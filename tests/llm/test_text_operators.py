@@ -217,6 +217,29 @@ def test_base_spans():
     assert spans == [("assign", "ToKeN=x_y-z.1"), ("access", "AKIA" + "A" * 16), ("hex", "0a" * 12)]
 
 
+def test_further_spans_touch_nothing_in_a_long_text():
+    rng = random.Random(3)
+    alphabet = "ABCDEFGHJKabcdefghjk0123456789"
+    words = []
+    for _ in range(20_000):
+        word = "".join(rng.choices(alphabet, k=30))
+        words.append(rng.choice([word, f"ghp_{word}", f"token={word}", f"eyJ{word}.eyJ{word}.{word}", word.lower(), "0a" * 13]))
+    text = " ".join(words)
+    base = secrets.base_spans(text)
+    further = secrets.further_spans(text, base)
+    assert {k for _, k, _, _ in further} == {3, 5, 6}
+    assert all(a[2] <= b[0] for a, b in zip(further, further[1:], strict=False))
+    inside = {i for s, _, e, _ in base for i in range(s, e)}
+    assert not any(s in inside or e - 1 in inside for s, _, e, _ in further)
+    few = " ".join(words[:200])
+    held, expected = [(s, e) for s, _, e, _ in secrets.base_spans(few)], []
+    for span in sorted(secrets.further_spans(few, []), key=lambda x: (x[1], x[0])):
+        if not any(span[0] < e and s < span[2] for s, e in held):
+            expected.append(span)
+            held.append((span[0], span[2]))
+    assert secrets.further_spans(few, secrets.base_spans(few)) == sorted(expected)
+
+
 def test_owners_decide_on_further_spans(spark):
     value = "Zk9Qw3Lm7Xp2Rt8Vb4Nc6Yh1"
     rows = [(i, f"see {value} here", f"s{i}") for i in range(4)] + [(9, f"see {value[::-1]} here", "s1"), (9, None, None)]

@@ -91,12 +91,16 @@ def further_spans(text: str, base: list[Span]) -> list[Span]:
         ):
             found.append((m.start(), 6, m.end(), value))
     # In order of place; what reaches into an earlier one or into a base span is left out.
-    taken = [(s, e) for s, _, e, _ in base]
-    out = []
+    if not found:
+        return []
+    taken, out = bytearray(len(text)), []
+    for start, _, end, _ in base:
+        taken[start:end] = b"\1" * (end - start)
     for span in sorted(found, key=lambda x: (x[1], x[0])):
-        if not any(span[0] < e and s < span[2] for s, e in taken):
+        start, _, end, _ = span
+        if taken.find(1, start, end) < 0:
+            taken[start:end] = b"\1" * (end - start)
             out.append(span)
-            taken.append((span[0], span[2]))
     return sorted(out)
 
 
