@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from conftest import frame, values
 from tidewire.functions.numbers import to_fixed
 from tidewire.operators import alerts, dedup, external, fanout, history, quality, rollup, silver, state
-from tidewire.operators import joins
+from tidewire import session
+from tidewire.operators import joins, spacing
 from tidewire.operators.spacing import keep_spaced
 
 T0 = datetime(2024, 1, 1)
@@ -99,6 +100,29 @@ def test_spacing_equals_the_sequential_rule(spark, fold_limit, gap):
     assert sorted((r["k"], int((r["t"] - T0).total_seconds())) for r in kept.collect()) == spaced_reference(rows, gap)
 
 
+def test_hot_key_without_broadcasts(spark, monkeypatch):
+    plans = {}
+
+    def recording(df, name="stage"):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return session.cut_lineage(df, name)
+
+    monkeypatch.setattr(spacing, "fits", lambda _: False)
+    monkeypatch.setattr(spacing, "cut_lineage", recording)
+    rng = random.Random(11)
+    rows = [("hot" if i % 3 else f"k{i % 50}", rng.randrange(0, 9000)) for i in range(1500)]
+    data = frame(spark, [(k, seconds(t), f"{i:04d}") for i, (k, t) in enumerate(rows)], "k string, t timestamp, i string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep_spaced(data, ["k"], "t", 60, ["i"], fold_limit=50).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r["k"], int((r["t"] - T0).total_seconds())) for r in kept) == spaced_reference(rows, 60)
+    # AQE splits a skewed join only where nothing above it needs the key's rows together.
+    assert "Join" in plans["candidates"] and "Aggregate" not in plans["candidates"]
+
+
 def test_processed_mark_expires_after_a_day(spark):
     hour = 3600
     arrivals = [0, 23 * hour + 3540, 24 * hour, 25 * hour, 48 * hour]

@@ -253,6 +253,33 @@ def test_telemetry_table_prunes_days_and_drops_expired_ones(spark, tmp_path):
     assert tables.read_telemetry(spark, path).count() == 6
 
 
+def test_history_of_a_stored_rollup_skips_days(spark, tmp_path):
+    from tidewire.operators import history, rollup
+
+    path = str(tmp_path / "r1m")
+    rows = [(datetime(2024, 1, d, 12), "d", f"e{d}", {"temperature": float(d)}, {}, "http", datetime(2024, 1, d, 13)) for d in range(1, 11)]
+    tables.write_rollup(rollup.rollup_1m(frame(spark, rows, tables.TELEMETRY)), path)
+    stored = {"1m": tables.read_rollup(spark, path)}
+    result = history.history(stored, "d", "2024-01-10T00:00:00", "2024-01-03T00:00:00", "2024-01-04T12:00:00", "1m")
+    assert [r["temperature"] for r in result.collect()] == [3.0, 4.0]
+    scan = result._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in scan and "EqualTo(device_id,d)" in scan
+
+
+def test_cooldown_reaches_over_triggers(spark, tmp_path):
+    path, out = str(tmp_path / "alerts"), str(tmp_path / "out")
+    schema = "alert_id string, device_id string, rule_id string, triggered_at timestamp"
+    fired = [(0, "a"), (299, "a"), (300, "a"), (10, "b"), (599, "a"), (601, "a"), (309, "b"), (310, "b")]
+    for n in range(0, len(fired), 3):
+        rows = [(f"{i}", d, "r", T0 + timedelta(seconds=s)) for i, (s, d) in enumerate(fired)][n : n + 3]
+        frame(spark, rows, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        writer = jobs.cooled_alert_stream(stream, 300).writeStream.format("parquet").option("path", out)
+        jobs.start(writer, f"{out}-checkpoint", {"availableNow": True}, idle_batches=False).awaitTermination()
+    kept = {(r["device_id"], int((r["triggered_at"] - T0).total_seconds())) for r in spark.read.parquet(out).collect()}
+    assert kept == {("a", 0), ("a", 300), ("a", 601), ("b", 10), ("b", 310)}
+
+
 def test_landed_responses(spark, tmp_path):
     from tidewire.operators import external
     from tidewire.sources import landed
