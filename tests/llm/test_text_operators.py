@@ -324,6 +324,33 @@ def test_boilerplate_of_other_layouts():
     assert mincut.main_text(page) == "Title\nFirst para\xadgraph & more words of it, enough of them.\nSecond one also has words."
 
 
+def test_elements_named_like_raw_ones_lose_no_text():
+    words = "has words enough to be kept as a paragraph."
+    for tag in ("<svg-icon name=x></svg-icon>", "<title-bar>", "<select-box></select-box>", "<template-x>", "<svg class='a' />", '<math x="a>b"/>'):
+        assert mincut.main_text(f"<p>One {words}</p>{tag}<p>Two {words}</p>") == f"One {words}\nTwo {words}"
+    assert mincut.main_text(f"<p>One {words}</p><svg><text>drawn</text></svg><select><option>a</select><p>Two {words}</p>") == f"One {words}\nTwo {words}"
+
+
+def test_names_alone_lose_no_article():
+    short, long = "This one has words enough to be kept as a paragraph.", "A sentence of plain words goes on " * 8 + "to its end."
+    text = f"<h1>Title</h1><p>{short}</p><p>{long}</p>"
+    expected = f"Title\n{short}\n{long}"
+    for opening, closing in (
+        ("<div class='layout has-sidebar'>", "</div>"),
+        ("<div class='content-with-sidebar'>", "</div>"),
+        ("<article class='post type-post tag-news'>", "</article>"),
+        ("<article class='entry legal-notes'>", "</article>"),
+        ("<div class='entry legal-notes'>", "</div>"),
+        ("<div class='sidebar'><main class='search'>", "</main></div>"),
+        ("<div id='page' class='widget'><article>", "</article></div>"),
+    ):
+        assert mincut.main_text(f"<body>{opening}{text}{closing}</body>") == expected
+    assert mincut.main_text(f"<div class='sidebar'><p>{long}</p><p>{long}</p></div>") == f"{long}\n{long}"
+    comments = f"<ol id='comments' class='comment-list'><li><article class='comment-body'><p>{long}</p></article></li></ol>"
+    widget = f"<div class='site-footer'><div class='widget'><p>{long}</p></div></div><div class='left-sidebar'><p>{short}</p></div>"
+    assert mincut.main_text(f"<article>{text}</article>{comments}{widget}") == expected
+
+
 def test_minimum_cut_is_minimal():
     random.seed(3)
     for _ in range(60):

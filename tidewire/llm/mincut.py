@@ -7,6 +7,10 @@ parent, and with the one before it in the same section; cutting one costs its we
 finds the labelling of least cost: first, blocks whose own capacity outweighs all their edges
 are settled and hand their edges' weight to their neighbours; augmenting paths settle the rest.
 
+A name in a class, id, role or label speaks against an element if it is made up of words for boilerplate as a whole.
+It is a cost, which long paragraphs without links or neighbours that are content can outweigh; nested names add up.
+`main`, an `article` that isn't itself called so (as a comment may be), and elements that hold one bear none.
+
 Raw text elements, comments, markup and attributes never become text. Character references are decoded, white
 space inside a block becomes one space, and content blocks are joined by a line feed in page order; nothing else
 is changed or cut. Unclosed tags end where the page ends. A null or empty page has an empty text; repeated
@@ -27,12 +31,13 @@ from tidewire.llm.common import in_batches, texts
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|math|title|select|object)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)"
+    r"|<(?=(script|style|noscript|template|textarea|iframe|svg|math|title|select|object)(?:[\s/>]|\Z))"
+    r"(?:(?:svg|math)(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|\1[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z))"
     r"|<(/?)([a-z][a-z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|</[^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+HINT = re.compile(r"(?<![\w-])(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 # Names of elements, and words in names of classes.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -43,18 +48,24 @@ CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 SECTIONS = frozenset("article main section div body nav aside header footer form ul ol table blockquote".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog button fieldset header head".split())
 CONTENT = frozenset("article main".split())
-BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|sidebar|side|footer|header|masthead|cookies?|consent|"
+BAD_WORD = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|sidebar|side|footer|header|masthead|cookies?|consent|"
     r"notice|alert|popup|modal|overlay|comments?|commentlist|disqus|respond|repl(?:y|ies)|share|sharing|social|related|recommend\w*|"
     r"newsletter|subscri\w*|signup|login|search|breadcrumbs?|pag(?:er|ination)|widget|toolbar|copyright|legal|navigation|"
-    r"complementary|contentinfo|tags?|outbrain|taboola)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"complementary|contentinfo|tags?|outbrain|taboola)"
+)
+# Words that leave a name what it is: `site-footer`, `left-sidebar`, `comment-body`, but not `has-sidebar`.
+PLACE_WORD = (
+    r"(?:site|page|main|global|primary|secondary|left|right|top|bottom|upper|lower|list|items?|area|bar|box|block|inner|outer|"
+    r"wrap|wrapper|container|section|panel|form|links?|icons?|buttons?|posts?|articles?|stories|content|body|text|title|\d+)"
 )
+BAD_NAME = re.compile(rf"(?:{PLACE_WORD}[\s_-]+)*{BAD_WORD}(?:[\s_-]+(?:{BAD_WORD}|{PLACE_WORD}))*", re.IGNORECASE)
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.IGNORECASE)
 
 # The classifier: what speaks for content (above 0) and against it.
 BIAS = -0.5
 IN_BOILERPLATE = -9.0
+BADLY_NAMED = -2.75
 IN_CONTENT = 5.0
 PARAGRAPH = 1.0
 PER_WORD, MOST_WORDS = 0.05, 2.0
@@ -64,14 +75,16 @@ ENDS_SENTENCE = 0.5
 NEXT_TO, SAME_PARENT, SAME_SECTION = 0.4, 0.6, 0.5
 
 
-@dataclass
-class Block:
-    text: str
-    parent: int
-    section: int
-    surroundings: float
-    paragraph: bool
-    linked: int
+def said(attributes: str) -> tuple[bool, bool]:
+    """Whether an element's names speak against it, and for it. A label is one name, other attributes have one a word."""
+    bad = good = False
+    for attribute, *value in HINT.findall(attributes):
+        value = "".join(value)
+        names = [value.strip()] if attribute.lower() == "aria-label" else value.split()
+        for n in names:
+            against = BAD_NAME.fullmatch(n) is not None
+            bad, good = bad or against, good or not against and GOOD_NAME.search(n) is not None
+    return bad, good
 
 
 @dataclass
@@ -79,7 +92,23 @@ class Element:
     name: str
     number: int
     section: int
-    surroundings: float
+    tags: float
+    named: tuple[Element, ...] = ()
+    holds_content: bool = False
+
+    @property
+    def surroundings(self) -> float:
+        return self.tags + BADLY_NAMED * sum(not e.holds_content for e in self.named)
+
+
+@dataclass
+class Block:
+    text: str
+    parent: int
+    section: int
+    element: Element
+    paragraph: bool
+    linked: int
 
 
 @dataclass
@@ -135,19 +164,22 @@ class Page:
         self.in_link = 0
         self.elements += 1
         above = self.stack[-1]
-        surroundings = above.surroundings
+        bad, good = said(attributes) if "=" in attributes else (False, False)
+        content = name == "main" or name == "article" and (good or not bad)
+        tags, named = above.tags, above.named
         if name in BOILERPLATE:
-            surroundings = IN_BOILERPLATE
-        elif name in CONTENT and surroundings >= 0:
-            surroundings = IN_CONTENT
-        if "=" in attributes:
-            names = " ".join(a or b or c for a, b, c in HINT.findall(attributes))
-            if names and BAD_NAME.search(names) and name not in ("html", "body"):
-                surroundings = IN_BOILERPLATE
-            elif names and surroundings == 0 and GOOD_NAME.search(names):
-                surroundings = IN_CONTENT / 2
+            tags = IN_BOILERPLATE
+        elif content and tags >= 0:
+            tags, named = IN_CONTENT, ()
+            for element in self.stack:
+                element.holds_content = True
+        elif good and not bad and tags == 0 and not named:
+            tags = IN_CONTENT / 2
         section = self.elements if name in SECTIONS else above.section
-        self.stack.append(Element(name, self.elements, section, surroundings))
+        element = Element(name, self.elements, section, tags, named)
+        if bad and not content and name not in ("html", "body"):
+            element.named = (*named, element)
+        self.stack.append(element)
 
     def _close(self, name: str) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
@@ -165,7 +197,7 @@ class Page:
             here = self.stack[-1]
             above = self.stack[-2].number if len(self.stack) > 1 else 0
             paragraph = here.name == "p" or here.name[:1] == "h" and here.name[1:].isdigit()
-            self.blocks.append(Block(text, above, here.section, here.surroundings, paragraph, min(self.linked, len(text))))
+            self.blocks.append(Block(text, above, here.section, here, paragraph, min(self.linked, len(text))))
         self.parts.clear()
         self.linked = 0
 
@@ -175,7 +207,7 @@ def content_score(block: Block) -> float:
     text = block.text
     return (
         BIAS
-        + block.surroundings
+        + block.element.surroundings
         + PARAGRAPH * block.paragraph
         + min(MOST_WORDS, PER_WORD * (text.count(" ") + 1))
         + LINKED * block.linked / len(text)
