@@ -250,6 +250,21 @@ def test_owners_decide_on_further_spans(spark):
     assert sorted(map(str, redacted)) == ["None", "see [SECRET] here"]
 
 
+def test_repositories_decide_inside_one_owner(spark):
+    wide, copied, own = "Zk9Qw3Lm7Xp2Rt8Vb4Nc6Yh1", "Ab3Cd5Ef7Gh9Jk2Lm4Np6Qr8", "Qr7St9Uv2Wx4Yz6Ab8Cd3Ef5"
+    n = secrets.EXAMPLE_REPOSITORIES
+    rows = [(i, f"text {i} has {wide} here", "s1") for i in range(n)]
+    rows += [(100 + i, f"copy of {copied} here", "s1") for i in range(3 * n)]
+    rows += [(200 + i, f"text {i} has {own} here", "s1") for i in range(n - 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    told = {k: (r.n_live, r.n_example, len(r.spans), *[(c.owners, c.repositories) for c in r.counts]) for k, r in found.items()}
+    assert {told[i] for i in range(n)} == {(0, 1, 0, (1, n))}
+    assert {told[100 + i] for i in range(3 * n)} == {(1, 0, 1, (1, 1))}
+    assert {told[200 + i] for i in range(n - 1)} == {(1, 0, 1, (1, n - 1))}
+    assert all(("[SECRET]" in r.text) == (r.doc_id >= 100) for r in secrets.redact(docs).collect())
+
+
 def test_secrets_of_messy_rows(messy, nothing):
     found = secrets.find_secrets(messy).collect()
     assert len(found) == messy.count()

@@ -2,12 +2,14 @@
 
 Every text is scanned for candidates: the base kinds `assign`, `access` and `hex`, and further kinds that
 lie outside the base spans. A candidate's value is hashed, and its hash is counted over all documents by
-distinct repositories and distinct owners. A value that `EXAMPLE_OWNERS` or more owners have is a widely
-copied example; one with fewer owners that looks random is a live-looking credential of its
-owner. Base spans always stay; a further candidate becomes a span only if it is live-looking.
+distinct repositories and distinct owners. A value that `EXAMPLE_OWNERS` or more owners or `EXAMPLE_REPOSITORIES` or
+more repositories have is a widely copied example, also if it stays inside one owner; one in fewer that looks
+random is a live-looking credential of its owner. Exact copies of a text are one repository, as a document
+that is stored often says no more of its values than one that is stored once; they still count for each of
+their owners. Base spans always stay; a further candidate becomes a span only if it is live-looking.
 
-Counts are made of (hash, owner, repository) triples and then of (hash, owner) pairs, so that a value in a
-third of all documents is spread over tasks and summed up before it meets.
+Counts are made of (hash, owner) and (hash, repository) pairs, so that a value in a third of all documents
+is spread over tasks and summed up before it meets.
 
 A null text is empty, a null owner or repository is one of its own. Rows equal in key and text get equal
 results and count once. An empty table gives an empty one. Only the named columns are read.
@@ -28,6 +30,7 @@ from tidewire.llm.common import fresh, in_batches, sha256, texts
 from tidewire.session import cut_lineage
 
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 10
 # Kinds in their order, base ones first, and their patterns.
 KINDS = ("assign", "access", "hex", "jwt", "pem", "vendor", "opaque")
 ASSIGN = re.compile(
@@ -110,6 +113,7 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 
 SPAN_TYPE = "struct<start: bigint, kind: int, stop: bigint>"
+COUNT_TYPE = "struct<start: bigint, kind: int, stop: bigint, owners: bigint, repositories: bigint>"
 CANDIDATE_TYPE = "struct<start: bigint, kind: int, stop: bigint, value: bigint, random: boolean>"
 SCANNED = (
     "row bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, "
@@ -165,15 +169,20 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[s
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """For every `value`: its distinct repositories and owners. Takes rows of (value, owner, repository)."""
-    return (
-        found.select("value", "owner", "repository")
+    """For every `value`: its distinct repositories and owners. Takes rows of (value, owner, repository, row).
+
+    A text (`row`) counts for one repository, the smallest that has it.
+    """
+    owners = found.select("value", "owner").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("owners"))
+    repositories = (
+        found.groupBy("value", "row")
+        .agg(F.min(F.struct(F.col("repository").isNull().alias("none"), "repository")).alias("repository"))
+        .select("value", "repository")
         .distinct()
-        .groupBy("value", "owner")
-        .agg(F.count(F.lit(1)).alias("repositories"))
         .groupBy("value")
-        .agg(F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"))
+        .agg(F.count(F.lit(1)).alias("repositories"))
     )
+    return owners.join(repositories, "value")
 
 
 def find_secrets(
@@ -183,8 +192,10 @@ def find_secrets(
     owner: str = "source",
     repository: str | None = None,
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
-    """One row per document: key, base counts and digest, `n_live`, `n_example`, and all `spans` in order.
+    """One row per document: key, base counts and digest, `n_live`, `n_example`, all `spans` in order, and
+    `counts`, every candidate's place with the owners and the repositories of its value.
 
     `repository` is the column that names where a document is kept, by default its key. `row` is a hash
     of the text, which tells rows with the same key apart.
@@ -198,7 +209,7 @@ def find_secrets(
     found = scanned.select("key", "row", "owner", "repository", F.explode("candidates").alias("c")).select(
         "key", "row", "owner", "repository", "c.*"
     )
-    widely = F.col("owners") >= example_owners
+    widely = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
     span = F.struct("start", "kind", "stop")
     added = (F.col("kind") > 2) & F.col("random") & ~widely
     judged = (
@@ -210,6 +221,7 @@ def find_secrets(
             F.collect_list(F.when(added, span)).alias("added"),
             F.count(F.when(~widely & F.col("random"), 1)).alias("n_live"),
             F.count(F.when(widely, 1)).alias("n_example"),
+            F.array_sort(F.collect_list(F.struct("start", "kind", "stop", "owners", "repositories"))).alias("counts"),
         )
     )
     joined = scanned.withColumns({"no_key": F.col("key").isNull(), "key_or_0": F.coalesce("key", F.lit(0))}).join(
@@ -221,6 +233,7 @@ def find_secrets(
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_example", F.lit(0)).alias("n_example"),
         F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans"),
+        F.coalesce("counts", F.array().cast(f"array<{COUNT_TYPE}>")).alias("counts"),
     )
 
 
