@@ -129,6 +129,50 @@ def test_code_lengths_by_hand():
     assert trees.code_lengths(texts)[:, 0] == pytest.approx([bits(t) for t in texts], abs=1e-4)
 
 
+def test_few_long_texts_are_learned_to_the_bound(spark):
+    rng = random.Random(4)
+    words = {name: ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(60)] for name, letters in (("x", "abcdefgh"), ("y", "ghijklmn"))}
+    long = lambda name, n: " ".join(rng.choices(words[name], k=n))
+    rows = [(i, long("x", 40_000), "x") for i in range(3)] + [(100 + i, long("y", 30), "y") for i in range(300)]
+    docs = spark.createDataFrame([*rows, (999, "", "z")], "doc_id bigint, text string, lang string")
+    drawn = langid.drawn_slices(docs, "doc_id", "text", "lang", 20_000)
+    chars = {r[0]: r[1] for r in drawn.groupBy("_lang").agg(F.sum(F.length("_text"))).collect()}
+    assert set(chars) == {"x", "y"} and all(18_000 <= n <= 20_000 for n in chars.values())
+    trees = langid.learn(docs, "doc_id", "text", "lang", 20_000)
+    assert trees.languages == ["x", "y"]
+    assert trees.predict([rows[0][1], rows[-1][1]])[0] == ["x", "y"]
+    # Slices with their context are learned like whole texts.
+    whole = langid.Trees.of(["x"], *counted_grams([r[1] for r in rows[:1]]))
+    sliced = langid.learn(docs.filter("doc_id = 0"), "doc_id", "text", "lang")
+    asked = [rows[1][1][:3000], "zz top", rows[-1][1]]
+    assert sliced.code_lengths(asked).tolist() == whole.code_lengths(asked).tolist()
+
+
+def counted_grams(texts):
+    import numpy as np
+
+    data, begins = langid.padded(texts)
+    grams = langid.grams(data, langid.ORDER, len(data))
+    gram, n = np.unique(grams, return_counts=True)
+    return np.zeros(len(gram), dtype=int), gram, n
+
+
+def test_noise_is_in_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 "
+    rows = [(100_000 + i, "".join(rng.choices(letters, k=rng.choice([36, 60, 400]))), None) for i in range(60)]
+    rows += [(200_000, "все люди рождаются свободными и равными", None), (300_000, "Qxz", None), (300_001, "日本", None)]
+    planted = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    trees = langid.learn(planted.filter(~langid.held_out("doc_id")), "doc_id", "text", "lang")
+    known = langid.limits(planted.filter(langid.held_out("doc_id")), trees)
+    found = langid.identify(planted, trees, keep=("text",))
+    assert found.filter("doc_id >= 100000 and score >= 0.3").count() > 50
+    kept = {r.doc_id for r in found.filter(langid.in_a_language(known)).collect()}
+    told = {r.doc_id for r in found.filter("doc_id < 100000 and lang_pred <> 'und'").collect()}
+    assert kept == told | {300_000, 300_001}
+
+
 def test_languages_of_messy_rows(messy, nothing):
     trees = langid.learn(messy, "doc_id", "text", "lang")
     found = langid.identify(messy, trees, keep=("text",)).collect()

@@ -7,9 +7,14 @@ costs 8 bits more. Statistics are counted on Spark from the learning rows and th
 length of a text doesn't depend on other texts. The language of the shortest code wins, the smaller
 name on a tie; the score is the winner's posterior under equal priors.
 
-Learning rows are a sample of known size: per language, rows are drawn by a hash of their key at the
-rate that gives `LEARN_CHARS` characters, whole texts only. The trees are bounded by it. Prediction
-covers every text from its first to its last byte.
+Learning rows are a sample of known size: texts are cut into slices of `SLICE_CHARS` characters, and per language
+slices are drawn in the order of a hash of key, text and slice number until they have `LEARN_CHARS` characters. A
+slice keeps the characters before it as context, so a language with fewer characters is learned as from whole
+texts. The trees are bounded by it, and a language that lies in few long texts reaches the bound, too. A language
+that nothing could be drawn from is left out. Prediction covers every text from its first to its last byte.
+
+A posterior doesn't tell whether a text is in any learned language: noise is a little less unlike one of them.
+Bits per byte do. `limits` learns from held-out texts how many a language's own texts take.
 
 A null text, or one without a letter, is `und` with score 0; so is every text when no row can be
 learned from. A null key counts as an empty one; repeated rows learn twice and are predicted alike.
@@ -27,9 +32,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import in_batches
+from tidewire.session import cut_lineage
 
 ORDER = 4
 LEARN_CHARS = 1_500_000
+SLICE_CHARS = 1_000
+SPARE = 1.3
+DRAWS = 1 << 40
+BUCKETS = 1 << 12
+# A text is unlike its language with more bits a byte than the median of the language's own held-out texts and twice
+# the way from there to their 99th percentile, or `LEAST_MARGIN` if that is more; `SHORT_BITS` are free in any text.
+LIMIT_TEXTS = 2_000
+FEW_TEXTS = 20
+LEAST_MARGIN = 2.5
+SHORT_BITS = 100
+SHORT_BYTES = 12
 SLICE = 1 << 19
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -176,36 +193,94 @@ class Trees:
         cost[left] += 8
         return cost
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Languages, their posteriors, and the bits per byte in them."""
         lengths = self.code_lengths([t or "" for t in texts])
         best = np.argmin(lengths, axis=1)
         odds = np.exp2(np.maximum(lengths.min(axis=1, keepdims=True) - lengths, -1000))
         score = 1 / odds.sum(axis=1)
         told = [bool(t and LETTER.search(t)) for t in texts]
+        per_byte = lengths.min(axis=1) / [max(1, len((t or "").encode())) for t in texts]
         return (
             [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best, told, strict=True)],
             [float(s) if ok else 0.0 for s, ok in zip(score, told, strict=True)],
+            per_byte.tolist(),
         )
 
 
-def learn(rows: DataFrame, key: str, text: str, lang: str, learn_chars: int = LEARN_CHARS) -> Trees | None:
-    """Trees from rows with a language; None when there are no such rows."""
+def by_language(values: dict, lang: Column) -> Column:
+    return F.create_map(*[x for name, v in values.items() for x in (F.lit(name), F.lit(v))])[lang]
+
+
+def drawn_slices(rows: DataFrame, key: str, text: str, lang: str, learn_chars: int) -> DataFrame | None:
+    """`_lang`, `_lead` (the characters before the slice) and `_text` of the slices to learn from; None if there are none.
+
+    Slices are drawn at a rate that gives somewhat more than enough, and then by buckets of their hash until the bound.
+    """
     rows = rows.select(key, text, lang).filter(F.col(lang).isNotNull() & (F.length(text) > 0))
     sizes = rows.groupBy(lang).agg(F.sum(F.length(text).cast("long")).alias("_chars"))
-    rates = {r[0]: min(1.0, learn_chars / r[1]) for r in sizes.collect()}
-    if not rates:
+    chars = {r[0]: r[1] for r in sizes.collect()}
+    if not chars:
         return None
-    languages = sorted(rates)
-    draw = F.pmod(F.xxhash64(F.lit("learn"), F.col(key)), F.lit(1_000_000)) / 1_000_000
-    rate = F.create_map(*[x for name, r in rates.items() for x in (F.lit(name), F.lit(r))])[F.col(lang)]
-    number = F.create_map(*[x for i, name in enumerate(languages) for x in (F.lit(name), F.lit(i))])[F.col(lang)]
-    drawn = rows.filter(draw < rate).select(F.col(text).alias("_text"), number.alias("_lang"))
+    ends = {name: max(1, round(min(1.0, SPARE * learn_chars / n) * DRAWS)) for name, n in chars.items()}
+
+    def draw(n: Column) -> Column:
+        return F.struct(n.alias("n"), F.pmod(F.xxhash64(F.col("_mark"), n), F.lit(DRAWS)).alias("draw"))
+
+    # Both arrays are a generator's output, so that the text is hashed once and not once a slice.
+    drawn = rows.select(
+        F.col(text).alias("_text"), F.col(lang).alias("_lang"), by_language(ends, F.col(lang)).alias("_end"),
+        F.explode(F.array(F.xxhash64(F.lit("learn"), F.col(key), F.col(text)))).alias("_mark"),
+    )
+    drawn = drawn.select(
+        "_text", "_lang", "_end",
+        F.explode(F.array(F.filter(F.transform(slices_of("_text"), draw), lambda s: s["draw"] < F.col("_end")))).alias("_drawn"),
+    ).filter(F.size("_drawn") > 0)
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [
+            (name, s["draw"] * BUCKETS // end, t[max(0, at - ORDER) : at], t[at : at + SLICE_CHARS])
+            for t, name, end, found in zip(*[batch.column(c).to_pylist() for c in ("_text", "_lang", "_end", "_drawn")], strict=True)
+            for s in found
+            for at in [s["n"] * SLICE_CHARS]
+        ]
+        kinds = (pa.string(), pa.int32(), pa.string(), pa.string())
+        names = ["_lang", "_bucket", "_lead", "_text"]
+        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], names)
+
+    cut_out = cut_lineage(in_batches(drawn, cut, "_lang string, _bucket int, _lead string, _text string"), "slices")
+    filled = cut_out.groupBy("_lang", "_bucket").agg(F.sum(F.length("_text").cast("long")).alias("n")).collect()
+    last = {}
+    for name in chars:
+        buckets = sorted((r["_bucket"], r["n"]) for r in filled if r["_lang"] == name)
+        whole = np.cumsum([n for _, n in buckets])
+        # A first bucket beyond the bound stays: equal rows are drawn together.
+        last[name] = buckets[max(0, int(np.searchsorted(whole, learn_chars, side="right")) - 1)][0] if buckets else -1
+    return cut_out.filter(F.col("_bucket") <= by_language(last, F.col("_lang")))
+
+
+def slices_of(text: str) -> Column:
+    """Numbers of a text's slices."""
+    return F.sequence(F.lit(0), F.floor((F.length(text) - 1) / SLICE_CHARS).cast("int"))
+
+
+def learn(rows: DataFrame, key: str, text: str, lang: str, learn_chars: int = LEARN_CHARS) -> Trees | None:
+    """Trees from rows with a language; None when there are no such rows."""
+    drawn = drawn_slices(rows, key, text, lang, learn_chars)
+    if drawn is None:
+        return None
+    languages = sorted(r[0] for r in drawn.select("_lang").distinct().collect())
+    if not languages:
+        return None
+    drawn = drawn.select(by_language({name: i for i, name in enumerate(languages)}, F.col("_lang")).alias("_lang"), "_lead", "_text")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, begins = padded(batch.column("_text").to_pylist())
+        leads = batch.column("_lead").to_pylist()
+        data, begins = padded([a + b for a, b in zip(leads, batch.column("_text").to_pylist(), strict=True)])
+        known = np.array([len(a.encode()) for a in leads], dtype=np.int64)
         owner = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(data)]))
         place = np.arange(ORDER, len(data))
-        inside = place - begins[owner[ORDER:]] >= ORDER
+        inside = place - begins[owner[ORDER:]] >= ORDER + known[owner[ORDER:]]
         language = batch.column("_lang").to_numpy()[owner[ORDER:]][inside].astype(np.int64)
         full = grams(data, ORDER, len(data))[inside] | language << 8 * (ORDER + 1)
         keys, counts = np.unique(full, return_counts=True)
@@ -222,18 +297,62 @@ def learn(rows: DataFrame, key: str, text: str, lang: str, learn_chars: int = LE
 
 
 def identify(docs: DataFrame, trees: Trees | None, key: str = "doc_id", text: str = "text", keep: tuple = ()) -> DataFrame:
-    """One row per document: its key, the columns to keep, `lang_pred` and `score`."""
+    """One row per document: its key, the columns to keep, `lang_pred`, `score` and `bits`, the bits per byte."""
     columns = [key, *[c for c in keep if c != key]]
     if trees is None:
-        return docs.select(*columns, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*columns, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, scores = trees.predict(batch.column(text).to_pylist())
+        names, scores, bits = trees.predict(batch.column(text).to_pylist())
         kept = [batch.column(c) for c in columns]
         return pa.RecordBatch.from_arrays(
-            [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"]
+            [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())],
+            [*columns, "lang_pred", "score", "bits"],
         )
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     source = docs.select(*dict.fromkeys([*columns, text]))
-    return in_batches(source, work, f"{schema}, lang_pred string, score double")
+    return in_batches(source, work, f"{schema}, lang_pred string, score double, bits double")
+
+
+def limits(rows: DataFrame, trees: Trees | None, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, float]:
+    """Bits per byte that a language's own texts stay below, from rows that weren't learned from.
+
+    A language with fewer than `FEW_TEXTS` texts has the limit of all texts together; without as many there is none.
+    """
+    if trees is None:
+        return {}
+    told = rows.select(key, text, lang).filter(F.col(lang).isin(trees.languages) & (F.octet_length(text) >= SHORT_BYTES))
+    counts = {r[0]: r[1] for r in told.groupBy(lang).count().collect()}
+    if not counts:
+        return {}
+    draw = F.pmod(F.xxhash64(F.lit("limits"), F.col(key), F.col(text)), F.lit(DRAWS))
+    ends = {name: round(min(1.0, LIMIT_TEXTS / n) * DRAWS) for name, n in counts.items()}
+    number = by_language({name: i for i, name in enumerate(trees.languages)}, F.col(lang))
+    drawn = told.filter(draw < by_language(ends, F.col(lang))).select(F.col(text).alias("_text"), number.alias("_lang"))
+
+    def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own, language = batch.column("_text").to_pylist(), batch.column("_lang").to_numpy()
+        bits = trees.code_lengths(own)[np.arange(len(own)), language] / [len(t.encode()) for t in own]
+        return pa.RecordBatch.from_arrays([batch.column("_lang"), pa.array(bits)], ["lang", "bits"])
+
+    found = in_batches(drawn, measure, "lang int, bits double").toArrow()
+    language, bits = found.column("lang").to_numpy(), found.column("bits").to_numpy()
+    out = {}
+    for i, name in enumerate(trees.languages):
+        own = bits[language == i]
+        own = own if len(own) >= FEW_TEXTS else bits
+        if len(own) >= FEW_TEXTS:
+            middle, high = np.quantile(own, [0.5, 0.99])
+            out[name] = float(middle + max(2 * (high - middle), LEAST_MARGIN))
+    return out
+
+
+def in_a_language(known: dict[str, float], text: str = "text") -> Column:
+    """Whether a row of `identify` is in the language found. Below `SHORT_BYTES` a letter is enough."""
+    size = F.octet_length(text)
+    told = F.col("lang_pred") != UNDETERMINED
+    if not known:
+        return told
+    limit = by_language(known, F.col("lang_pred"))
+    return told & (limit.isNull() | (size < SHORT_BYTES) | (F.col("bits") <= limit + SHORT_BITS / size))
