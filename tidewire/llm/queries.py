@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, langid, mincut, mixing, pieces, secrets, simhash, substring, syncmers, topk
+from tidewire.llm import chat, cuckoo, langid, mincut, mixing, pieces, secrets, simhash, substring, syncmers, topk
 from tidewire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,3 +151,17 @@ def op9_chat_windows(spark, sf):
 @query
 def op10_sentencepiece(spark, sf):
     return pieces.round_trip(table(spark, sf, "documents"), PIECES)
+
+
+@query
+def op12_cuckoo_dedup(spark, sf):
+    return cuckoo.exact_duplicates(table(spark, sf, "documents"))
+
+
+ORACLE["op12_cuckoo_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
