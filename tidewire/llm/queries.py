@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, cuckoo, langid, mincut, mixing, pieces, secrets, simhash, substring, syncmers, topk
+from tidewire.llm import chat, cuckoo, langid, mincut, mixing, pieces, secrets, simhash, spelling, substring, syncmers, topk
 from tidewire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,11 @@ def op10_sentencepiece(spark, sf):
     return pieces.round_trip(table(spark, sf, "documents"), PIECES)
 
 
+@query
+def op11_spelling_variants(spark, sf):
+    return spelling.variants(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op12_cuckoo_dedup(spark, sf):
     return cuckoo.exact_duplicates(table(spark, sf, "documents"))
