@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, cuckoo, langid, mincut, mixing, pieces, secrets, simhash, spelling, substring, syncmers, topk
+from tidewire.llm import chat, cuckoo, langid, mincut, mixing, phrases, pieces, secrets, simhash, spelling, substring, syncmers, topk
 from tidewire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +170,41 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op13_collocations(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents").select("text", "lang"))
+
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang HAVING sum(len(w)) > 0),
+spans AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM worded, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m
+), grams AS (SELECT lang, m, phrase, count(*) AS f FROM spans GROUP BY ALL HAVING count(*) >= 30),
+parts AS (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM grams WHERE m >= 2),
+inner_parts AS (
+  SELECT lang, f, array_to_string(w[s:s + k - 1], ' ') AS phrase
+  FROM parts, (SELECT unnest([2, 3]) AS k), (SELECT unnest([1, 2, 3]) AS s) WHERE k < m AND s + k - 1 <= m
+), longer AS (SELECT lang, phrase, max(f) AS most FROM inner_parts GROUP BY ALL),
+cuts AS (
+  SELECT p.lang, p.phrase, p.f AS a, k, l.f AS l, r.f AS r,
+         ((2000000::HUGEINT * p.f) // (l.f::HUGEINT + r.f::HUGEINT))::BIGINT AS score
+  FROM parts p, (SELECT unnest([1, 2, 3]) AS k), grams l, grams r
+  WHERE k < p.m AND l.lang = p.lang AND l.phrase = array_to_string(p.w[1:k], ' ')
+    AND r.lang = p.lang AND r.phrase = array_to_string(p.w[k + 1:p.m], ' ')
+), lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts) WHERE nth = 1
+), kept AS (
+  SELECT c.* FROM lowest c LEFT JOIN longer o ON c.lang = o.lang AND c.phrase = o.phrase
+  WHERE o.most IS NULL OR 100 * o.most::HUGEINT < 80 * c.a::HUGEINT
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT x.lang, rank, phrase, a, l, r, n, score FROM ranked x JOIN totals t ON x.lang = t.lang WHERE rank <= 2000
+"""
