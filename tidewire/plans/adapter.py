@@ -322,6 +322,21 @@ def subscription_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def client_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connections and subscriptions of 40 clients, half a second after the event that they are made from."""
+    e = source_events(spark, sf_dir)
+    return e.select(
+        X("concat('client-', lpad(cast(user_id % 40 as string), 2, '0'))").alias("client_id"),
+        F.col("id").alias("seq"),
+        X("timestamp_ntz'2024-01-01 00:00:00.5' + id * interval '1' second").alias("at"),
+        X(
+            "case when event_type = 'signup' and k < 25 then 'connect' when event_type = 'signup' and k < 40 then 'disconnect' "
+            "when event_type in ('purchase', 'error') then 'unsubscribe' else 'subscribe' end"
+        ).alias("action"),
+        X("case when k % 3 = 0 then '*' else concat('dev-', lpad(cast(k % 20 as string), 4, '0')) end").alias("device_id"),
+    )
+
+
 def offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Committed and end offsets per log partition; one partition has no end yet."""
     e = source_events(spark, sf_dir).withColumn("partition", X("cast(id % 8 as int)"))

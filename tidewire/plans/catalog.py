@@ -199,7 +199,7 @@ def pending_files(spark, sf):
 @query
 def manifest_compact(spark, sf):
     _, manifest = adapter.file_listing(spark, sf)
-    return quality.manifest_compact(manifest, 20)
+    return quality.manifest_compact(manifest)
 
 
 # --- telemetry table, rollups, history -----------------------------------------------------------
@@ -503,6 +503,22 @@ def live_client_feed(spark, sf):
     return fanout.client_feed(routed, members, "client-07").select("message_id", "type", "device_id")
 
 
+def _intervals(spark, sf):
+    return cut_lineage(fanout.audience_intervals(adapter.client_log(spark, sf)), "intervals")
+
+
+@query
+def live_fanout_asof(spark, sf):
+    routed = fanout.live_fanout_asof(_messages(spark, sf), _intervals(spark, sf))
+    return routed.select("message_id", "device_id", "type", "audience", "n_clients", "received_at")
+
+
+@query
+def live_client_feed_asof(spark, sf):
+    found = fanout.client_feed_asof(_messages(spark, sf), _intervals(spark, sf), "client-07")
+    return found.select("message_id", "type", "device_id", "audience")
+
+
 @query
 def live_device_filter(spark, sf):
     return fanout.live_device_filter(_messages(spark, sf), f" {DEVICE} ").select("message_id", "type", "device_id")

@@ -257,7 +257,7 @@ define(
 define(
     "manifest_compact",
     """SELECT path, processed_at FROM files WHERE first_id % 4 = 0
-ORDER BY processed_at DESC NULLS LAST, path DESC LIMIT 20""",
+ORDER BY processed_at DESC NULLS LAST, path DESC LIMIT 10000""",
     FILES,
 )
 
@@ -555,6 +555,45 @@ WHERE EXISTS (SELECT 1 FROM subscribed s WHERE s.client_id = 'client-07' AND s.d
     FIRED,
     SUBSCRIPTIONS,
 )
+# Who listens is asked for every pair of message and client: the connection, then `*` and the device within it.
+CONNECTIONS = """client_log AS (
+  SELECT 'client-' || lpad(CAST(user_id % 40 AS VARCHAR), 2, '0') AS client_id, id AS seq,
+         TIMESTAMP '2024-01-01 00:00:00.5' + CAST(id AS INTEGER) * INTERVAL 1 SECOND AS made,
+         CASE WHEN event_type = 'signup' AND k < 25 THEN 'connect' WHEN event_type = 'signup' AND k < 40 THEN 'disconnect'
+              WHEN event_type IN ('purchase', 'error') THEN 'unsubscribe' ELSE 'subscribe' END AS action,
+         CASE WHEN k % 3 = 0 THEN '*' ELSE 'dev-' || lpad(CAST(k % 20 AS VARCHAR), 4, '0') END AS device_id
+  FROM ev
+), marks AS (SELECT client_id, made, seq AS session, action AS mark FROM client_log WHERE action IN ('connect', 'disconnect')),
+every AS (SELECT client_id, made, seq, action = 'subscribe' AS wants FROM client_log WHERE action LIKE '%subscribe' AND device_id = '*'),
+single AS (SELECT client_id, device_id, made, seq, action = 'subscribe' AS wants FROM client_log WHERE action LIKE '%subscribe' AND device_id <> '*'),
+pairs AS (
+  SELECT m.message_id, m.type, m.device_id, date_trunc('millisecond', m.sent) AS sent, c.client_id
+  FROM messages m, (SELECT DISTINCT client_id FROM client_log) c
+), connected AS (
+  SELECT p.*, k.session FROM pairs p ASOF JOIN marks k ON p.client_id = k.client_id AND p.sent >= k.made WHERE k.mark = 'connect'
+), followed AS (
+  SELECT c.*, CASE WHEN e.seq > c.session THEN e.wants ELSE true END AS has_every
+  FROM connected c ASOF LEFT JOIN every e ON c.client_id = e.client_id AND c.sent >= e.made
+), received AS (
+  SELECT f.message_id, f.type, f.device_id, f.sent, f.client_id, CASE WHEN has_every THEN '*' ELSE f.device_id END AS audience
+  FROM followed f ASOF LEFT JOIN single s ON f.client_id = s.client_id AND f.device_id = s.device_id AND f.sent >= s.made
+  WHERE has_every OR (s.seq > f.session AND s.wants)
+)"""
+define(
+    "live_fanout_asof",
+    """SELECT message_id, device_id, type, audience, count(*) AS n_clients, strftime(sent, '%Y-%m-%dT%H:%M:%S.%gZ') AS received_at
+FROM received GROUP BY ALL""",
+    FIRED,
+    SUBSCRIPTIONS,
+    CONNECTIONS,
+)
+define(
+    "live_client_feed_asof",
+    "SELECT message_id, type, device_id, audience FROM received WHERE client_id = 'client-07'",
+    FIRED,
+    SUBSCRIPTIONS,
+    CONNECTIONS,
+)
 define(
     "live_device_filter",
     "SELECT message_id, type, device_id FROM messages WHERE device_id = 'dev-0001'",
