@@ -348,6 +348,28 @@ def test_rate_limit_counts_the_excess(spark):
     assert values(quality.rate_limit_audit(rows, "key", "t"), "key", "requests", "rejected") == [("a", 1, 0), ("a", 1005, 5), ("b", 1, 0)]
 
 
+def test_rate_windows_start_with_a_request(spark):
+    rows = frame(spark, [("a", seconds(30 + i / 20)) for i in range(1200)], "key string, t timestamp")
+    # Over the minute's edge: one window of the key, two of the clock.
+    assert values(quality.rate_limit_audit(rows, "key", "t"), "requests", "rejected") == [(1200, 200)]
+    assert values(quality.rate_limit_by_clock(rows, "key", "t"), "requests", "rejected") == [(600, 0), (600, 0)]
+
+
+def test_rate_windows_of_a_busy_key(spark):
+    rng = random.Random(6)
+    rows = [("hot", seconds(rng.randrange(400_000) / 2)) for _ in range(9_000)] + [("cold", seconds(i * 59)) for i in range(7)]
+    rows += [(None, seconds(1)), ("hot", None)]
+    want = {}
+    for key in ("hot", "cold"):
+        start = None
+        for t in sorted(t for k, t in rows if k == key and t):
+            if start is None or t >= start + timedelta(seconds=60):
+                start = t
+            want[key, start] = want.get((key, start), 0) + 1
+    found = quality.rate_limit_audit(frame(spark, rows, "key string, t timestamp"), "key", "t", limit=2).collect()
+    assert {(r.key, r.window_start): (r.requests, r.rejected) for r in found} == {k: (n, max(0, n - 2)) for k, n in want.items()}
+
+
 def test_offsets_up_to_a_day(spark):
     from tidewire.functions.checks import instant_text
 

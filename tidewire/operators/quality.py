@@ -7,11 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.operators.asof import as_of
+from tidewire.operators.spacing import keep_spaced
+from tidewire.session import cut_lineage
+
 # Histogram bounds in seconds (fixed values).
 INGEST_LATENCY = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5)
 
 RATE_LIMIT = 1000
-RATE_WINDOW = "60 seconds"
+RATE_WINDOW_SECONDS = 60
 SILVER_BATCH_FILES = 50
 MANIFEST_KEYS = 10_000
 
@@ -51,18 +55,34 @@ def consumer_lag(committed: DataFrame, latest: DataFrame) -> DataFrame:
 
 
 def rate_limit_audit(
-    requests: DataFrame, key: str, time: str, limit: int = RATE_LIMIT, window: str = RATE_WINDOW
+    requests: DataFrame, key: str, time: str, limit: int = RATE_LIMIT, seconds: int = RATE_WINDOW_SECONDS
+) -> DataFrame:
+    """Requests per key and window, and how many of them exceed the limit.
+
+    A key's window starts with its first request after the last window has ended. Requests without a key or time are
+    not counted. Only distinct times of a key travel, so a flood at one instant is one row a task.
+    """
+    counted = requests.select(F.col(key).alias("key"), F.col(time).alias("at")).dropna()
+    counted = cut_lineage(counted.groupBy("key", "at").agg(F.count("*").alias("n")), "requests")
+    starts = keep_spaced(counted.select("key", "at"), ["key"], "at", seconds, ties=[]).select("key", F.col("at").alias("window_start"))
+    starts = cut_lineage(starts.withColumn("from", F.col("window_start")), "windows")
+    placed = as_of(counted, starts, ["key"], "at", "from", ["window_start"], salt_by=["at"])
+    return _rejected(placed.groupBy("key", "window_start").agg(F.sum("n").alias("requests")), limit)
+
+
+def rate_limit_by_clock(
+    requests: DataFrame, key: str, time: str, limit: int = RATE_LIMIT, seconds: int = RATE_WINDOW_SECONDS
 ) -> DataFrame:
-    """Requests per key and window, and how many of them exceed the limit. Windows start at the epoch."""
-    counted = requests.groupBy(F.window(time, window).alias("_w"), F.col(key).alias("key")).agg(
+    """The same for windows that all start at the epoch, in one aggregation."""
+    counted = requests.groupBy(F.window(time, f"{seconds} seconds").alias("_w"), F.col(key).alias("key")).agg(
         F.count("*").alias("requests")
     )
-    return counted.select(
-        "key",
-        F.col("_w.start").alias("window_start"),
-        "requests",
-        F.greatest(F.lit(0), F.col("requests") - limit).cast("bigint").alias("rejected"),
-    )
+    return _rejected(counted.withColumn("window_start", F.col("_w.start")), limit)
+
+
+def _rejected(counted: DataFrame, limit: int) -> DataFrame:
+    over = F.greatest(F.lit(0), F.col("requests") - limit).cast("bigint")
+    return counted.select("key", "window_start", "requests", over.alias("rejected"))
 
 
 def client_key(api_key: Column, address: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.maps import entry
@@ -70,6 +70,31 @@ def rollup_1m(telemetry: DataFrame, sums: bool = False, event_time: bool = False
     return grouped.select(*times, *[c for c in grouped.columns if c != "_w"])
 
 
+def minute_partials(telemetry: DataFrame) -> DataFrame:
+    """Per (minute, device) what `merge_partials` can add up: sums, counts, extremes."""
+    rolled = rollup_1m(telemetry, sums=True)
+    return rolled.drop(*[f"avg_{m}" for m in METRICS])
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """One row per (minute, device) from any number of partial ones."""
+
+    def merged(c: str) -> Column:
+        over = F.min if c.startswith("min_") else F.max if c.startswith("max_") else F.sum
+        return over(c).alias(c)
+
+    measures = [c for c in partials.columns if c not in ("bucket", "device_id")]
+    return partials.groupBy("bucket", "device_id").agg(*map(merged, measures))
+
+
+def from_partials(partials: DataFrame) -> DataFrame:
+    """The minute rollup of merged partial rows."""
+    averages = {f"avg_{m}": F.try_divide(F.col(f"sum_{m}"), F.col(f"n_{m}")) for m in METRICS}
+    rolled = partials.withColumns(averages)
+    columns = [c for m in METRICS for c in (f"avg_{m}", f"min_{m}", f"max_{m}") if c in rolled.columns]
+    return rolled.select("bucket", "device_id", *columns, "sample_count")
+
+
 def rollup_from_1m(one_minute: DataFrame, interval: str, time_col: str = "bucket") -> DataFrame:
     """Averages of minute averages (each minute counts the same), extremes and counts."""
     grouped = one_minute.groupBy(F.window(time_col, WIDTHS[interval]).alias("_w"), "device_id").agg(

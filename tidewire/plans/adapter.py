@@ -137,6 +137,16 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_telemetry(events(spark, sf_dir))
 
 
+def late_telemetry(spark: SparkSession, sf_dir: str, slices: int) -> DataFrame:
+    """Telemetry whose every seventh row arrives half an hour late and every fiftieth four hours; `slice` cuts arrivals evenly."""
+    n = F.substring("event_id", -12, 12).cast("bigint")
+    minutes = F.when(n % 50 == 0, 240).when(n % 7 == 0, 30).otherwise(0)
+    rows = telemetry(spark, sf_dir).withColumn("ingested_at", F.col("time") + minutes * X("interval '1' minute"))
+    x = F.unix_micros(F.col("ingested_at").cast("timestamp"))
+    low, high = rows.agg(F.min(x), F.max(x)).first()
+    return rows.withColumn("slice", F.least(F.lit(slices - 1), F.floor((x - low) * slices / (high - low + 1))).cast("int"))
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log messages; `id % 20` decides which failure a message shows (FIXTURES.md)."""
     e = spread(source_events(spark, sf_dir), "id").withColumn("at", X("concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\"), 'Z')"))

@@ -116,12 +116,21 @@ def event_id_v7(spark, sf):
     return log.select("id", uuid_v7(F.col("timestamp"), F.col("topic"), F.col("partition"), F.col("offset")).alias("uuid"))
 
 
-@query
-def rate_limit_audit(spark, sf):
+def _requests(spark, sf):
     """Requests of a third of the models carry no API key and count by region, as their address."""
     api_key = F.when(F.col("model") == "SHT31", " ").otherwise(F.col("source"))
-    requests = adapter.wide(spark, sf).withColumn("client", quality.client_key(api_key, F.col("region")))
-    return quality.rate_limit_audit(requests, "client", "dense_ts", limit=15)
+    return adapter.wide(spark, sf).withColumn("client", quality.client_key(api_key, F.col("region")))
+
+
+@query
+def rate_limit_audit(spark, sf):
+    # Five keys share a request a second.
+    return quality.rate_limit_audit(_requests(spark, sf), "client", "dense_ingested_at", limit=12)
+
+
+@query
+def rate_limit_by_clock(spark, sf):
+    return quality.rate_limit_by_clock(_requests(spark, sf), "client", "dense_ts", limit=15)
 
 
 # --- bronze and silver ------------------------------------------------------------------------

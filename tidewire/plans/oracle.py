@@ -162,6 +162,19 @@ FROM ev WHERE id % 20 BETWEEN 3 AND 6 OR id % 20 > 10""",
 define("event_id_v7", f"SELECT id, {uuid_v7('ts', chr(39) + 'telemetry.raw' + chr(39), 'id % 8', 'id')} AS uuid FROM ev")
 define(
     "rate_limit_audit",
+    """SELECT key, start AS window_start, count(*) AS requests, CAST(greatest(0, count(*) - 12) AS BIGINT) AS rejected
+FROM requests ASOF JOIN (SELECT key AS owner, start FROM windows) ON key = owner AND at_time >= start GROUP BY 1, 2""",
+    """requests AS (
+  SELECT CASE model WHEN 'SHT31' THEN region ELSE source END AS key, dense_ingested_at AS at_time FROM wide
+), windows AS (
+  SELECT key, min(at_time) AS start FROM requests GROUP BY key
+  UNION ALL
+  SELECT w.key, min(r.at_time) FROM windows w JOIN requests r ON r.key = w.key AND r.at_time >= w.start + INTERVAL 60 SECOND GROUP BY w.key
+)""",
+    recursive=True,
+)
+define(
+    "rate_limit_by_clock",
     """SELECT CASE model WHEN 'SHT31' THEN region ELSE source END AS key, date_trunc('minute', dense_ts) AS window_start, count(*) AS requests,
        CAST(greatest(0, count(*) - 15) AS BIGINT) AS rejected
 FROM wide GROUP BY ALL""",
@@ -328,6 +341,16 @@ define(
         AND date_trunc('minute', time) >= t - INTERVAL 3 HOUR"""
     ),
 )
+LATE = f"""arrivals AS (
+  SELECT id, time, epoch_us(time + CASE WHEN id % 50 = 0 THEN INTERVAL 4 HOUR WHEN id % 7 = 0 THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END) AS x
+  FROM tele
+), sliced AS (SELECT *, (x - min(x) OVER ()) * 4 // (max(x) OVER () - min(x) OVER () + 1) AS slice FROM arrivals),
+clocks AS (SELECT slice, max(max(x)) OVER (ORDER BY slice) AS clock FROM sliced GROUP BY slice),
+entered AS (
+  SELECT id FROM sliced JOIN clocks USING (slice) WHERE epoch_us(date_trunc('minute', time)) >= clock - 3 * 3600 * 1000000::BIGINT
+), {minute("JOIN entered USING (id)")}"""
+define("rollup_live_1m", f"SELECT {M1_COLUMNS} FROM m1", LATE)
+define("rollup_live_1h", "SELECT * FROM coarse", LATE, coarse("1 hour"))
 define(
     "retention_keep",
     "SELECT event_id, timestamp AS time FROM wide WHERE timestamp >= TIMESTAMP '2024-01-11 00:00:00'",

@@ -15,7 +15,7 @@ from tidewire.plans.catalog import COOLDOWN_SECONDS, MEASURES, QUERIES, ROLLED,
 from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
 from tidewire.sources import event_log, tables
-from tidewire.streaming import jobs
+from tidewire.streaming import jobs, rollups
 from tidewire.streaming.anomaly import anomaly_stream
 
 ALL = {"availableNow": True}
@@ -301,3 +301,29 @@ def anomaly_stream_(spark, sf):
 
 
 QUERIES["anomaly_stream"] = QUERIES.pop("anomaly_stream_")
+
+
+SLICES = 4
+
+
+def _live_rollup(spark: SparkSession, sf: str, interval: str) -> DataFrame:
+    """Arrivals in four triggers; rows of a minute older than three hours at their trigger don't enter."""
+    jobs.prepare(spark)
+    rows = adapter.late_telemetry(spark, sf, SLICES).persist()
+    source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "rollups")
+    for n in range(SLICES):
+        rows.filter(F.col("slice") == n).drop("slice").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.drop("slice").schema).parquet(source)
+        run(rollups.live_rollup_job(stream, path, compact_every=2), f"{path}-checkpoint", idle_batches=False)
+    rows.unpersist()
+    return _rounded(_ntz(rollups.read_rollups(spark, path, interval).drop("event_date"), "bucket"), *ROLLED)
+
+
+@query
+def rollup_live_1m(spark, sf):
+    return _live_rollup(spark, sf, "1m")
+
+
+@query
+def rollup_live_1h(spark, sf):
+    return _live_rollup(spark, sf, "1h")
