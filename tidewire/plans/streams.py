@@ -15,7 +15,7 @@ from tidewire.plans.catalog import COOLDOWN_SECONDS, MEASURES, QUERIES, ROLLED,
 from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
 from tidewire.sources import event_log, tables
-from tidewire.streaming import jobs, rollups
+from tidewire.streaming import jobs, marks, rollups
 from tidewire.streaming.anomaly import anomaly_stream
 
 ALL = {"availableNow": True}
@@ -221,8 +221,8 @@ def _arrivals(frame: DataFrame) -> DataFrame:
     return frame.withColumn("arrived_at", F.col("ingested_at").cast("timestamp"))
 
 
-def _accepted(stream: DataFrame) -> DataFrame:
-    return jobs.accepted_stream(_arrivals(stream).withColumn("status", F.lit(validate.OK)))
+def _valid(stream: DataFrame) -> DataFrame:
+    return jobs.valid_stream(_arrivals(stream).withColumn("status", F.lit(validate.OK)))
 
 
 @query
@@ -231,8 +231,10 @@ def realtime_dedup_stream(spark, sf):
     rows = adapter.redelivered_events(spark, sf)
     lags = F.col("device_id").endswith("7") | F.col("device_id").endswith("2")
     stream = triggers([*by_arrival(rows.filter(~lags), 2), *by_arrival(rows.filter(lags), 2)], "events")
-    kept = _accepted(stream).select("event_id", "device_id", "ingested_at")
-    return spark.read.parquet(to_files(kept, "append", scratch_path(spark, "unique"), False))
+    stream = _valid(stream)
+    accepted = marks.Marks(scratch_path(spark, "unique"), stream.schema, fold_every=2)
+    run(marks.accepted_job(stream, accepted), f"{accepted.path}-checkpoint", False)
+    return spark.read.parquet(f"{accepted.path}/accepted").select("event_id", "device_id", "ingested_at")
 
 
 @query
@@ -274,8 +276,10 @@ def _realtime_run(spark: SparkSession, sf: str) -> jobs.RealtimeOutputs:
     copies = again.withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 1 second"))
     stream = triggers(by_arrival(rows.unionByName(copies), 3), "events")
     outputs = _outputs(spark)
-    run(jobs.realtime_job(_accepted(stream), outputs), f"{outputs.state}-checkpoint", False)
-    run(jobs.anomaly_job(_accepted(stream), outputs), f"{outputs.state}-checkpoint-anomaly", False)
+    valid = _valid(stream)
+    accepted = marks.Marks(f"{outputs.state}-accepted", valid.schema)
+    run(jobs.realtime_job(valid, outputs, marks=accepted), f"{outputs.state}-checkpoint", False)
+    run(jobs.anomaly_job(marks.accepted_stream(spark, accepted), outputs), f"{outputs.state}-checkpoint-anomaly", False)
     return outputs
 
 

@@ -78,6 +78,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    root, fs = _file_system(spark, path)
+    fs.mkdirs(root)
+
+
 def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers of the complete `prefix=<n>` directories below `path`, ascending."""
     if not exists(spark, path):

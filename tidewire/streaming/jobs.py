@@ -35,6 +35,7 @@ from tidewire.session import STATE_STORE, configure
 from tidewire.sources import event_log, tables
 from tidewire.streaming.anomaly import anomaly_stream
 from tidewire.streaming.dedup import first_arrivals
+from tidewire.streaming.marks import Marks, idempotent
 
 ROLLUP_DELAY = "3 hours"
 SILVER_FILES = 50
@@ -52,10 +53,16 @@ def parsed_stream(log: DataFrame) -> DataFrame:
     return validate.parse_events(log.withColumnRenamed("timestamp", "arrived_at"))
 
 
+def valid_stream(parsed: DataFrame) -> DataFrame:
+    return validate.valid_events(parsed).select(*validate.EVENT_COLUMNS, "arrived_at")
+
+
 def accepted_stream(parsed: DataFrame, ttl_seconds: int = PROCESSED_TTL_SECONDS) -> DataFrame:
-    """Valid events without those already accepted within the TTL; no id seen for the first time is dropped."""
-    valid = validate.valid_events(parsed).select(*validate.EVENT_COLUMNS, "arrived_at")
-    return first_arrivals(valid, ttl_seconds)
+    """Valid events without those already accepted within the TTL; no id seen for the first time is dropped.
+
+    For a query that needs them in its own plan; jobs that may write use `marks.Marks`, which stays out of Python.
+    """
+    return first_arrivals(valid_stream(parsed), ttl_seconds)
 
 
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -188,8 +195,12 @@ def cooled_alert_stream(fired: DataFrame, seconds: int) -> DataFrame:
     return first_arrivals(fired, seconds, "triggered_at", ("alert_id",), ("device_id", "rule_id"))
 
 
-def realtime_job(accepted: DataFrame, outputs: RealtimeOutputs, rules: DataFrame | None = None) -> DataStreamWriter:
-    return accepted.writeStream.foreachBatch(realtime_batch(outputs, rules))
+def realtime_job(
+    events: DataFrame, outputs: RealtimeOutputs, rules: DataFrame | None = None, marks: Marks | None = None
+) -> DataStreamWriter:
+    """Of accepted events, or of valid ones with the marks that tell which of them are accepted."""
+    process = realtime_batch(outputs, rules)
+    return events.writeStream.foreachBatch(process if marks is None else idempotent(marks, process))
 
 
 def anomaly_alert_stream(accepted: DataFrame, arrival: str = "arrived_at") -> DataFrame:
