@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import texts
+from tidewire.operators.joins import fits
 from tidewire.session import cut_lineage
 
 GROUPS = 14
@@ -43,7 +44,7 @@ FORM_SHARE = 2
 
 # What a task holds: words counted, a node's rows and bytes, askers and states walked at a time, letters compared at a time.
 TASK_WORDS = 400_000
-NODE_ROWS = 1 << 15
+NODE_ROWS = 1 << 13
 NODE_BYTES = 1 << 24
 WALK = 1 << 13
 STATES = 1 << 18
@@ -192,26 +193,23 @@ def one_level_down(states: DataFrame, groups: np.ndarray) -> DataFrame:
 
 
 def settled_nodes(words: DataFrame, groups: np.ndarray) -> tuple[DataFrame, DataFrame | None]:
-    """States of the nodes that a task can hold, and of crowded leaves if there are any."""
+    """States of the nodes that a task can hold, and of crowded leaves if there are any.
+
+    Crowded nodes are fewer than one in `NODE_ROWS` states.
+    """
     states = cut_lineage(lay_out(words, groups), "states")
     small = None
     for level in range(FIRST_LEVELS, GROUPS + 1):
-        member = F.col("mode") == MEMBER
-        nodes = states.groupBy("path").agg(
-            F.count_if(member).alias("members"), F.count("*").alias("rows"), F.sum(F.length("word")).alias("bytes")
-        )
-        # A node without members has nothing to find, one without askers nobody to find it.
-        nodes = nodes.filter("members > 0 AND rows > members").select(
-            "path", ((F.col("rows") > NODE_ROWS) | (F.col("bytes") > NODE_BYTES)).alias("crowded")
-        )
-        met = cut_lineage(states.join(nodes, "path"), "states")
-        part, crowded = met.filter("NOT crowded").drop("crowded"), met.filter("crowded").drop("crowded")
-        small = part if small is None else small.unionByName(part)
+        nodes = states.groupBy("path").agg(F.count("*").alias("rows"), F.sum(F.length("word")).alias("bytes"))
+        crowded = cut_lineage(nodes.filter((F.col("rows") > NODE_ROWS) | (F.col("bytes") > NODE_BYTES)).select("path"), "crowded")
         if crowded.isEmpty():
-            return small, None
+            return states if small is None else small.unionByName(states), None
+        crowded = F.broadcast(crowded) if fits(crowded) else crowded
+        part, deep = states.join(crowded, "path", "left_anti"), states.join(crowded, "path", "left_semi")
+        small = part if small is None else small.unionByName(part)
         if level == GROUPS:
-            return small, crowded
-        states = cut_lineage(one_level_down(crowded, groups), "states")
+            return small, deep
+        states = cut_lineage(one_level_down(deep, groups), "states")
     raise AssertionError("unreachable")
 
 
@@ -284,6 +282,8 @@ def search_node(table: pa.Table, groups: np.ndarray) -> pa.Table:
     words = np.array(table.column("word").to_pylist() + [None], object)[:-1]
     members = np.flatnonzero(mode == MEMBER)
     askers = np.flatnonzero(mode != MEMBER)
+    if not len(members) or not len(askers):
+        return pa.table({c: pa.array([], k) for c, k in (("word", pa.binary()), ("n", pa.int64()), ("other", pa.binary()), ("other_n", pa.int64()))})
     trie = Trie(counts(list(words[members]), groups))
     members = members[trie.order]
     long = len(words[members[0]])
