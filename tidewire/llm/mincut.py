@@ -59,6 +59,8 @@ PLACE_WORD = (
     r"(?:site|page|main|global|primary|secondary|left|right|top|bottom|upper|lower|list|items?|area|bar|box|block|inner|outer|"
     r"wrap|wrapper|container|section|panel|form|links?|icons?|buttons?|posts?|articles?|stories|content|body|text|title|\d+)"
 )
+# Names of what readers say below an article; the article around it doesn't speak for it.
+SAID_BY_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|repl(?:y|ies))(?:$|[\s_-])", re.IGNORECASE)
 BAD_NAME = re.compile(rf"(?:{PLACE_WORD}[\s_-]+)*{BAD_WORD}(?:[\s_-]+(?:{BAD_WORD}|{PLACE_WORD}))*", re.IGNORECASE)
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.IGNORECASE)
 
@@ -75,16 +77,17 @@ ENDS_SENTENCE = 0.5
 NEXT_TO, SAME_PARENT, SAME_SECTION = 0.4, 0.6, 0.5
 
 
-def said(attributes: str) -> tuple[bool, bool]:
-    """Whether an element's names speak against it, and for it. A label is one name, other attributes have one a word."""
-    bad = good = False
+def said(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element's names speak against it, for it, and of readers. A label is one name, other attributes have one a word."""
+    bad = good = readers = False
     for attribute, *value in HINT.findall(attributes):
         value = "".join(value)
         names = [value.strip()] if attribute.lower() == "aria-label" else value.split()
         for n in names:
             against = BAD_NAME.fullmatch(n) is not None
             bad, good = bad or against, good or not against and GOOD_NAME.search(n) is not None
-    return bad, good
+            readers = readers or against and SAID_BY_READERS.search(n) is not None
+    return bad, good, readers
 
 
 @dataclass
@@ -95,6 +98,7 @@ class Element:
     tags: float
     named: tuple[Element, ...] = ()
     holds_content: bool = False
+    by_readers: bool = False
 
     @property
     def surroundings(self) -> float:
@@ -164,10 +168,14 @@ class Page:
         self.in_link = 0
         self.elements += 1
         above = self.stack[-1]
-        bad, good = said(attributes) if "=" in attributes else (False, False)
-        content = name == "main" or name == "article" and (good or not bad)
+        bad, good, readers = said(attributes) if "=" in attributes else (False, False, False)
+        by_readers = above.by_readers or readers and any(e.tags == IN_CONTENT for e in self.stack)
+        content = not by_readers and (name == "main" or name == "article" and (good or not bad))
         tags, named = above.tags, above.named
-        if name in BOILERPLATE:
+        if by_readers and not above.by_readers:
+            tags = BADLY_NAMED
+        # An article's own header holds its headline.
+        if name in BOILERPLATE and not (name == "header" and above.name == "article" and tags > 0):
             tags = IN_BOILERPLATE
         elif content and tags >= 0:
             tags, named = IN_CONTENT, ()
@@ -176,7 +184,7 @@ class Page:
         elif good and not bad and tags == 0 and not named:
             tags = IN_CONTENT / 2
         section = self.elements if name in SECTIONS else above.section
-        element = Element(name, self.elements, section, tags, named)
+        element = Element(name, self.elements, section, tags, named, by_readers=by_readers)
         if bad and not content and name not in ("html", "body"):
             element.named = (*named, element)
         self.stack.append(element)
@@ -259,35 +267,72 @@ def minimum_cut(scores: list[float], edges: list[dict[int, float]]) -> list[bool
 
 
 def _reachable(rest: list[int], scores: list[float], edges: list[dict[int, float]]) -> set[int]:
-    """Blocks that the source still reaches after maximum flow by shortest augmenting paths."""
-    residual = {n: dict(edges[n]) for n in rest}
-    supply = {n: max(scores[n], 0.0) for n in rest}
-    demand = {n: max(-scores[n], 0.0) for n in rest}
+    """Blocks that the source still reaches after maximum flow: shortest paths level by level, all of a length at once."""
+    source, sink = len(rest), len(rest) + 1
+    place = {n: i for i, n in enumerate(rest)}
+    out: list[list[int]] = [[] for _ in range(len(rest) + 2)]
+    to: list[int] = []
+    room: list[float] = []
+
+    def join(a: int, b: int, forth: float, back: float) -> None:
+        # An edge and the one back are neighbours in the lists.
+        out[a].append(len(to))
+        out[b].append(len(to) + 1)
+        to.extend((b, a))
+        room.extend((forth, back))
+
+    for n in rest:
+        if scores[n] > 0:
+            join(source, place[n], scores[n], 0.0)
+        elif scores[n] < 0:
+            join(place[n], sink, -scores[n], 0.0)
+        for other, w in edges[n].items():
+            if n < other:
+                join(place[n], place[other], w, w)
     tiny = 1e-9
     while True:
-        came: dict[int, int | None] = {n: None for n in rest if supply[n] > tiny}
-        queue, end = deque(came), None
-        while queue and end is None:
+        level = [-1] * len(out)
+        level[source] = 0
+        queue = deque([source])
+        while queue:
             n = queue.popleft()
-            if demand[n] > tiny:
-                end = n
+            for e in out[n]:
+                if room[e] > tiny and level[to[e]] < 0:
+                    level[to[e]] = level[n] + 1
+                    queue.append(to[e])
+        if level[sink] < 0:
+            return {n for n in rest if level[place[n]] >= 0}
+        tried, path, here = [0] * len(out), [], source
+        while True:
+            if here == sink:
+                flow = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= flow
+                    room[e ^ 1] += flow
+                # Back to where the first edge of the path is full.
+                full = next(i for i, e in enumerate(path) if room[e] <= tiny)
+                here = to[path[full] ^ 1]
+                del path[full:]
+                continue
+            edge = next_edge(out[here], tried, here, room, level, to, tiny)
+            if edge is not None:
+                path.append(edge)
+                here = to[edge]
+            elif here == source:
                 break
-            for other, w in residual[n].items():
-                if w > tiny and other not in came:
-                    came[other] = n
-                    queue.append(other)
-        if end is None:
-            return set(came)
-        path = [end]
-        while (before := came[path[-1]]) is not None:
-            path.append(before)
-        path.reverse()
-        flow = min([supply[path[0]], demand[end], *[residual[a][b] for a, b in zip(path, path[1:], strict=False)]])
-        supply[path[0]] -= flow
-        demand[end] -= flow
-        for a, b in zip(path, path[1:], strict=False):
-            residual[a][b] -= flow
-            residual[b][a] = residual[b].get(a, 0.0) + flow
+            else:
+                level[here] = -1
+                here = to[path.pop() ^ 1]
+
+
+def next_edge(own: list[int], tried: list[int], here: int, room: list[float], level: list[int], to: list[int], tiny: float) -> int | None:
+    """The next edge down a level with room left; earlier ones are never looked at again."""
+    while tried[here] < len(own):
+        e = own[tried[here]]
+        if room[e] > tiny and level[to[e]] == level[here] + 1:
+            return e
+        tried[here] += 1
+    return None
 
 
 def main_text(page: str) -> str:
