@@ -38,7 +38,8 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+# A run is read once: it isn't entered in its middle and gives nothing back.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
 PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]{0,40}PRIVATE KEY-----")
 VENDORS = ("ghp_", "gho_", "ghs_", "ghu_", "ghr_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "AIza")
 VENDOR = re.compile(f"(?:{'|'.join(VENDORS)})[A-Za-z0-9_-]{{16,}}")
