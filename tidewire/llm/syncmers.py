@@ -6,11 +6,12 @@ it, the smallest stands first or last. Whether it is one depends on nothing outs
 elsewhere moves no anchor, and equal passages have equal anchors at equal distances. About half of
 the runs are anchors.
 
-The fingerprint is the `SKETCH` smallest distinct anchor hashes, all of them in shorter texts, in
-hex digits. The likeness of two fingerprints is the share of common ones among the `SKETCH`
-smallest of both: the similarity of the anchor sets, exact if they are small. A text without an anchor
-has the hash of its tokens instead; one without a token has an empty fingerprint, which is like another
-empty one (1) and unlike all others (0).
+The fingerprint holds every anchor in the order of the text: eight hex digits of its hash, a full stop, and its distance
+in tokens, in hex, from the anchor before, from the first token for the first. Two anchors in a row with their distance
+are a link; equal passages have equal links wherever they stand. The likeness of two fingerprints is the share of common
+ones among all their distinct links. A text with one anchor has that for its only link, one without has the hash of
+its tokens; a text without a token has an empty fingerprint, which is like another empty one (1) and unlike all
+others (0).
 
 Documents are neighbours in the order of their keys, nulls first, equal keys by their text's hash. The
 order is made in ranges of keys between quantiles; one row, the first of the next range, is added to the
@@ -29,7 +30,6 @@ from tidewire.session import cut_lineage
 
 PIECE = 6
 K = 5
-SKETCH = 128
 TOKEN = rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"
 RANGES_PER_TASK = 4
 
@@ -57,16 +57,26 @@ def anchors(tokens: Column, pairs: Column) -> Column:
     return F.filter(F.transform(runs, anchor), lambda a: a.isNotNull())
 
 
-def sketch(tokens: Column, found: Column) -> Column:
-    hashes = F.when(F.size(found) > 0, F.transform(found, lambda a: a["hash"])).when(
-        F.size(tokens) > 0, F.array(F.shiftrightunsigned(F.xxhash64(tokens), 33).cast("int"))
-    )
-    none = F.array().cast("array<int>")
-    return F.slice(F.sort_array(F.array_distinct(F.coalesce(hashes, none))), 1, SKETCH)
+def fingerprint(tokens: Column, found: Column) -> Column:
+    """The anchors, or in their place the hash of all tokens."""
+    whole = F.struct(F.lit(0).alias("place"), F.shiftrightunsigned(F.xxhash64(tokens), 33).cast("int").alias("hash"))
+    return F.when((F.size(found) == 0) & (F.size(tokens) > 0), F.array(whole)).otherwise(found)
+
+
+def links(found: Column) -> Column:
+    """Distinct hashes of neighbouring anchors and their distance, of a single anchor's hash if there is no other."""
+
+    def link(i: Column) -> Column:
+        a, b = F.get(found, i), F.get(found, i + 1)
+        return F.xxhash64(a["hash"], b["hash"], b["place"] - a["place"])
 
+    pairs = F.transform(F.sequence(F.lit(0), F.size(found) - 2), link)
+    single = F.transform(found, lambda a: a["hash"].cast("bigint"))
+    return F.array_distinct(F.when(F.size(found) > 1, pairs).otherwise(single))
 
-def with_sketch(frame: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the sketch of a text column.
+
+def with_fingerprint(frame: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the fingerprint of a text column, and its links as `name`_links.
 
     Each step is a column of its own: an array used twice in one expression would be made twice.
     """
@@ -75,7 +85,9 @@ def with_sketch(frame: DataFrame, text: str, name: str) -> DataFrame:
         frame.withColumn(steps[0], once(token_hashes(F.col(text))))
         .withColumn(steps[1], once(pair_hashes(F.col(steps[0]))))
         .withColumn(steps[2], once(anchors(F.col(steps[0]), F.col(steps[1]))))
-        .withColumn(name, once(sketch(F.col(steps[0]), F.col(steps[2]))))
+        .withColumn(name, once(fingerprint(F.col(steps[0]), F.col(steps[2]))))
+        .withColumn(f"{name}_links", once(links(F.col(name))))
+        .withColumn(name, as_text(F.col(name)))
         .drop(*steps)
     )
 
@@ -92,14 +104,19 @@ def positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return rows.select(key, F.explode(anchors(F.col("_tokens"), F.col("_pairs"))).alias("a")).select(key, "a.place", "a.hash")
 
 
-def as_text(sketch_: Column) -> Column:
-    return F.array_join(F.transform(sketch_, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+def as_text(found: Column) -> Column:
+    def written(a: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(0)).otherwise(F.get(found, i - 1)["place"])
+        return F.concat(F.lpad(F.lower(F.hex(a["hash"])), 8, "0"), F.lit("."), F.lower(F.hex(a["place"] - before)))
+
+    return F.array_join(F.transform(found, written), "-")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(F.array_intersect(a, b), both))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common / F.size(both))
+    """The share of common links; both are distinct."""
+    common = F.size(F.array_intersect(a, b))
+    every = F.size(a) + F.size(b) - common
+    return F.when(every == 0, F.lit(1.0)).otherwise(common / every)
 
 
 def range_number(key: Column, bounds: list[int]) -> Column:
@@ -123,7 +140,7 @@ def key_bounds(docs: DataFrame, key: str) -> list[int]:
 
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: key, `text`, `sketch`, and the next document's `next_text` and `next_sketch`.
+    """Per document: key, `text`, `print`, `print_links`, and the next document's `next_text` and `next_links`.
 
     The last document is followed by the first.
     """
@@ -147,10 +164,10 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     all_rows = rows.select("range", F.lit(0).alias("added"), "key", "tie", "text").unionByName(followers)
     ahead = Window.partitionBy("range").orderBy("added", *order)
     return (
-        with_sketch(all_rows, "text", "sketch")
-        .withColumns({"next_text": F.lead("text").over(ahead), "next_sketch": F.lead("sketch").over(ahead)})
+        with_fingerprint(all_rows, "text", "print")
+        .withColumns({"next_text": F.lead("text").over(ahead), "next_links": F.lead("print_links").over(ahead)})
         .filter("added = 0")
-        .select(F.col("key").alias(key), "text", "sketch", "next_text", "next_sketch")
+        .select(F.col("key").alias(key), "text", "print", "print_links", "next_text", "next_links")
     )
 
 
@@ -165,15 +182,16 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """Fingerprints of every document and of its edited text, and their likeness to it and to the next."""
     rows = with_next(docs, key, text)
     rows = rows.select(
-        key, "sketch", "next_sketch", F.char_length("text").cast("long").alias("n_chars"), once(edited(F.col("text"), F.col("next_text"))).alias("edited")
-    )
-    rows = with_sketch(rows, "edited", "edited_sketch")
+        key, "print", "print_links", "next_links", F.char_length("text").cast("long").alias("n_chars"),
+        once(edited(F.col("text"), F.col("next_text"))).alias("edited"),
+    )
+    rows = with_fingerprint(rows, "edited", "edited_print")
     return rows.select(
         key,
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("sketch")).alias("fingerprint"),
-        as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        F.col("print").alias("fingerprint"),
+        F.col("edited_print").alias("edited_fingerprint"),
+        likeness(F.col("print_links"), F.col("edited_print_links")).alias("near_edited"),
+        likeness(F.col("print_links"), F.col("next_links")).alias("near_next"),
     )
