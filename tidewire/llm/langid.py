@@ -16,14 +16,13 @@ that nothing could be drawn from is left out. Prediction covers every text from
 A posterior doesn't tell whether a text is in any learned language: noise is a little less unlike one of them.
 Bits per byte do. `limits` learns from held-out texts how many a language's own texts take.
 
-A null text, or one without a letter, is `und` with score 0; so is every text when no row can be
+A null text, or one without a letter (a character of Unicode category L), is `und` with score 0; so is every text when no row can be
 learned from. A null key counts as an empty one; repeated rows learn twice and are predicted alike.
 Columns other than the named ones are never touched.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,7 +48,6 @@ SHORT_BITS = 100
 SHORT_BYTES = 12
 SLICE = 1 << 19
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def held_out(key: str) -> Column:
@@ -199,7 +197,7 @@ class Trees:
         best = np.argmin(lengths, axis=1)
         odds = np.exp2(np.maximum(lengths.min(axis=1, keepdims=True) - lengths, -1000))
         score = 1 / odds.sum(axis=1)
-        told = [bool(t and LETTER.search(t)) for t in texts]
+        told = [any(map(str.isalpha, t or "")) for t in texts]
         per_byte = lengths.min(axis=1) / [max(1, len((t or "").encode())) for t in texts]
         return (
             [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best, told, strict=True)],
