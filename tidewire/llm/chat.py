@@ -164,12 +164,7 @@ def format_windows(
         .repartition("key")
         .sortWithinPartitions("key", "turn", "role", "text")
     )
-    return _small_batches(ordered).mapInArrow(run, f"key {kind}, {WINDOWS}").withColumnRenamed("key", key)
-
-
-def _small_batches(frame: DataFrame) -> DataFrame:
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
-    return frame
+    return ordered.mapInArrow(run, f"key {kind}, {WINDOWS}").withColumnRenamed("key", key)
 
 
 def _arrow_schema(frame: DataFrame, key: str) -> pa.Schema:
@@ -228,7 +223,7 @@ def read_back(windows: DataFrame, key: str = "conv_id") -> DataFrame:
         .sortWithinPartitions("key", "window")
     )
     schema = f"key {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    return _small_batches(ordered).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return ordered.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 class Reader:

@@ -32,17 +32,16 @@ def fresh(frame: DataFrame, name: str) -> str:
 def in_batches(
     frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, start: Callable | None = None
 ) -> DataFrame:
-    """`mapInArrow` over small batches, as texts can be long.
+    """`mapInArrow` in slices of a few rows, as texts can be long; Spark bounds its batches by bytes.
 
     `start`, if given, makes per task the state that `work` gets as a second argument.
     """
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extra = (start(),) if start else ()
         for batch in batches:
-            if batch.num_rows:
-                out = work(batch, *extra)
+            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
+                out = work(batch.slice(at, ROWS_PER_BATCH), *extra)
                 if out is not None:
                     yield out
 

@@ -36,6 +36,7 @@ from tidewire.llm.substring import word_hashes
 from tidewire.session import cut_lineage
 
 K1, B = 1.2, 0.75
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHARD_DOCS = 1_500
 TERM_BITS = 54
 BLOCK_DOCS = 64
@@ -244,17 +245,21 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", t
     index = cut_lineage(build_shards(term_rows(docs, key, text), -(-n_rows // SHARD_DOCS)), "index")
     n_docs, words = index.agg(F.sum("docs"), F.sum("words")).first()
     asked = cut_lineage(term_rows(docs.filter(is_query), key, text).filter("length > 0").dropDuplicates(["row"]), "queries")
-    # A shard is one long row; rows are handed over one by one.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     per_term = asked.select("row", F.explode("terms").alias("term")).join(document_counts(index), "term")
     counted = cut_lineage(
         per_term.groupBy("row").agg(F.collect_list("term").alias("terms"), F.collect_list("n").alias("counts")), "query-terms"
     )
     parts = []
-    for low, high in _blocks(counted):
-        block = counted.filter(F.col("row").between(low, high)).toArrow()
-        if block.num_rows:
-            parts.append(cut_lineage(search_block(index, block, n_docs, words / n_docs, k), "found"))
+    # A shard is one long row; rows are handed over one by one while the blocks run.
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, "1")
+    try:
+        for low, high in _blocks(counted):
+            block = counted.filter(F.col("row").between(low, high)).toArrow()
+            if block.num_rows:
+                parts.append(cut_lineage(search_block(index, block, n_docs, words / n_docs, k), "found"))
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     if not parts:
         return empty
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("key").asc_nulls_last())
