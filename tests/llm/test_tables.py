@@ -82,3 +82,13 @@ def test_pipeline_runs_to_its_end(spark, messy, nothing, tmp_path):
     for name, rows in (("messy", messy), ("nothing", nothing)):
         rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
         assert corpus_pipeline.run(spark, f"{tmp_path}/{name}").filter("doc_id = 6").count() == 0
+
+
+def test_queries_leave_the_session_as_it_was(spark, tmp_path, messy):
+    messy.limit(4).write.parquet(f"{tmp_path}/documents.parquet")
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(n) for n in names]
+    for name in ("op2_secret_ownership", "op6_simhash_components", "op8_bm25_block_max", "op10_sentencepiece", "op12_cuckoo_dedup"):
+        queries.QUERIES[name](spark, str(tmp_path)).collect()
+    queries.QUERIES["op9_chat_windows"](spark, SF).collect()
+    assert [spark.conf.get(n) for n in names] == before

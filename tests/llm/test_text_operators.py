@@ -5,6 +5,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -319,6 +320,46 @@ def test_secrets_of_messy_rows(messy, nothing):
     assert secrets.find_secrets(nothing).collect() == [] and secrets.redact(nothing).collect() == []
 
 
+def test_long_runs_are_read_once():
+    for part in ("eyJabc", "eyJabcabcabc.", "eyJ-_", "ghp_", "token ", "-----BEGIN PRIVATE KEY-----a"):
+        text = part * (1_000_000 // len(part))
+        start = time.perf_counter()
+        secrets.further_spans(text, secrets.base_spans(text))
+        assert time.perf_counter() - start < 2
+
+
+def plain_secrets(text):
+    """The base spans as the contract words them: whole runs, then the lengths."""
+    found = []
+    assign = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)"""
+    for order, (kind, pattern, least) in enumerate((("assign", assign, 6), ("access", "AKIA([A-Z0-9]+)", 16), ("hex", "([0-9a-f]+)", 24))):
+        found += [(m.start(), order, kind, m.end()) for m in re.finditer(pattern, text) if len(m[1]) >= least]
+    return sorted(found)
+
+
+def test_secrets_query_against_the_contract(spark, documents):
+    found = {r.doc_id: r for r in run("op2_secret_ownership", spark)}
+    values = collections.defaultdict(lambda: (set(), set()))
+    per_text = {}
+    for key, text, _, source in documents:
+        base = plain_secrets(text)
+        r = found[key]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == n for _, _, k, _ in base) for n in ("assign", "access", "hex"))
+        assert r.base_sha256 == sha(",".join(f"{k}:{a}:{b}" for a, _, k, b in base))
+        spans = secrets.base_spans(text)
+        per_text[key] = spans + secrets.further_spans(text, spans)
+        first = min(k for k, t, *_ in documents if t == text)
+        for *_, value in per_text[key]:
+            values[value][0].add(source)
+            values[value][1].add(first)
+    wide = {v for v, (owners, places) in values.items() if len(owners) >= 3 or len(places) >= 10}
+    for key, text, *_ in documents:
+        live = [s for s in per_text[key] if s[3] not in wide and secrets.looks_random(s[3])]
+        assert (found[key].n_live, found[key].n_example) == (len(live), sum(s[3] in wide for s in per_text[key]))
+        spans = [(a, k, b) for a, k, b, _ in secrets.base_spans(text)] + [(a, k, b) for a, k, b, _ in live if k > 2]
+        assert found[key].spans == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
 def test_secrets_query(spark, documents):
     found = {r.doc_id: r for r in run("op2_secret_ownership", spark)}
     for key, text, *_ in documents:
@@ -327,6 +368,18 @@ def test_secrets_query(spark, documents):
         assert set(filter(None, base.split(","))) <= set(found[key].spans.split(","))
 
 
+def test_pages_of_many_blocks_and_of_readers():
+    start = time.perf_counter()
+    mincut.main_text("<p>alpha</p><div>beta</div>" * 8_000)
+    assert time.perf_counter() - start < 2
+    body, said = "word " * 40 + ".", "a reader says so and so at some length here " * 3 + "."
+    page = f"<article><header><h1>The headline</h1></header><p>{body}</p>"
+    for comment in ('<article class="comment">', "<article>", '<div class="comment-body">', "<div>"):
+        closing = "</article>" if "article" in comment else "</div>"
+        found = mincut.main_text(f'{page}<section class="comments">{comment}<p>{said}</p>{closing}</section></article>')
+        assert found == f"The headline\n{' '.join(body.split())}"
+
+
 # --- 4 ----------------------------------------------------------------------------------------
 
 
@@ -457,6 +510,63 @@ def test_edits_and_fingerprints(spark, documents):
     assert all(len(f) == 1 for f in by_text.values())
 
 
+def spark_hash(*values):
+    """xxhash64 of Spark: each value's hash is the seed of the next one's."""
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else (v % (1 << 64)).to_bytes(8, "little") if v is not None else None
+        seed = seed if data is None else xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def small(h):
+    """The upper 31 bits."""
+    return (h % (1 << 64)) >> 33
+
+
+def plain_fingerprint(text):
+    tokens = [spark_hash(t) for t in re.findall(r"[^\x20\x09-\x0D]{1,6}", text)]
+    pairs = [spark_hash(a, b) for a, b in zip(tokens, [*tokens[1:], None], strict=True)]
+    found = []
+    for i in range(len(tokens) - 4):
+        run = pairs[i : i + 4]
+        if min(run) in (run[0], run[3]):
+            found.append((i, small(spark_hash(run[0], run[2], tokens[i + 4]))))
+    if tokens and not found:
+        found = [(0, small(spark_hash(*tokens)))]
+    written = "-".join(f"{h:08x}.{p - (found[n - 1][0] if n else 0):x}" for n, (p, h) in enumerate(found))
+
+    def of_int(seed, v):
+        return xxhash.xxh64_intdigest((v % (1 << 32)).to_bytes(4, "little"), seed)
+
+    links = {of_int(of_int(of_int(42, a[1]), b[1]), b[0] - a[0]) for a, b in zip(found, found[1:], strict=False)}
+    return written, links or {("single", h) for _, h in found}
+
+
+def plain_likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_fingerprints_against_plain_ones(spark, documents):
+    found = {r.doc_id: r for r in run("op5_closed_syncmers", spark)}
+    texts = [d[1] for d in documents]
+    for n, (key, text, *_) in enumerate(documents):
+        following, cut, r = texts[(n + 1) % len(texts)], len(text) // 4, found[key]
+        own, edited = plain_fingerprint(text), plain_fingerprint(text[: len(text) - cut] + following[:cut])
+        assert (r.fingerprint, r.edited_fingerprint) == (own[0], edited[0])
+        assert r.near_edited == pytest.approx(plain_likeness(own[1], edited[1]))
+        assert r.near_next == pytest.approx(plain_likeness(own[1], plain_fingerprint(following)[1]))
+
+
+def test_one_changed_word_of_a_long_text_shows(spark):
+    words = [f"w{i * 7919 % 20_000}" for i in range(20_000)]
+    other = [*words[:12_345], "changed", *words[12_346:]]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, "a b"), (4, "")], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in syncmers.compare_with_edits(docs).collect()}
+    assert found[1].fingerprint != found[2].fingerprint and 0.99 < found[1].near_next < 1
+    assert found[3].fingerprint and found[3].near_next == 0.0 and found[4].fingerprint == ""
+
+
 def test_anchors_do_not_depend_on_context(spark):
     rows = [(1, "start " + "abc def ghi jkl mno pqr stu " * 3), (2, "another long beginning of it " + "abc def ghi jkl mno pqr stu " * 3)]
     found = syncmers.positions(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
