@@ -15,8 +15,7 @@ from tidewire.plans.catalog import COOLDOWN_SECONDS, MEASURES, QUERIES, ROLLED,
 from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
 from tidewire.sources import event_log, tables
-from tidewire.streaming import jobs, marks, rollups
-from tidewire.streaming.anomaly import anomaly_stream
+from tidewire.streaming import jobs, marks, rollups, scores
 
 ALL = {"availableNow": True}
 LOG_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -279,7 +278,8 @@ def _realtime_run(spark: SparkSession, sf: str) -> jobs.RealtimeOutputs:
     valid = _valid(stream)
     accepted = marks.Marks(f"{outputs.state}-accepted", valid.schema)
     run(jobs.realtime_job(valid, outputs, marks=accepted), f"{outputs.state}-checkpoint", False)
-    run(jobs.anomaly_job(marks.accepted_stream(spark, accepted), outputs), f"{outputs.state}-checkpoint-anomaly", False)
+    anomalies = jobs.anomaly_job(marks.accepted_stream(spark, accepted), outputs, scores.Tails(f"{outputs.state}-scores"))
+    run(anomalies, f"{outputs.state}-checkpoint-anomaly", False)
     return outputs
 
 
@@ -300,8 +300,10 @@ def realtime_alert_table(spark, sf):
 def anomaly_stream_(spark, sf):
     parts = by_arrival(adapter.events(spark, sf), 3)
     stream = triggers([samples(part) for part in parts], "samples")
-    path = to_files(anomaly_stream(stream), "append", scratch_path(spark, "scores"))
-    return _rounded(_ntz(spark.read.parquet(path), "ts"), "mean", "std_dev", "z_score")
+    tails = scores.Tails(scratch_path(spark, "scores"), compact_every=2)
+    run(scores.score_job(stream, tails), f"{tails.path}-checkpoint", False)
+    found = spark.read.parquet(f"{tails.path}/scores").drop("batch_id")
+    return _rounded(_ntz(found, "ts"), "mean", "std_dev", "z_score")
 
 
 QUERIES["anomaly_stream"] = QUERIES.pop("anomaly_stream_")

@@ -36,6 +36,7 @@ from tidewire.sources import event_log, tables
 from tidewire.streaming.anomaly import anomaly_stream
 from tidewire.streaming.dedup import first_arrivals
 from tidewire.streaming.marks import Marks, idempotent
+from tidewire.streaming.scores import Tails, scored
 
 ROLLUP_DELAY = "3 hours"
 SILVER_FILES = 50
@@ -208,8 +209,11 @@ def anomaly_alert_stream(accepted: DataFrame, arrival: str = "arrived_at") -> Da
     return alerts.anomaly_alerts(anomaly_stream(samples(accepted, arrival)))
 
 
-def anomaly_job(accepted: DataFrame, outputs: RealtimeOutputs) -> DataStreamWriter:
-    """Anomaly alerts into the same table, log and live feed as the threshold alerts."""
+def anomaly_job(accepted: DataFrame, outputs: RealtimeOutputs, tails: Tails | None = None) -> DataStreamWriter:
+    """Anomaly alerts into the same table, log and live feed as the threshold alerts.
+
+    With `tails`, samples are scored by the batch operator, else by a stateful one within the query.
+    """
 
     def process(fired: DataFrame, batch_id: int) -> None:
         fired = fired.persist()
@@ -218,7 +222,10 @@ def anomaly_job(accepted: DataFrame, outputs: RealtimeOutputs) -> DataStreamWrit
         finally:
             fired.unpersist()
 
-    return anomaly_alert_stream(accepted).writeStream.foreachBatch(process)
+    if tails is None:
+        return anomaly_alert_stream(accepted).writeStream.foreachBatch(process)
+    judged = scored(tails, lambda rows, batch_id: process(alerts.anomaly_alerts(rows), batch_id))
+    return samples(accepted, "arrived_at").writeStream.foreachBatch(judged)
 
 
 def telemetry_job(parsed: DataFrame, path: str) -> DataStreamWriter:
