@@ -384,6 +384,19 @@ def scored(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
+def first_of_each(rows: DataFrame, order: list, top: int) -> DataFrame:
+    """Each language's first rows with their `rank`; ranges of the order stand in tasks, not languages."""
+    ranged = rows.repartitionByRange("lang", *order).withColumn("part", F.spark_partition_id())
+    ranged = cut_lineage(ranged, "ranged")
+    # One row per language and range.
+    sizes = ranged.groupBy("lang", "part").count()
+    earlier = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("before", F.coalesce(F.sum("count").over(earlier), F.lit(0))).filter(F.col("before") < top)
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    ranked = ranged.join(starts.drop("count"), ["lang", "part"]).withColumn("rank", F.col("before") + place)
+    return ranked.filter(F.col("rank") <= top).drop("part", "before")
+
+
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP) -> DataFrame:
     """Each language's first `top` phrases by score: lang, rank, phrase, a, l, r, n, score."""
     found, totals = rounds(docs, text, lang, least)
@@ -393,6 +406,5 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
         longer = by_length[at + 1] if at + 1 < LONGEST else None
         rows = scored(not_in_longer(by_length[at], longer, SHARE), at + 1)
         every = rows if every is None else every.unionByName(rows)
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = every.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    best = first_of_each(every, [F.col("score").desc(), F.col("a").desc(), F.col("phrase")], top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
