@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -78,6 +80,43 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    root, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    root, fs = _file_system(spark, path)
+    stream = fs.open(root)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a file as a whole unless there is one of that name; tells whether it did."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, fs = _file_system(spark, path)
+    if fs.exists(target):
+        return False
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(draft, False)
+    stream.write(text.encode())
+    stream.close()
+    # A rename that does not replace, which FileSystem.rename may do.
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, plain)
+    except Py4JJavaError as error:
+        fs.delete(draft, False)
+        if not fs.exists(target):
+            raise RuntimeError(f"cannot write {path}") from error
+        return False
+    return True
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     root, fs = _file_system(spark, path)
     fs.mkdirs(root)
