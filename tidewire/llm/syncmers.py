@@ -162,10 +162,12 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         .dropDuplicates(["range"])
     )
     all_rows = rows.select("range", F.lit(0).alias("added"), "key", "tie", "text").unionByName(followers)
+    # Only texts are dealt out; links are made where the texts lie, and handed to the row before in the same order.
     ahead = Window.partitionBy("range").orderBy("added", *order)
+    placed = all_rows.withColumn("next_text", F.lead("text").over(ahead))
     return (
-        with_fingerprint(all_rows, "text", "print")
-        .withColumns({"next_text": F.lead("text").over(ahead), "next_links": F.lead("print_links").over(ahead)})
+        with_fingerprint(placed, "text", "print")
+        .withColumn("next_links", F.lead("print_links").over(ahead))
         .filter("added = 0")
         .select(F.col("key").alias(key), "text", "print", "print_links", "next_text", "next_links")
     )
