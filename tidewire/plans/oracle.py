@@ -780,6 +780,14 @@ define(
     SCORED,
     ODD,
 )
+define(
+    "realtime_alert_snapshots",
+    f"""SELECT {ALERT}, false AS acknowledged, CAST(triggered_at AS DATE) AS event_date, count(*) OVER (PARTITION BY device_id) AS n_live
+FROM every_alert""",
+    FIRED,
+    SCORED,
+    ODD,
+)
 ORACLE["dlq_stream"] = ORACLE["dlq_rows"]
 define(
     "telemetry_stream",
@@ -823,6 +831,7 @@ define(
     minute(),
     "closed AS (SELECT max(time) - INTERVAL 10 MINUTE AS mark FROM tele)",
 )
+ORACLE["telemetry_table"] = ORACLE["telemetry_stream"]
 ORACLE["realtime_dedup_stream"] = ORACLE["realtime_dedup"]
 ORACLE["alert_cooldown_stream"] = ORACLE["alert_cooldown"]
 define(

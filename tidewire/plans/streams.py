@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,6 +117,22 @@ def telemetry_stream(spark, sf):
     return _ntz(rows, "time", "ingested_at")
 
 
+@query
+def telemetry_table(spark, sf):
+    """Telemetry in a table that is compacted between the triggers of a stream."""
+    parts = [adapter.event_log(spark, sf).filter(F.col("id") % 3 == n).drop("id") for n in range(3)]
+    for n, part in enumerate(parts):
+        parts[n] = part.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    table = jobs.telemetry_table(scratch_path(spark, "telemetry"))
+    run(jobs.telemetry_table_job(jobs.parsed_stream(triggers(parts, "log")), table, 2), f"{table.path}-checkpoint")
+    table.compact(spark, 1)
+    rows = table.read(spark).select(
+        "event_id", "device_id", "time", "ingested_at", "event_date", "source", entry("metrics", "temperature").alias("temperature"),
+        F.size("tags").cast("bigint").alias("n_tags"),
+    )
+    return _ntz(rows, "time", "ingested_at")
+
+
 @query
 def bronze_stream(spark, sf):
     """Files land under the hour given here in place of the wall clock."""
@@ -268,13 +286,12 @@ def _outputs(spark: SparkSession) -> jobs.RealtimeOutputs:
     return jobs.RealtimeOutputs(*[f"{path}/{name}" for name in ("alerts", "live", "state", "log")])
 
 
-def _realtime_run(spark: SparkSession, sf: str) -> jobs.RealtimeOutputs:
+def _realtime_run(spark: SparkSession, sf: str, outputs: jobs.RealtimeOutputs) -> jobs.RealtimeOutputs:
     """Both alert jobs over events of which every tenth is delivered twice."""
     rows = adapter.events(spark, sf)
     again = rows.filter(F.col("event_id").endswith("0"))
     copies = again.withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 1 second"))
     stream = triggers(by_arrival(rows.unionByName(copies), 3), "events")
-    outputs = _outputs(spark)
     valid = _valid(stream)
     accepted = marks.Marks(f"{outputs.state}-accepted", valid.schema)
     run(jobs.realtime_job(valid, outputs, marks=accepted), f"{outputs.state}-checkpoint", False)
@@ -286,16 +303,31 @@ def _realtime_run(spark: SparkSession, sf: str) -> jobs.RealtimeOutputs:
 @query
 def realtime_alerts(spark, sf):
     """Threshold and anomaly alerts as they leave by the alert log."""
-    return _alert_log(spark, _realtime_run(spark, sf).log)
+    return _alert_log(spark, _realtime_run(spark, sf, _outputs(spark)).log)
 
 
 @query
 def realtime_alert_table(spark, sf):
     """Threshold and anomaly alerts in the alert table."""
-    rows = jobs.read_alerts(spark, _realtime_run(spark, sf).alerts).drop("created_at")
+    rows = jobs.read_alerts(spark, _realtime_run(spark, sf, _outputs(spark)).alerts).drop("created_at")
     return _rounded(_ntz(rows, "triggered_at"), "threshold")
 
 
+@query
+def realtime_alert_snapshots(spark, sf):
+    """The same in a compacted table, the live feed in another."""
+    outputs = _outputs(spark)
+    outputs = dataclasses.replace(outputs, alerts=jobs.alert_table(outputs.alerts), live=jobs.live_table(outputs.live))
+    _realtime_run(spark, sf, outputs)
+    for table in (outputs.alerts, outputs.live):
+        table.compact(spark, 1)
+    live = outputs.live.read(spark).groupBy(F.col("device_id").alias("_d"), F.col("type").alias("_t")).count().filter("_t = 'alert'")
+    rows = jobs.read_alerts(spark, outputs.alerts).drop("created_at")
+    # Every alert of a device is in the live feed, too.
+    fed = rows.join(live.select(F.col("_d").alias("device_id"), F.col("count").alias("n_live")), "device_id")
+    return _rounded(_ntz(fed, "triggered_at"), "threshold")
+
+
 @query
 def anomaly_stream_(spark, sf):
     parts = by_arrival(adapter.events(spark, sf), 3)

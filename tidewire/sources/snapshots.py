@@ -140,13 +140,14 @@ class SnapshotTable:
         return self._read(spark, days)
 
 
-def snapshot_job(rows: DataFrame, table: SnapshotTable, writer: str, compact_every: int = 100) -> DataStreamWriter:
-    """Appends a stream to the table, and compacts it between triggers."""
+def append_and_compact(table: SnapshotTable, rows: DataFrame, writer: str, batch_id: int, compact_every: int) -> None:
+    """Adds a trigger's rows, and compacts the table every so many triggers."""
+    table.append(rows, writer, batch_id)
+    if batch_id % compact_every == compact_every - 1:
+        table.compact(rows.sparkSession)
+        table.vacuum(rows.sparkSession)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, writer, batch_id)
-        if batch_id % compact_every == compact_every - 1:
-            table.compact(batch.sparkSession)
-            table.vacuum(batch.sparkSession)
 
-    return rows.writeStream.foreachBatch(process)
+def snapshot_job(rows: DataFrame, table: SnapshotTable, writer: str, compact_every: int = 100) -> DataStreamWriter:
+    """Appends a stream to the table, and compacts it between triggers."""
+    return rows.writeStream.foreachBatch(lambda batch, batch_id: append_and_compact(table, batch, writer, batch_id, compact_every))

@@ -26,13 +26,16 @@ from tidewire.schemas import (
     BRONZE_PARTITIONS,
     DATE,
     STRING,
+    TELEMETRY,
     TIMESTAMP,
     TOPIC_AGGREGATES,
     TOPIC_ALERTS,
     extended,
+    record,
 )
 from tidewire.session import STATE_STORE, configure
 from tidewire.sources import event_log, tables
+from tidewire.sources.snapshots import SnapshotTable, append_and_compact, snapshot_job
 from tidewire.streaming.anomaly import anomaly_stream
 from tidewire.streaming.dedup import first_arrivals
 from tidewire.streaming.marks import Marks, idempotent
@@ -101,12 +104,37 @@ def write_dated(rows: DataFrame, path: str, at: str, batch_id: int) -> None:
     )
 
 
+def store(rows: DataFrame, target: str | SnapshotTable, origin: str, at: str, batch_id: int) -> None:
+    """Rows of one trigger into a folder of their own, or into a table that is compacted every so many triggers."""
+    if isinstance(target, SnapshotTable):
+        append_and_compact(target, rows, origin, batch_id, COMPACT_EVERY)
+    else:
+        write_dated(rows, f"{target}/origin={origin}", at, batch_id)
+
+
+def alert_table(path: str) -> SnapshotTable:
+    schema = extended(ALERT, acknowledged=BOOLEAN, created_at=TIMESTAMP)
+    return SnapshotTable(path, schema, "triggered_at", ("device_id", "triggered_at"))
+
+
+def live_table(path: str) -> SnapshotTable:
+    schema = record(message_id=STRING, device_id=STRING, type=STRING, data=STRING, received_at=STRING)
+    return SnapshotTable(path, schema, "received_at", ("device_id", "received_at"))
+
+
+def telemetry_table(path: str) -> SnapshotTable:
+    return SnapshotTable(path, TELEMETRY, "time", ("device_id", "time"))
+
+
 @dataclass(frozen=True)
 class RealtimeOutputs:
-    """Alert table, live feed, state table, and the alert log: a broker list, or a folder for `log_format` files."""
+    """Alert table, live feed, state table, and the alert log: a broker list, or a folder for `log_format` files.
+
+    Alert table and live feed are folders, or tables as `alert_table` and `live_table` make them.
+    """
 
-    alerts: str
-    live: str
+    alerts: str | SnapshotTable
+    live: str | SnapshotTable
     state: str
     log: str
     log_format: str = "parquet"
@@ -114,15 +142,17 @@ class RealtimeOutputs:
 
 def publish_alerts(fired: DataFrame, outputs: RealtimeOutputs, origin: str, batch_id: int) -> None:
     """Alerts go to the table, the alert log and the live feed; `origin` keeps the jobs' triggers apart."""
-    write_dated(alerts.to_alert_table(fired), f"{outputs.alerts}/origin={origin}", "triggered_at", batch_id)
+    store(alerts.to_alert_table(fired), outputs.alerts, origin, "triggered_at", batch_id)
     messages = event_log.alert_messages(fired)
     event_log.publish(messages, outputs.log, TOPIC_ALERTS, f"{origin}-{batch_id}", outputs.log_format)
     live = fanout.alert_messages(fired, F.col("triggered_at"))
-    write_dated(live, f"{outputs.live}/origin={origin}", "received_at", batch_id)
+    store(live, outputs.live, origin, "received_at", batch_id)
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+def read_alerts(spark: SparkSession, path: str | SnapshotTable) -> DataFrame:
     """The alert table of all jobs."""
+    if isinstance(path, SnapshotTable):
+        return path.read(spark)
     schema = extended(
         ALERT, acknowledged=BOOLEAN, created_at=TIMESTAMP, origin=STRING, event_date=DATE, batch_id=BIGINT
     )
@@ -140,7 +170,7 @@ def realtime_batch(outputs: RealtimeOutputs, rules: DataFrame | None = None) ->
             fired = alerts.alerts_rules(events, rules, arrival="arrived_at")
             publish_alerts(fired, outputs, "rules", batch_id)
             feed = fanout.telemetry_messages(flatten.live_feed(events, "arrived_at"), F.col("arrived_at"))
-            write_dated(feed, f"{outputs.live}/origin=telemetry", "received_at", batch_id)
+            store(feed, outputs.live, "telemetry", "received_at", batch_id)
             save_state(events, outputs.state, batch_id)
         finally:
             events.unpersist()
@@ -234,6 +264,11 @@ def telemetry_job(parsed: DataFrame, path: str) -> DataStreamWriter:
     return rows.writeStream.format("parquet").option("path", path).partitionBy("event_date")
 
 
+def telemetry_table_job(parsed: DataFrame, table: SnapshotTable, compact_every: int = COMPACT_EVERY) -> DataStreamWriter:
+    """The same into a table that is compacted between triggers, days ordered by device and time."""
+    return snapshot_job(flatten.to_telemetry(validate.valid_events(parsed)), table, "telemetry", compact_every)
+
+
 def archive_job(parsed: DataFrame, path: str, flushed_at: Column | None = None) -> DataStreamWriter:
     """Bronze files by the hour of the trigger."""
     at = F.current_timestamp() if flushed_at is None else flushed_at
