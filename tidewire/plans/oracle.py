@@ -832,6 +832,7 @@ define(
     "closed AS (SELECT max(time) - INTERVAL 10 MINUTE AS mark FROM tele)",
 )
 ORACLE["telemetry_table"] = ORACLE["telemetry_stream"]
+ORACLE["silver_runs"] = ORACLE["silver_stream"]
 ORACLE["realtime_dedup_stream"] = ORACLE["realtime_dedup"]
 ORACLE["alert_cooldown_stream"] = ORACLE["alert_cooldown"]
 define(

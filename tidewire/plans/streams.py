@@ -16,7 +16,7 @@ from tidewire.plans import adapter
 from tidewire.plans.catalog import COOLDOWN_SECONDS, MEASURES, QUERIES, ROLLED, _alerts, _ntz, _rounded, _silver, query
 from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
-from tidewire.sources import event_log, tables
+from tidewire.sources import event_log, ledger, tables
 from tidewire.streaming import jobs, marks, rollups, scores
 
 ALL = {"availableNow": True}
@@ -167,6 +167,21 @@ def silver_stream(spark, sf):
     return _ntz(tables.read_silver(spark, path), "timestamp", "ingested_at")
 
 
+@query
+def silver_runs(spark, sf):
+    """The same by scheduled runs over the files that the ledger doesn't have."""
+    jobs.prepare(spark)
+    bronze_path, path = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    rows = adapter.corrected_bronze(spark, sf)
+    for column in ("timestamp", "ingested_at"):
+        rows = rows.withColumn(column, F.col(column).cast("timestamp"))
+    tables.write_bronze(rows, bronze_path, F.date_trunc("day", "ingested_at"))
+    runs = ledger.Ledger(f"{path}-ledger")
+    while jobs.silver_run(spark, bronze_path, path, f"{path}-runs", runs, files=20):
+        pass
+    return _ntz(tables.read_silver(spark, path), "timestamp", "ingested_at")
+
+
 @query
 def describe_table(spark, sf):
     return tables.describe_table(spark.read.parquet(f"{sf}/lineitem.parquet")).select(

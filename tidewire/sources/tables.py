@@ -97,21 +97,32 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a file as a whole unless there is one of that name; tells whether it did."""
+    target, fs = _file_system(spark, path)
+    return not fs.exists(target) and _write_whole(spark, path, text, replace=False)
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a file as a whole; readers see the old one or the new one."""
+    _write_whole(spark, path, text, replace=True)
+
+
+def _write_whole(spark: SparkSession, path: str, text: str, replace: bool) -> bool:
+    """By a rename, which FileContext, unlike FileSystem, can be told not to replace by."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target, fs = _file_system(spark, path)
-    if fs.exists(target):
-        return False
     draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     stream = fs.create(draft, False)
     stream.write(text.encode())
     stream.close()
-    # A rename that does not replace, which FileSystem.rename may do.
-    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, int(replace))
+    if replace:
+        options[0] = rename.OVERWRITE
     try:
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, plain)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, options)
     except Py4JJavaError as error:
         fs.delete(draft, False)
-        if not fs.exists(target):
+        if replace or not fs.exists(target):
             raise RuntimeError(f"cannot write {path}") from error
         return False
     return True

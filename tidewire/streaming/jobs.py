@@ -35,6 +35,7 @@ from tidewire.schemas import (
 )
 from tidewire.session import STATE_STORE, configure
 from tidewire.sources import event_log, tables
+from tidewire.sources.ledger import Ledger
 from tidewire.sources.snapshots import SnapshotTable, append_and_compact, snapshot_job
 from tidewire.streaming.anomaly import anomaly_stream
 from tidewire.streaming.dedup import first_arrivals
@@ -315,6 +316,25 @@ def silver_stream(spark: SparkSession, bronze_path: str, files: int = SILVER_FIL
     )
 
 
+def refine(bronze: DataFrame, silver_path: str, batch_id: int) -> DataFrame:
+    """Adds the silver rows of one trigger or run to the table, and returns their counts; only its own folder is listed."""
+    spark = bronze.sparkSession
+    fresh = silver.silver(bronze, keep=tables.SILVER_TIES)
+    (
+        fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.block.size", tables.SILVER_ROW_GROUP_BYTES)
+        .partitionBy("batch_id", "event_date")
+        .parquet(silver_path)
+    )
+    own = f"{silver_path}/batch_id={batch_id}"
+    n_out = F.lit(spark.read.schema(fresh.schema).parquet(own).count() if tables.exists(spark, own) else 0)
+    return bronze.agg(F.count("*").alias("events_in")).select(
+        "events_in", n_out.cast("bigint").alias("events_out"), (F.col("events_in") - n_out).alias("duplicates_removed")
+    )
+
+
 def silver_batch(silver_path: str, runs_path: str) -> Callable[[DataFrame, int], None]:
     """Refines one trigger's bronze rows.
 
@@ -327,23 +347,8 @@ def silver_batch(silver_path: str, runs_path: str) -> Callable[[DataFrame, int],
         started = time.monotonic()
         bronze = bronze.persist()
         try:
-            fresh = silver.silver(bronze, keep=tables.SILVER_TIES)
-            (
-                fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .option("parquet.block.size", tables.SILVER_ROW_GROUP_BYTES)
-                .partitionBy("batch_id", "event_date")
-                .parquet(silver_path)
-            )
-            written = spark.read.schema(extended(fresh.schema, batch_id=BIGINT)).parquet(silver_path)
-            n_out = F.lit(written.filter(F.col("batch_id") == batch_id).count())
+            stats = refine(bronze, silver_path, batch_id)
             n_files = bronze.select("_file").distinct().count() if "_file" in bronze.columns else 0
-            stats = bronze.agg(F.count("*").alias("events_in")).select(
-                "events_in",
-                n_out.cast("bigint").alias("events_out"),
-                (F.col("events_in") - n_out).alias("duplicates_removed"),
-            )
             known = files_before(spark, runs_path, batch_id)
             elapsed = (time.monotonic() - started) * 1000
             write_part(silver.run_summary(stats, n_files, known, elapsed), runs_path, batch_id)
@@ -354,14 +359,46 @@ def silver_batch(silver_path: str, runs_path: str) -> Callable[[DataFrame, int],
 
 
 def files_before(spark: SparkSession, runs_path: str, batch_id: int) -> int:
-    """Bronze files that earlier runs processed, which this run skips; the last summary knows the sum."""
-    earlier = [n for n in tables.numbered(spark, runs_path, "batch_id") if n < batch_id]
-    if not earlier:
-        return 0
-    last = spark.read.parquet(f"{runs_path}/batch_id={earlier[-1]}").first()
+    """Bronze files that earlier runs processed, which this run skips; the summary of the run before knows the sum."""
+    before = batch_id - 1
+    if not tables.exists(spark, f"{runs_path}/batch_id={before}/_SUCCESS"):
+        # A gap, as after a new checkpoint.
+        earlier = [n for n in tables.numbered(spark, runs_path, "batch_id") if n < batch_id]
+        if not earlier:
+            return 0
+        before = earlier[-1]
+    last = spark.read.parquet(f"{runs_path}/batch_id={before}").first()
     return last["processed_files"] + last["skipped_files"]
 
 
+def silver_run(
+    spark: SparkSession, bronze_path: str, silver_path: str, runs_path: str, ledger: Ledger, files: int = SILVER_FILES
+) -> int:
+    """One scheduled run: refines the next bronze files that the ledger doesn't have, and says how many they were.
+
+    A run that stopped before it was closed in the ledger is made again with the same number and replaces its rows.
+    """
+    started = time.monotonic()
+    head = ledger.head(spark)
+    run = head.run + 1
+    taken, open_files = ledger.pending(spark, bronze_path, files)
+    if not taken:
+        return 0
+    paths = [f"{bronze_path}/{f}" for f in taken]
+    bronze = spark.read.schema(tables.bronze_schema()).option("basePath", bronze_path).parquet(*paths)
+    bronze = bronze.withColumn("_file", F.col("_metadata.file_path")).persist()
+    try:
+        stats = refine(bronze, silver_path, run)
+        hour = rf"({'/'.join(f'{c}=[^/]+' for c in BRONZE_PARTITIONS)}/[^/]+)$"
+        per_file = bronze.groupBy(F.regexp_extract("_file", hour, 1).alias("path")).agg(F.count("*").alias("rows"))
+        elapsed = (time.monotonic() - started) * 1000
+        write_part(silver.run_summary(stats, len(taken), head.n_done, elapsed), runs_path, run)
+        ledger.commit(spark, run, taken, open_files, per_file)
+    finally:
+        bronze.unpersist()
+    return len(taken)
+
+
 def silver_job(bronze: DataFrame, silver_path: str, runs_path: str) -> DataStreamWriter:
     with_file = bronze.withColumn("_file", F.col("_metadata.file_path"))
     return with_file.writeStream.foreachBatch(silver_batch(silver_path, runs_path))
