@@ -13,6 +13,12 @@ from tidewire.session import cut_lineage
 
 # Histogram bounds in seconds (fixed values).
 INGEST_LATENCY = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5)
+DURATIONS = {
+    "processor_event_duration_seconds": (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5),
+    "batch_flush_duration_seconds": (0.0001, 0.0005, 0.001, 0.005, 0.01),
+    "archive_flush_duration_seconds": (0.1, 0.5, 1, 2, 5, 10),
+    "silver_transform_duration_seconds": (0.5, 1, 2, 5, 10, 30, 60),
+}
 
 RATE_LIMIT = 1000
 RATE_WINDOW_SECONDS = 60
@@ -45,6 +51,25 @@ def histogram(rows: DataFrame, value: Column, bounds: tuple[float, ...], by: lis
     return totals.select(*by, "sum", "count", F.inline(F.array(*entries)))
 
 
+def duration_parts(rows: DataFrame, name: str, seconds: Column, weight: Column | None = None) -> DataFrame:
+    """A histogram of `DURATIONS` as rows (name, labels, le, value) that add up over any number of parts.
+
+    `weight` is the number of observations that a row stands for. The sum and the count are rows with `le` sum and count.
+    """
+    s, w = seconds.cast("double"), (F.lit(1) if weight is None else weight).cast("double")
+    w = F.when(s.isNotNull(), w)
+    bounds = [(str(b), F.sum(F.when(s <= float(b), w))) for b in DURATIONS[name]]
+    columns = [*bounds, ("+Inf", F.sum(w)), ("count", F.sum(w)), ("sum", F.sum(s * w))]
+    totals = rows.agg(*[v.alias(f"_{i}") for i, (_, v) in enumerate(columns)])
+    parts = F.array(*[F.struct(F.lit(le).alias("le"), F.coalesce(F.col(f"_{i}"), F.lit(0.0)).alias("value")) for i, (le, _) in enumerate(columns)])
+    return totals.select(F.lit(name).alias("name"), F.lit("").alias("labels"), F.inline(parts))
+
+
+def merge_measures(parts: DataFrame) -> DataFrame:
+    """One row per counter, or bound of a histogram, from the parts of any number of triggers."""
+    return parts.groupBy("name", "labels", "le").agg(F.sum("value").alias("value"))
+
+
 def consumer_lag(committed: DataFrame, latest: DataFrame) -> DataFrame:
     """Messages each group is behind per partition; an unknown end or a group without commit counts as 0."""
     end = F.coalesce(F.col("latest"), F.lit(0))

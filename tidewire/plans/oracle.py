@@ -833,6 +833,33 @@ define(
 )
 ORACLE["telemetry_table"] = ORACLE["telemetry_stream"]
 ORACLE["silver_runs"] = ORACLE["silver_stream"]
+define(
+    "job_counters",
+    """SELECT 'processor_events_processed_total' AS name, 'status=ok' AS labels, count(*) AS value FROM status WHERE status = 'ok'
+UNION ALL SELECT 'processor_duplicates_total', '', count(*) FROM status WHERE status = 'ok' AND id % 10 = 9
+UNION ALL SELECT unnest(['processor_dlq_total', 'batch_events_invalid_total']), 'reason=' || status, count(*)
+  FROM status WHERE status LIKE '%invalid%' GROUP BY status
+UNION ALL SELECT 'batch_events_inserted_total', '', CAST(sum(CASE WHEN id % 10 = 9 THEN 2 ELSE 1 END) AS BIGINT) FROM status WHERE status = 'ok'
+UNION ALL SELECT 'processor_alerts_fired_total', 'severity=' || severity, count(*)
+  FROM status JOIN ev USING (id), (SELECT unnest(['warning', 'critical']) AS severity, unnest([30, 40]) AS bound)
+  WHERE status = 'ok' AND ev.value > bound GROUP BY severity""",
+    STATUS,
+)
+_BOUNDS = {
+    "processor_event_duration_seconds": (100, "0.001 0.005 0.01 0.025 0.05 0.1 0.25 0.5"),
+    "batch_flush_duration_seconds": (10000, "0.0001 0.0005 0.001 0.005 0.01"),
+    "archive_flush_duration_seconds": (8, "0.1 0.5 1 2 5 10"),
+    "silver_transform_duration_seconds": (1, "0.5 1 2 5 10 30 60"),
+}
+_UNITS = ", ".join(f"('{name}', {unit}, '{bounds} +Inf count sum')" for name, (unit, bounds) in _BOUNDS.items())
+define(
+    "duration_histograms",
+    """SELECT name, le, round(sum(CASE WHEN le = 'sum' THEN s * w WHEN le IN ('+Inf', 'count') OR s <= TRY_CAST(le AS DOUBLE) THEN w ELSE 0 END) + 1e-9, 6)
+  AS value
+FROM (SELECT name, unnest(string_split(bounds, ' ')) AS le, k / unit::DOUBLE AS s, (id % 3 + 1)::DOUBLE AS w FROM ev, units)
+GROUP BY name, le""",
+    f"units(name, unit, bounds) AS (VALUES {_UNITS})",
+)
 ORACLE["realtime_dedup_stream"] = ORACLE["realtime_dedup"]
 ORACLE["alert_cooldown_stream"] = ORACLE["alert_cooldown"]
 define(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import dataclasses
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.maps import entry
 from tidewire.functions.times import at
-from tidewire.operators import ingest, rollup, validate
+from tidewire.operators import ingest, quality, rollup, validate
 from tidewire.operators.alerts import alerts_rules
 from tidewire.operators.anomaly import samples
 from tidewire.plans import adapter
@@ -17,7 +18,7 @@ from tidewire.plans.catalog import COOLDOWN_SECONDS, MEASURES, QUERIES, ROLLED,
 from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
 from tidewire.sources import event_log, ledger, tables
-from tidewire.streaming import jobs, marks, rollups, scores
+from tidewire.streaming import jobs, marks, measures, rollups, scores
 
 ALL = {"availableNow": True}
 LOG_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -380,3 +381,42 @@ def rollup_live_1m(spark, sf):
 @query
 def rollup_live_1h(spark, sf):
     return _live_rollup(spark, sf, "1h")
+
+
+@query
+def job_counters(spark, sf):
+    """What the realtime and the batch job count while they run over a log that brings some messages twice."""
+    log = adapter.event_log(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    again = log.filter("id % 10 = 9").withColumn("timestamp", F.col("timestamp") + F.expr("interval 1 second"))
+    rows = log.unionByName(again).withColumn("slice", F.col("id") % 3).drop("id")
+    parsed = jobs.parsed_stream(triggers([rows.filter(F.col("slice") == n).drop("slice") for n in range(3)], "log"))
+    outputs = _outputs(spark)
+    counted = measures.Measures(f"{outputs.state}-measures", compact_every=2)
+    accepted = marks.Marks(f"{outputs.state}-accepted", jobs.valid_stream(parsed).schema)
+    realtime = jobs.measured_realtime_job(parsed, outputs, accepted, counted, f"{outputs.state}-dlq")
+    run(realtime, f"{outputs.state}-checkpoint", False)
+    batch = jobs.measured_telemetry_job(parsed, jobs.telemetry_table(f"{outputs.state}-telemetry"), counted)
+    run(batch, f"{outputs.state}-checkpoint-batch", False)
+    return counted.counters(spark)
+
+
+@query
+def duration_histograms(spark, sf):
+    """Durations made from the props number, bucketed per trigger and added up; one trigger is repeated."""
+    jobs.prepare(spark)
+    e = adapter.source_events(spark, sf)
+    added = measures.Measures(scratch_path(spark, "durations"))
+    for trigger in (0, 1, 1, 2, 3):
+        rows, n = e.filter(F.col("id") % 4 == trigger), F.col("id") % 3 + 1
+        parts = [quality.duration_parts(rows, name, F.col("k") / div, n) for name, div in DURATION_UNITS.items()]
+        added.add(reduce(DataFrame.unionByName, parts), "job", trigger)
+    return _rounded(added.histograms(spark), "value")
+
+
+# What the props number is divided by, so that it falls on both sides of every bound.
+DURATION_UNITS = {
+    "processor_event_duration_seconds": 100,
+    "batch_flush_duration_seconds": 10_000,
+    "archive_flush_duration_seconds": 8,
+    "silver_transform_duration_seconds": 1,
+}

@@ -78,11 +78,11 @@ class SnapshotTable:
         found = tables.names(rows.sparkSession, target)
         return [(part, n.removeprefix("event_date=")) for n in sorted(found) if n.startswith("event_date=")]
 
-    def append(self, rows: DataFrame, writer: str, batch_id: int) -> None:
-        """Adds one trigger's rows, once."""
+    def append(self, rows: DataFrame, writer: str, batch_id: int) -> bool:
+        """Adds one trigger's rows, once; tells whether they were read."""
         spark = rows.sparkSession
         if self.newest(spark).writers.get(writer, -1) >= batch_id:
-            return
+            return False
         dated = rows.select(*self.schema.fieldNames()).withColumn("event_date", F.to_date(self.at))
         added = self._write(dated, f"{writer}-{batch_id}")
 
@@ -92,6 +92,7 @@ class SnapshotTable:
             return Snapshot(folders=[*last.folders, *added], writers=last.writers | {writer: batch_id})
 
         self._commit(spark, add)
+        return True
 
     def compact(self, spark: SparkSession, most_parts: int = MOST_PARTS) -> list[str]:
         """Rewrites the days that lie in more than `most_parts` parts, ordered, and names them."""
@@ -140,14 +141,19 @@ class SnapshotTable:
         return self._read(spark, days)
 
 
-def append_and_compact(table: SnapshotTable, rows: DataFrame, writer: str, batch_id: int, compact_every: int) -> None:
-    """Adds a trigger's rows, and compacts the table every so many triggers."""
-    table.append(rows, writer, batch_id)
+def append_and_compact(table: SnapshotTable, rows: DataFrame, writer: str, batch_id: int, compact_every: int) -> bool:
+    """Adds a trigger's rows, and compacts the table every so many triggers; tells whether the rows were read."""
+    added = table.append(rows, writer, batch_id)
     if batch_id % compact_every == compact_every - 1:
         table.compact(rows.sparkSession)
         table.vacuum(rows.sparkSession)
+    return added
 
 
 def snapshot_job(rows: DataFrame, table: SnapshotTable, writer: str, compact_every: int = 100) -> DataStreamWriter:
     """Appends a stream to the table, and compacts it between triggers."""
-    return rows.writeStream.foreachBatch(lambda batch, batch_id: append_and_compact(table, batch, writer, batch_id, compact_every))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        append_and_compact(table, batch, writer, batch_id, compact_every)
+
+    return rows.writeStream.foreachBatch(process)

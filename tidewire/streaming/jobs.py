@@ -40,6 +40,7 @@ from tidewire.sources.snapshots import SnapshotTable, append_and_compact, snapsh
 from tidewire.streaming.anomaly import anomaly_stream
 from tidewire.streaming.dedup import first_arrivals
 from tidewire.streaming.marks import Marks, idempotent
+from tidewire.streaming.measures import Measures, Trigger, measured, publishing
 from tidewire.streaming.scores import Tails, scored
 
 ROLLUP_DELAY = "3 hours"
@@ -141,11 +142,14 @@ class RealtimeOutputs:
     log_format: str = "parquet"
 
 
-def publish_alerts(fired: DataFrame, outputs: RealtimeOutputs, origin: str, batch_id: int) -> None:
+def publish_alerts(
+    fired: DataFrame, outputs: RealtimeOutputs, origin: str, batch_id: int, measures: Measures | None = None
+) -> None:
     """Alerts go to the table, the alert log and the live feed; `origin` keeps the jobs' triggers apart."""
     store(alerts.to_alert_table(fired), outputs.alerts, origin, "triggered_at", batch_id)
     messages = event_log.alert_messages(fired)
-    event_log.publish(messages, outputs.log, TOPIC_ALERTS, f"{origin}-{batch_id}", outputs.log_format)
+    with publishing(measures, fired.sparkSession, TOPIC_ALERTS):
+        event_log.publish(messages, outputs.log, TOPIC_ALERTS, f"{origin}-{batch_id}", outputs.log_format)
     live = fanout.alert_messages(fired, F.col("triggered_at"))
     store(live, outputs.live, origin, "received_at", batch_id)
 
@@ -235,6 +239,67 @@ def realtime_job(
     return events.writeStream.foreachBatch(process if marks is None else idempotent(marks, process))
 
 
+SEVERITIES = ("info", "warning", "critical")
+
+
+def measured_realtime_job(
+    parsed: DataFrame, outputs: RealtimeOutputs, marks: Marks, measures: Measures, dead_letters: str, rules: DataFrame | None = None
+) -> DataStreamWriter:
+    """The realtime job over all messages: dead letters, idempotency, alerts, live feed and state, with its counters."""
+
+    def process(messages: DataFrame, batch_id: int, trigger: Trigger) -> None:
+        started = time.monotonic()
+        messages = messages.persist()
+        try:
+            status = F.col("status")
+            rejected = {s: status == s for s in (validate.BAD_JSON, validate.BAD_SCHEMA)}
+            counted = trigger.observe(messages, "processor_dlq_total", "reason", rejected)
+            write_part(event_log.keyed_json(validate.dead_letters(counted, F.col("arrived_at")), None), dead_letters, batch_id)
+            valid = valid_stream(messages)
+            n_valid = valid.count()
+            events = marks.accept(valid, batch_id)
+            fired = alerts.alerts_rules(events, rules, arrival="arrived_at").persist()
+            try:
+                severities = {s: F.col("severity") == s for s in SEVERITIES}
+                fired_counted = trigger.observe(fired, "processor_alerts_fired_total", "severity", severities)
+                publish_alerts(fired_counted, outputs, "rules", batch_id, measures)
+            finally:
+                fired.unpersist()
+            feed = fanout.telemetry_messages(flatten.live_feed(events, "arrived_at"), F.col("arrived_at"))
+            store(feed, outputs.live, "telemetry", "received_at", batch_id)
+            save_state(events, outputs.state, batch_id)
+            n = events.count()
+            trigger.count("processor_events_processed_total", n, status="ok")
+            trigger.count("processor_duplicates_total", n_valid - n)
+            if n:
+                trigger.took("processor_event_duration_seconds", (time.monotonic() - started) / n, n)
+        finally:
+            messages.unpersist()
+
+    return parsed.writeStream.foreachBatch(measured(measures, "realtime", process))
+
+
+def measured_telemetry_job(
+    parsed: DataFrame, table: SnapshotTable, measures: Measures, compact_every: int = COMPACT_EVERY
+) -> DataStreamWriter:
+    """The batch job into a compacted table, with its counters."""
+
+    def process(messages: DataFrame, batch_id: int, trigger: Trigger) -> None:
+        started = time.monotonic()
+        status = F.col("status")
+        rejected = {s: status == s for s in (validate.BAD_JSON, validate.BAD_SCHEMA)}
+        counted = trigger.observe(messages, "batch_events_invalid_total", "reason", rejected)
+        rows = trigger.observe(flatten.to_telemetry(validate.valid_events(counted)), "batch_events_inserted_total")
+        if not append_and_compact(table, rows, "telemetry", batch_id, compact_every):
+            # Stored before, but maybe not counted: what is observed must be read.
+            rows.write.format("noop").mode("overwrite").save()
+        n = trigger.observed[-1][0].get.get("n0", 0)
+        if n:
+            trigger.took("batch_flush_duration_seconds", (time.monotonic() - started) / n, n)
+
+    return parsed.writeStream.foreachBatch(measured(measures, "batch", process))
+
+
 def anomaly_alert_stream(accepted: DataFrame, arrival: str = "arrived_at") -> DataFrame:
     """Alert rows of anomalous samples."""
     return alerts.anomaly_alerts(anomaly_stream(samples(accepted, arrival)))
