@@ -2,7 +2,7 @@
 
 Each trigger adds its counts and duration buckets to a table, under its job's name and batch id, so a repeated trigger
 counts once; readers add them up. Counts come from `observe`, on the rows that the trigger writes anyway. The duration
-of an event is its trigger's, divided by the number of events. What a file sink has written is read from its own log.
+of an event is its trigger's, divided by the number of events. What a file sink has written is what its own log names.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from tidewire.sources.snapshots import SnapshotTable, append_and_compact
 
 COMPACT_EVERY = 100
 MEASURE = record(at=TIMESTAMP, name=STRING, labels=STRING, le=STRING, value=DOUBLE)
-# File of a sink's log (fixed values).
 SINK_FILE = "path string, size bigint"
 
 
@@ -111,12 +110,11 @@ def measured(
 
 
 def sink_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, size) of the files that a file sink has committed, from its log; a compacted log holds all before it."""
-    log = f"{path}/_spark_metadata"
-    if not tables.exists(spark, log):
+    """(path, size) of the files that a file sink has committed, which its log names; contents are not read."""
+    if not tables.exists(spark, path):
         return spark.createDataFrame([], SINK_FILE)
-    lines = spark.read.text(log).filter(F.col("value").startswith("{"))
-    return lines.select(F.from_json("value", SINK_FILE).alias("f")).select("f.*").distinct()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", F.col("length").alias("size"))
 
 
 def archive_counters(spark: SparkSession, path: str, zone: str = "telemetry") -> DataFrame:
