@@ -84,6 +84,47 @@ def device_board(events: DataFrame, arrival: str = "ingested_at") -> DataFrame:
     )
 
 
+BOARD_PART = "device_id string, item string, at timestamp, event_id string, value double, timestamp timestamp, tags map<string,string>"
+TIME_ITEM, TAGS_ITEM, METRIC_ITEM = "time", "tags", "metric:"
+
+
+def board_parts(events: DataFrame, arrival: str = "ingested_at") -> DataFrame:
+    """What events say of each device: its time, its tags, each of its metrics, with when they were said.
+
+    Parts of any number of triggers give the board by `merge_board_parts` and `board_of`.
+    """
+    said = events.select(
+        "device_id", F.col(arrival).cast("timestamp").alias("at"), "event_id", F.col("timestamp").cast("timestamp").alias("timestamp"), "tags"
+    )
+    none = {"value": F.lit(None).cast("double"), "timestamp": F.lit(None).cast("timestamp"), "tags": F.lit(None).cast("map<string,string>")}
+    times = said.withColumns({**none, "timestamp": F.col("timestamp"), "item": F.lit(TIME_ITEM)})
+    tags = said.filter("tags IS NOT NULL").withColumns({**none, "tags": F.col("tags"), "item": F.lit(TAGS_ITEM)})
+    values = metrics_long(events, "device_id", "event_id", F.col(arrival).cast("timestamp").alias("at")).withColumns(
+        {"timestamp": none["timestamp"], "tags": none["tags"], "item": F.concat(F.lit(METRIC_ITEM), F.col("metric"))}
+    )
+    columns = ["device_id", "item", "at", "event_id", "value", "timestamp", "tags"]
+    return merge_board_parts(times.select(*columns).unionByName(tags.select(*columns)).unionByName(values.select(*columns)))
+
+
+def merge_board_parts(parts: DataFrame) -> DataFrame:
+    """The newest part of each device and item."""
+    fields = ("at", "event_id", "value", "timestamp", "tags")
+    newest = parts.groupBy("device_id", "item").agg(F.max_by(F.struct(*fields), F.struct("at", "event_id")).alias("_s"))
+    return newest.select("device_id", "item", *[F.col(f"_s.{c}").alias(c) for c in fields])
+
+
+def board_of(merged: DataFrame) -> DataFrame:
+    """The board of merged parts, as `device_board` has it."""
+    item, name = F.col("item"), F.substring("item", F.lit(len(METRIC_ITEM) + 1), F.length("item"))
+    is_metric = item.startswith(METRIC_ITEM)
+    # An item is there once, so any of its rows is it.
+    return merged.groupBy("device_id").agg(
+        F.first(F.when(item == TAGS_ITEM, F.col("tags")), ignorenulls=True).alias("tags"),
+        F.first(F.when(item == TIME_ITEM, F.col("timestamp")), ignorenulls=True).alias("timestamp"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(is_metric, F.struct(name.alias("metric"), "value"))))).alias("metrics"),
+    )
+
+
 def board_order(board: DataFrame) -> DataFrame:
     return board.orderBy(F.col("device_id").asc_nulls_last())
 

@@ -450,6 +450,14 @@ def device_get(spark, sf):
     return _state_view(state.device_get(_state(spark, sf), DEVICE))
 
 
+@query
+def device_point_read(spark, sf):
+    """The same from a stored state, of which one bucket's file is read."""
+    path = scratch_path(spark, "state")
+    tables.write_by_device(_state(spark, sf), path)
+    return _state_view(state.devices_list(tables.read_device(spark, path, DEVICE)))
+
+
 @query
 def device_board(spark, sf):
     board = state.board_order(state.device_board(adapter.events(spark, sf)))

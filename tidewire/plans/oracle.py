@@ -504,6 +504,7 @@ define("latest_state_by_event_time", f"SELECT {STATE} FROM latest", LATEST.forma
 define("devices_list", f"SELECT {STATE} FROM latest", LATEST.format(order="ingested_at"))
 define("devices_count", "SELECT count(*) AS n FROM latest", LATEST.format(order="ingested_at"))
 define("device_get", f"SELECT {STATE} FROM latest WHERE device_id = 'dev-0001'", LATEST.format(order="ingested_at"))
+ORACLE["device_point_read"] = ORACLE["device_get"]
 define(
     "device_board",
     f"""SELECT d.device_id, d.timestamp, x.tags,
@@ -860,6 +861,7 @@ FROM (SELECT name, unnest(string_split(bounds, ' ')) AS le, k / unit::DOUBLE AS
 GROUP BY name, le""",
     f"units(name, unit, bounds) AS (VALUES {_UNITS})",
 )
+ORACLE["device_board_stream"] = ORACLE["device_board"]
 ORACLE["realtime_dedup_stream"] = ORACLE["realtime_dedup"]
 ORACLE["alert_cooldown_stream"] = ORACLE["alert_cooldown"]
 define(

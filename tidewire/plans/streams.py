@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.functions.maps import entry
+from tidewire.functions.maps import entry, rendered
 from tidewire.functions.times import at
 from tidewire.operators import ingest, quality, rollup, validate
 from tidewire.operators.alerts import alerts_rules
@@ -18,7 +18,7 @@ from tidewire.plans.catalog import COOLDOWN_SECONDS, MEASURES, QUERIES, ROLLED,
 from tidewire.schemas import EVENT_LOG, TOPIC_AGGREGATES, TOPIC_ALERTS, TOPIC_RAW
 from tidewire.session import scratch_path
 from tidewire.sources import event_log, ledger, tables
-from tidewire.streaming import jobs, marks, measures, rollups, scores
+from tidewire.streaming import boards, jobs, marks, measures, rollups, scores
 
 ALL = {"availableNow": True}
 LOG_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -288,6 +288,18 @@ def latest_state_stream(spark, sf):
     return _ntz(s, "timestamp", "ingested_at")
 
 
+@query
+def device_board_stream(spark, sf):
+    """The board as triggers make it, the newest arrivals first."""
+    stream = triggers(by_arrival(adapter.events(spark, sf), 4)[::-1], "events")
+    board = boards.board_table(scratch_path(spark, "board"), compact_every=2)
+    run(boards.board_job(stream, board, "ingested_at"), f"{board.path}-checkpoint", False)
+    found = boards.read_board(spark, board)
+    return _ntz(found, "timestamp").select(
+        "device_id", "timestamp", rendered("tags").alias("tags"), *[entry("metrics", m).alias(m) for m in MEASURES]
+    )
+
+
 @query
 def alert_cooldown_stream(spark, sf):
     """The cooldown reaches over triggers."""

@@ -15,7 +15,7 @@ from tidewire.functions.times import at
 from tidewire.operators.flatten import with_hive_partitions
 from tidewire.operators.rollup import POLICIES, refresh_range, retention_start, rollup_1m, rollup_from_1m
 from tidewire.operators.silver import CARRIED, latest_ingestion
-from tidewire.schemas import BRONZE, BRONZE_PARTITIONS, DATE, STRING, TELEMETRY, extended
+from tidewire.schemas import BRONZE, BRONZE_PARTITIONS, DATE, INT, STRING, TELEMETRY, extended
 
 WRITE_ROWS = 5_000_000
 # Stored beside silver so that ties between copies fall as in the batch operator.
@@ -200,6 +200,32 @@ def compact_silver(spark: SparkSession, path: str, target: str) -> None:
     )
 
 
+def write_by_device(rows: DataFrame, path: str, buckets: int = 64) -> None:
+    """One file per bucket of devices, ordered by device, with a bloom filter of them, so that one device is one small read."""
+    bucketed = rows.withColumn("bucket", _bucket_of(F.col("device_id"), buckets))
+    (
+        bucketed.repartition(buckets, "bucket")
+        .sortWithinPartitions("bucket", "device_id")
+        .write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#device_id", "true")
+        .option("maxRecordsPerFile", WRITE_ROWS)
+        .partitionBy("bucket")
+        .parquet(path)
+    )
+
+
+def read_device(spark: SparkSession, path: str, device_id: str, buckets: int = 64, schema: StructType | None = None) -> DataFrame:
+    """The rows of one device: only its bucket's folder is listed in the plan."""
+    stored = read_table(spark, path, schema=None if schema is None else extended(schema, bucket=INT))
+    # The bucket is worked out first, as partitions are pruned by literals.
+    bucket = spark.range(1).select(_bucket_of(F.lit(device_id), buckets)).first()[0]
+    return stored.filter((F.col("bucket") == bucket) & (F.col("device_id") == device_id)).drop("bucket")
+
+
+def _bucket_of(device: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(device), F.lit(buckets)).cast("int")
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """Paths below `root`; file contents are not read."""
     return (
