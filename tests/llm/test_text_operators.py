@@ -626,6 +626,38 @@ def test_windows_read_back(spark):
     assert chat.read_back(chat.format_windows(turns.filter("false"), queries.PIECES)).collect() == []
 
 
+def test_windows_keep_their_budget_as_written(spark):
+    rows = [(1, t, ["user", "assistant"][t % 2], "ok") for t in range(400)]
+    rows += [(2, t, "user", "") for t in range(300)] + [(3, t, "assistant", None) for t in range(50)]
+    rows += [(4, 0, "system", "be brief"), (4, 1, "user", "w " * 500), *[(4, t, "assistant", "[INST] <|x|>") for t in range(2, 90)]]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    encoder = pieces.Vocabulary.load(queries.PIECES).prepare()
+    windows = chat.format_windows(turns, queries.PIECES, budget=200, history=60)
+    found = windows.collect()
+    for r in found:
+        parts = [m[0] for m in chat.TURN.finditer(r.text)]
+        sizes = [len(i) - 2 for i in encoder.encode(parts)]
+        new = len(chat.TURN.findall(r.text, r.new_from))
+        assert sum(sizes) <= 200 or new == 1
+    per = collections.Counter(r.conv_id for r in found)
+    assert min(per.values()) > 1 and per[1] > 20
+    back = {r.conv_id: r for r in chat.read_back(windows).collect()}
+    for key in (1, 2, 3, 4):
+        own = [(r, t or "") for c, _, r, t in rows if c == key]
+        assert back[key].n_turns == len(own)
+        assert back[key].turns_sha256 == sha("".join(f"{r}\n{t}\n" for r, t in own))
+        assert back[key].loss_sha256 == sha("".join(t for r, t in own if r == "assistant"))
+
+
+def test_empty_turns_do_not_pile_up():
+    held = chat.Conversation(1024, 256)
+    windows, most = 0, 0
+    for _ in range(20_000):
+        windows += len(list(held.push("", "", 9, 0)))
+        most = max(most, len(held.pending) + len(held.past))
+    assert windows > 100 and most < 600
+
+
 def test_chat_query(spark):
     found = {r.conv_id: r for r in run("op9_chat_windows", spark)}
     planted = queries.CONTROLS_IN_TEXT

@@ -4,14 +4,15 @@ Turns are written as `<|role|>`, line feed, text, `</s>`, line feed. Control str
 are broken up by a backslash after their first character, and backslashes are doubled, so that a
 written window can be read back exactly.
 
-Prefix sums of the turns' tokens choose windows: the system turn (a conversation's first turn, if its
-role says so) stands in front of every window, then come the last turns before the window that fit
-`history` tokens, then as many new turns as fit the rest of `budget`. A window ends between turns; a
+A turn's tokens are those of the turn as written, role line, escapes and `</s>` included; they are counted where the
+rows are read, in many tasks. Prefix sums of the turns' tokens choose windows: the system turn (a conversation's first turn, if its
+role says so) stands in front of every window, then come the last turns before the window whose texts fit
+`history` tokens and that, as written, fit half of `budget`, then as many new turns as fit the rest of `budget`. A window ends between turns; a
 turn that alone exceeds the budget gets a window of its own, whole. Only the texts of new assistant turns
 are under the loss mask, so each is a target exactly once; repeated turns are context.
 
 Rows of a conversation meet in one task in the order of turns (nulls first, equal turns by role and text) and are
-streamed: no more than a few windows are held, however long the conversation. Null texts and roles are
+streamed: no more than a few windows are held, however long the conversation, as an empty turn has tokens, too. Null texts and roles are
 empty; a null id is a conversation of its own; a repeated row is a turn more. An empty table gives an empty
 one. Only the named columns are read.
 """
@@ -27,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import ROWS_PER_BATCH
-from tidewire.llm.pieces import Vocabulary
+from tidewire.llm.common import ROWS_PER_BATCH, in_batches, texts
+from tidewire.llm.pieces import Encoder, Vocabulary
 
 BUDGET = 1024
 HISTORY = 256
@@ -51,6 +52,11 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1", text)
 
 
+def written(role: str, text: str) -> tuple[str, str, str]:
+    """A turn in the template: head, escaped text, end."""
+    return f"<|{escape(role)}|>\n", escape(text), "</s>\n"
+
+
 class Conversation:
     """Takes turns one by one and gives windows as soon as they are full."""
 
@@ -62,8 +68,9 @@ class Conversation:
         self.pending_tokens = 0
         self.turns = self.windows = 0
 
-    def push(self, role: str, text: str, tokens: int) -> Iterator[dict]:
-        turn = (role, text, tokens)
+    def push(self, role: str, text: str, tokens: int, of_text: int) -> Iterator[dict]:
+        """`tokens` of the turn as written, and `of_text` alone."""
+        turn = (role, text, tokens, of_text)
         if not self.turns and role == "system":
             self.system = turn
         self.turns += 1
@@ -77,13 +84,17 @@ class Conversation:
 
     def _cut(self, last: bool) -> Iterator[dict]:
         turns = self.past + self.pending
-        sums = np.r_[0, np.cumsum([t[2] for t in turns])]
+        sums, said = (np.r_[0, np.cumsum([t[i] for t in turns])] for i in (2, 3))
+
+        def earliest(at: int) -> int:
+            """The first of the turns before a place that are its history."""
+            return int(max(np.searchsorted(said, said[at] - self.history), np.searchsorted(sums, sums[at] - self.budget // 2)))
+
         at = len(self.past)
         while at < len(turns):
             started = self.windows > 0
             fixed = self.system[2] if self.system and started else 0
-            # The earliest turn from which those before the window fit the history.
-            back = int(np.searchsorted(sums, sums[at] - self.history)) if started else at
+            back = earliest(at) if started else at
             room = self.budget - fixed - (sums[at] - sums[back])
             end = max(at + 1, int(np.searchsorted(sums, sums[at] + room, side="right")) - 1)
             if end >= len(turns) and not last:
@@ -91,7 +102,7 @@ class Conversation:
             context = ([self.system] if self.system and started else []) + turns[back:at]
             yield self._window(context, turns[at:end])
             at = end
-        keep = int(np.searchsorted(sums, sums[at] - self.history)) if self.windows else at
+        keep = earliest(at) if self.windows else at
         self.past, self.pending = turns[keep:at], turns[at:]
         if self.past and self.past[0] is self.system:
             self.past = self.past[1:]
@@ -101,13 +112,13 @@ class Conversation:
         # The system turn is in front already; the history doesn't repeat it.
         context = context[:1] + [t for t in context[1:] if t is not self.system]
         out, length, targets, new_from = [], 0, [], 0
-        for n, (role, text, _) in enumerate(context + new):
+        for n, (role, text, *_) in enumerate(context + new):
             if n == len(context):
                 new_from = length
-            head, body = f"<|{escape(role)}|>\n", escape(text)
+            head, body, end = written(role, text)
             if n >= len(context) and role == TARGET_ROLE:
                 targets.append({"start": length + len(head), "stop": length + len(head) + len(body)})
-            out.append(f"{head}{body}</s>\n")
+            out.append(head + body + end)
             length += len(out[-1])
         self.windows += 1
         return {"window": self.windows - 1, "text": "".join(out), "new_from": new_from, "targets": targets}
@@ -136,22 +147,22 @@ def format_windows(
     vocabulary = Vocabulary.load(model_path)
     kind = turns.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocabulary.prepare()
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sizes = [len(i) - 2 for i in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
-                yield batch.append_column("tokens", pa.array(sizes, pa.int64()))
+    def count(batch: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
+        said = texts(batch, "text")
+        whole = ["".join(written(r, t)) for r, t in zip(texts(batch, "role"), said, strict=True)]
+        for name, turns_ in (("tokens", whole), ("of_text", said)):
+            batch = batch.append_column(name, pa.array([len(i) - 2 for i in encoder.encode(turns_)], pa.int64()))
+        return batch
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def windows() -> Iterator[dict]:
             conversation, current = None, None
-            for name, row, starts in by_key(counted(), "key"):
+            for name, row, starts in by_key(batches, "key"):
                 if starts:
                     if conversation:
                         yield from ({"key": current} | w for w in conversation.finish())
                     conversation, current = Conversation(budget, history), name
-                found = conversation.push(row["role"] or "", row["text"] or "", row["tokens"])
+                found = conversation.push(row["role"] or "", row["text"] or "", row["tokens"], row["of_text"])
                 yield from ({"key": current} | w for w in found)
             if conversation:
                 yield from ({"key": current} | w for w in conversation.finish())
@@ -159,11 +170,10 @@ def format_windows(
         yield from in_chunks(windows(), out)
 
     out = _arrow_schema(turns, key)
-    ordered = (
-        turns.select(F.col(key).alias("key"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-        .repartition("key")
-        .sortWithinPartitions("key", "turn", "role", "text")
-    )
+    rows = turns.select(F.col(key).alias("key"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    counted = in_batches(rows, count, f"{schema}, tokens bigint, of_text bigint", vocabulary.prepare)
+    ordered = counted.repartition("key").sortWithinPartitions("key", "turn", "role", "text")
     return ordered.mapInArrow(run, f"key {kind}, {WINDOWS}").withColumnRenamed("key", key)
 
 
