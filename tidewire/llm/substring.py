@@ -35,6 +35,7 @@ from tidewire.session import cut_lineage
 WINDOW = 35
 ANCHOR = 8
 CROWDED = 1_000
+HOT_SHARE = 1 << 12
 SHARD_WORDS = 1_000_000
 
 _rng = np.random.default_rng(20240607)
@@ -367,8 +368,13 @@ def repeats(rows: DataFrame, crowded_from: int = CROWDED) -> DataFrame:
     words = whole.agg(F.sum(F.length("words") / 8)).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(words) // SHARD_WORDS))
     masks = met.join(search_shards(whole, shards), ["anchor", "segment"]).select("row", F.shiftright("place", 8).alias("start"), "mask")
-    often = single.groupBy("segment").agg(F.sum("n").alias("n")).filter("n > 1").select("segment")
-    singles = single.join(often, "segment", "left_semi").select("row", F.shiftright("place", 8).alias("start"), F.lit(1).cast("long").alias("mask"))
+    counted = single.groupBy("segment").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).filter("n > 1")
+    often = cut_lineage(counted.select("segment", (F.col("rows") > single.count() // HOT_SHARE + 1).alias("hot")), "often")
+    # Fewer than HOT_SHARE windows have that many rows; their rows stay where they are.
+    hot = F.broadcast(often.filter("hot"))
+    others = single.join(hot, "segment", "left_anti").join(often.filter("NOT hot"), "segment", "left_semi")
+    found = single.join(hot, "segment", "left_semi").unionByName(others)
+    singles = found.select("row", F.shiftright("place", 8).alias("start"), F.lit(1).cast("long").alias("mask"))
     return masks.unionByName(singles).distinct().groupBy("row").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
 
 
