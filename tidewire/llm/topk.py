@@ -12,6 +12,11 @@ is scored the same way if that reads fewer postings than the other terms have; e
 only documents whose sum reaches the k-th best are scored. The
 shards' k best are merged exactly: score rounded to six decimals, then the smaller key.
 
+Shards are searched in rounds, `FIRST_SHARDS` of them, then twice as many, and so on. After a round each query's k-th best
+so far is its floor; a shard of the next round closes all documents that are bounded below the floor, itself as a whole
+if its terms' largest impacts are, and returns only what reaches it. So the rows that leave the shards are some k a round
+for each query, whatever the number of shards. A round with fewer shards than there are cores deals its queries over several tasks.
+
 Queries are rows themselves; each of a query's distinct terms counts once. They go to the shards in blocks of at
 most `QUERY_TERMS` terms (one query at least), collected and broadcast one after the other, as the written index stays where it is.
 
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +39,7 @@ from pyspark.sql import functions as F
 from tidewire.llm.common import in_batches, texts
 from tidewire.llm.simhash import LOWER
 from tidewire.llm.substring import word_hashes
-from tidewire.session import cut_lineage
+from tidewire.session import cut_lineage, scratch_path
 
 K1, B = 1.2, 0.75
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -43,6 +49,7 @@ BLOCK_DOCS = 64
 QUERY_TERMS = 4_000_000
 RARE_SHARE = 16
 VISIT = 64
+FIRST_SHARDS = 8
 DIGITS = 6
 
 FOUND = "query_row bigint, key bigint, score double"
@@ -104,10 +111,11 @@ def build_shards(terms: DataFrame, shards: int) -> DataFrame:
             "terms": pa.compute.list_flatten(lists).to_numpy().astype(np.int64),
             "often": pa.compute.list_flatten(shard.column("often")).to_numpy().astype(np.int32),
         }
-        sums = {"docs": pa.array([shard.num_rows], pa.int64()), "words": pa.array([int(data["lengths"].sum())], pa.int64())}
+        number = shard.column("shard")[0].as_py()
+        sums = {"shard": pa.array([number], pa.int64()), "docs": pa.array([shard.num_rows], pa.int64()), "words": pa.array([int(data["lengths"].sum())], pa.int64())}
         return pa.table(sums | {name: pa.array([values.tobytes()], pa.binary()) for name, values in data.items()})
 
-    schema = "docs bigint, words bigint, keys binary, no_key binary, lengths binary, sizes binary, terms binary, often binary"
+    schema = "shard bigint, docs bigint, words bigint, keys binary, no_key binary, lengths binary, sizes binary, terms binary, often binary"
     dealt = terms.filter("length > 0").withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(build, schema)
 
@@ -159,12 +167,14 @@ class Shard:
         order = np.lexsort((self.keys[best], self.no_key[best], -scores))[:k]
         return best[order], scores[order]
 
-    def search(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents and their scores."""
+    def search(self, terms: np.ndarray, idf: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """The k best documents that score `least` or more, and their scores."""
         at = np.minimum(np.searchsorted(self.names, terms), len(self.names) - 1)
         here = self.names[at] == terms
         at, idf = at[here], idf[here]
-        if not len(at):
+        # Ties with the k-th are looked at, too: the smaller key wins.
+        slack = 10**-DIGITS
+        if not len(at) or idf @ self.most[at] < least - slack:
             return np.empty(0, dtype=np.int64), np.empty(0)
         self.weights[at] = idf
         rare = self.starts[at + 1] - self.starts[at] <= self.n // RARE_SHARE
@@ -173,16 +183,14 @@ class Shard:
         places, sizes = self._slices(self.block_starts, at[~rare])
         bounds = np.bincount(self.block_of[places], np.repeat(idf[~rare], sizes) * self.block_most[places], minlength=self.blocks)
         most = sums + np.repeat(bounds, BLOCK_DOCS)[: self.n]
-        best, scores, floor = np.empty(0, dtype=np.int64), np.empty(0), 0.0
-        open_ = np.flatnonzero(most > 0)
+        best, scores, floor = np.empty(0, dtype=np.int64), np.empty(0), least
+        open_ = np.flatnonzero((most > 0) & (most >= floor - slack))
         if len(open_) > VISIT:
             split = np.argpartition(-most[open_], VISIT)
             visit, open_ = open_[split[:VISIT]], open_[split[VISIT:]]
             best, scores = self._better(best, scores, visit, k)
             if len(best) == k:
-                floor = scores[-1]
-        # Ties with the k-th are looked at, too: the smaller key wins.
-        slack = 10**-DIGITS
+                floor = max(floor, scores[-1])
         open_ = open_[most[open_] >= floor - slack]
         frequent = at[~rare]
         if (self.begin[open_ + 1] - self.begin[open_]).sum() > (self.starts[frequent + 1] - self.starts[frequent]).sum():
@@ -194,17 +202,22 @@ class Shard:
         if len(open_):
             best, scores = self._better(best, scores, open_, k)
         self.weights[at] = 0
-        return best, scores
+        reach = scores >= least
+        return best[reach], scores[reach]
 
 
-def search_block(index: DataFrame, queries: pa.Table, n_docs: int, mean_length: float, k: int) -> DataFrame:
-    """(`query_row`, `key`, `score`) of each shard's k best for a block of queries."""
+def search_round(shards: DataFrame, queries: pa.Table, floors: np.ndarray, n_docs: int, mean_length: float, k: int) -> DataFrame:
+    """(`query_row`, `key`, `score`) of each shard's k best that reach the floor, for a block of queries.
+
+    `slice` and `slices` of a shard's row say which of the queries are its.
+    """
     queries = queries.combine_chunks()
     counts = pa.compute.list_flatten(queries.column("counts")).to_numpy()
     ends = np.cumsum(pa.compute.list_value_length(queries.column("terms")).to_numpy())[:-1]
-    sent = index.sparkSession.sparkContext.broadcast(
+    sent = shards.sparkSession.sparkContext.broadcast(
         (
             queries.column("row").to_numpy(),
+            floors,
             pa.compute.list_flatten(queries.column("terms")).to_numpy(),
             np.log(1 + (n_docs - counts + 0.5) / (counts + 0.5)),
             ends,
@@ -214,25 +227,57 @@ def search_block(index: DataFrame, queries: pa.Table, n_docs: int, mean_length:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = Shard(batch.slice(i, 1).to_pylist()[0], mean_length)
+                row = batch.slice(i, 1).to_pylist()[0]
+                shard = Shard(row, mean_length)
                 rows, keys, no_key, scores = [], [], [], []
-                asked, terms_of_all, idf_of_all, ends = sent.value
-                for row, terms, idf in zip(asked, np.split(terms_of_all, ends), np.split(idf_of_all, ends), strict=True):
-                    docs, found = shard.search(terms, idf, k)
-                    rows.append(np.full(len(docs), row))
+                asked, floors, terms_of_all, idf_of_all, ends = sent.value
+                own = zip(asked, floors, np.split(terms_of_all, ends), np.split(idf_of_all, ends), strict=True)
+                for query, least, terms, idf in islice(own, row["slice"], None, row["slices"]):
+                    docs, found = shard.search(terms, idf, k, least)
+                    rows.append(np.full(len(docs), query))
                     keys.append(shard.keys[docs])
                     no_key.append(shard.no_key[docs])
                     scores.append(found)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(rows), pa.int64()),
-                        pa.array(np.concatenate(keys), pa.int64(), mask=np.concatenate(no_key)),
-                        pa.array(np.concatenate(scores), pa.float64()),
-                    ],
-                    ["query_row", "key", "score"],
-                )
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.concatenate(rows), pa.int64()),
+                            pa.array(np.concatenate(keys), pa.int64(), mask=np.concatenate(no_key)),
+                            pa.array(np.concatenate(scores), pa.float64()),
+                        ],
+                        ["query_row", "key", "score"],
+                    )
+
+    return shards.mapInArrow(run, FOUND)
 
-    return index.mapInArrow(run, FOUND)
+
+def best_of(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query, with `rank`."""
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("key").asc_nulls_last())
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def search_rounds(index: DataFrame, rounds: int, queries: pa.Table, n_docs: int, mean_length: float, k: int) -> DataFrame:
+    """The k best of all shards for a block of queries."""
+    spark, kept = index.sparkSession, None
+    asked = queries.column("row").to_numpy()
+    floors, cores = np.zeros(len(asked)), spark.sparkContext.defaultParallelism
+    order = np.argsort(asked)
+    for n in range(rounds):
+        slices = max(1, -(-cores // (FIRST_SHARDS << n)))
+        shards = index.filter(F.col("round") == n).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        shards = shards.withColumn("slices", F.lit(slices))
+        if slices > 1:
+            shards = shards.repartition(slices * FIRST_SHARDS << n, "shard", "slice")
+        found = search_round(shards, queries, floors, n_docs, mean_length, k)
+        if kept is not None:
+            found = found.unionByName(kept.drop("rank"))
+        kept = cut_lineage(best_of(found, k), "found")
+        # One number per query of the block.
+        last = kept.filter(F.col("rank") == k).select("query_row", "score").toArrow()
+        at = order[np.searchsorted(asked, last.column("query_row").to_numpy(), sorter=order)]
+        floors[at] = last.column("score").to_numpy()
+    return kept
 
 
 def top_k(docs: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,7 +287,14 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", t
     n_rows = docs.count()
     if not n_rows:
         return empty
-    index = cut_lineage(build_shards(term_rows(docs, key, text), -(-n_rows // SHARD_DOCS)), "index")
+    n_shards = -(-n_rows // SHARD_DOCS)
+    built = build_shards(term_rows(docs, key, text), n_shards)
+    # Round n has the shards from FIRST_SHARDS * (2 ^ n - 1) on.
+    path = scratch_path(spark, "index")
+    by_round = built.withColumn("round", F.floor(F.log2(F.floor(F.col("shard") / FIRST_SHARDS) + 1)).cast("int"))
+    by_round.write.partitionBy("round").parquet(path)
+    index = spark.read.schema(by_round.schema).parquet(path)
+    rounds = ((n_shards - 1) // FIRST_SHARDS + 1).bit_length()
     n_docs, words = index.agg(F.sum("docs"), F.sum("words")).first()
     asked = cut_lineage(term_rows(docs.filter(is_query), key, text).filter("length > 0").dropDuplicates(["row"]), "queries")
     per_term = asked.select("row", F.explode("terms").alias("term")).join(document_counts(index), "term")
@@ -257,13 +309,12 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, key: str = "doc_id", t
         for low, high in _blocks(counted):
             block = counted.filter(F.col("row").between(low, high)).toArrow()
             if block.num_rows:
-                parts.append(cut_lineage(search_block(index, block, n_docs, words / n_docs, k), "found"))
+                parts.append(search_rounds(index, rounds, block, n_docs, words / n_docs, k))
     finally:
         spark.conf.set(ARROW_ROWS, before)
     if not parts:
         return empty
-    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("key").asc_nulls_last())
-    merged = reduce(DataFrame.unionAll, parts).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    merged = reduce(DataFrame.unionAll, parts)
     names = asked.select(F.col("row").alias("query_row"), F.col("key").alias("query_id"))
     return merged.join(names, "query_row").select("query_id", "rank", F.col("key").alias(key), "score")
 
