@@ -4,10 +4,11 @@ A trigger drops rows whose key has a mark less than the TTL before them, and app
 all in JVM joins. What it accepts is written once, and is itself the newest part of the marks:
 
     accepted/batch_id=<n>               accepted rows of trigger n, also a table for streams behind this one
-    marks/fold=<n>/hour=<h>/bucket=<b>  marks of all triggers between two folds, by hour of arrival and hash of the key
+    marks/fold=<n>/hour=<h>             marks of all triggers between two folds, by hour of arrival, in the order of `bucket`
     folds/version=<n>                   when fold n was made and the newest mark in it
 
-A trigger reads the hours that can still block one of its rows, and the buckets that its keys fall into. Every
+A trigger reads the hours that can still block one of its rows, and of their files the row groups of the buckets, hashes of
+the key, that its rows fall into. Every
 `fold_every` triggers the accepted rows since the last fold become marks. A fold goes, folder and all, once both the
 wall clock and the log's clock have passed its marks by the TTL, so neither a lagging log partition nor a stream that
 stood still loses a mark. A repeated trigger finds its accepted rows and writes nothing.
@@ -25,7 +26,6 @@ from pyspark.sql.types import StructType
 
 from tidewire.functions.times import micros
 from tidewire.operators.dedup import PROCESSED_TTL_SECONDS
-from tidewire.operators.joins import fits
 from tidewire.operators.spacing import keep_spaced
 from tidewire.schemas import BIGINT, INT, extended, record
 from tidewire.session import cut_lineage
@@ -63,17 +63,19 @@ class Marks:
         paths = [f"{self.path}/accepted/batch_id={n}" for n in batch_ids]
         return spark.read.schema(self.schema).parquet(*paths) if paths else spark.createDataFrame([], self.schema)
 
-    def known(self, spark: SparkSession, batch_id: int, low: int, buckets: list[int]) -> DataFrame:
-        """Marks after `low` of the given buckets, set before this trigger."""
+    def known(self, spark: SparkSession, batch_id: int, low: int, buckets: list[int]) -> DataFrame | None:
+        """Marks after `low` of the given buckets, set before this trigger; none before the first."""
         folds = [n for n in tables.numbered(spark, f"{self.path}/folds", "version") if n <= batch_id]
         since = folds[-1] if folds else 0
         recent = [n for n in tables.numbered(spark, f"{self.path}/accepted", "batch_id") if since <= n < batch_id]
         found = self._as_marks(self.accepted(spark, recent))
         stored = [p for n in folds if tables.exists(spark, p := f"{self.path}/marks/fold={n}")]
+        if not recent and not stored:
+            return None
         if stored:
             kinds = {f.name: f.dataType for f in self.schema.fields}
-            schema = record(**{k: kinds[k] for k in self.keys}, mark=BIGINT)
-            old = spark.read.schema(extended(schema, fold=BIGINT, hour=BIGINT, bucket=INT)).option("basePath", f"{self.path}/marks").parquet(*stored)
+            schema = record(**{k: kinds[k] for k in self.keys}, mark=BIGINT, bucket=INT)
+            old = spark.read.schema(extended(schema, fold=BIGINT, hour=BIGINT)).option("basePath", f"{self.path}/marks").parquet(*stored)
             hours = F.col("hour") >= low // 3_600_000_000
             found = found.unionByName(old.filter(hours & F.col("bucket").isin(buckets)).drop("fold", "hour", "bucket"))
         return found.filter(F.col("mark") > low)
@@ -97,11 +99,13 @@ class Marks:
             if low is None:
                 return rows.write.mode("overwrite").parquet(target)
             known = self.known(spark, batch_id, low - gap, sorted(buckets))
-            asked = rows.select(*self.keys).distinct()
-            asked = F.broadcast(asked) if fits(asked) else asked
-            blocks = cut_lineage(known.join(asked, self.keys, "left_semi").groupBy(*self.keys).agg(F.max("mark").alias("mark")), "blocks")
-            blocks = F.broadcast(blocks) if fits(blocks) else blocks
-            free = rows.join(blocks, self.keys, "left").filter(F.col("mark").isNull() | (at >= F.col("mark") + gap)).drop("mark")
+            free = rows
+            if known is not None:
+                # Both sides are known in size when they meet, so Spark broadcasts the smaller one if it is small.
+                asked = known.join(rows.select(*self.keys).distinct(), self.keys, "left_semi")
+                blocks = cut_lineage(asked.groupBy(*self.keys).agg(F.max("mark").alias("mark")), "blocks")
+                held = rows.join(blocks, self.keys, "left")
+                free = held.filter(F.col("mark").isNull() | (at >= F.col("mark") + gap)).drop("mark")
             keep_spaced(free, self.keys, self.arrival, self.ttl, self.ties).write.mode("overwrite").parquet(target)
         finally:
             rows.unpersist()
@@ -112,11 +116,10 @@ class Marks:
         since = max((n for n in folds if n < batch_id), default=0)
         batches = [n for n in tables.numbered(spark, f"{self.path}/accepted", "batch_id") if since <= n < batch_id]
         marks = self._as_marks(self.accepted(spark, batches)).groupBy(*self.keys).agg(F.max("mark").alias("mark"))
-        marks = marks.withColumns({"hour": F.floor(F.col("mark") / 3_600_000_000), "bucket": self._bucket()})
+        marks = marks.withColumns({"bucket": self._bucket(), "hour": F.floor(F.col("mark") / 3_600_000_000)})
         target = f"{self.path}/marks/fold={batch_id}"
-        marks.repartition("bucket").sortWithinPartitions("hour", "bucket").write.mode("overwrite").partitionBy("hour", "bucket").parquet(target)
-        newest = spark.read.schema(extended(marks.drop("hour", "bucket").schema, hour=BIGINT, bucket=INT)).parquet(target).agg(F.max("mark")).first()[0]
-        newest = newest or 0
+        marks.repartition("bucket").sortWithinPartitions("hour", "bucket").write.mode("overwrite").partitionBy("hour").parquet(target)
+        newest = spark.read.schema(marks.schema).parquet(target).agg(F.max("mark")).first()[0] or 0
         made = [(n, *spark.read.schema(FOLD).parquet(f"{self.path}/folds/version={n}").first()) for n in folds if n < batch_id]
         now, gap = float(self.clock()), self.ttl * 1_000_000
         log_clock = max([newest, *[m for _, _, m in made]])
