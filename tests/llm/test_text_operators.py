@@ -524,7 +524,7 @@ def small(h):
     return (h % (1 << 64)) >> 33
 
 
-def plain_fingerprint(text):
+def plain_syncmers(text):
     tokens = [spark_hash(t) for t in re.findall(r"[^\x20\x09-\x0D]{1,6}", text)]
     pairs = [spark_hash(a, b) for a, b in zip(tokens, [*tokens[1:], None], strict=True)]
     found = []
@@ -552,10 +552,10 @@ def test_fingerprints_against_plain_ones(spark, documents):
     texts = [d[1] for d in documents]
     for n, (key, text, *_) in enumerate(documents):
         following, cut, r = texts[(n + 1) % len(texts)], len(text) // 4, found[key]
-        own, edited = plain_fingerprint(text), plain_fingerprint(text[: len(text) - cut] + following[:cut])
+        own, edited = plain_syncmers(text), plain_syncmers(text[: len(text) - cut] + following[:cut])
         assert (r.fingerprint, r.edited_fingerprint) == (own[0], edited[0])
         assert r.near_edited == pytest.approx(plain_likeness(own[1], edited[1]))
-        assert r.near_next == pytest.approx(plain_likeness(own[1], plain_fingerprint(following)[1]))
+        assert r.near_next == pytest.approx(plain_likeness(own[1], plain_syncmers(following)[1]))
 
 
 def test_one_changed_word_of_a_long_text_shows(spark):
