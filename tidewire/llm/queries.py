@@ -194,12 +194,15 @@ inner_parts AS (
   SELECT lang, f, array_to_string(w[s:s + k - 1], ' ') AS phrase
   FROM parts, (SELECT unnest([2, 3]) AS k), (SELECT unnest([1, 2, 3]) AS s) WHERE k < m AND s + k - 1 <= m
 ), longer AS (SELECT lang, phrase, max(f) AS most FROM inner_parts GROUP BY ALL),
-cuts AS (
-  SELECT p.lang, p.phrase, p.f AS a, k, l.f AS l, r.f AS r,
-         ((2000000::HUGEINT * p.f) // (l.f::HUGEINT + r.f::HUGEINT))::BIGINT AS score
-  FROM parts p, (SELECT unnest([1, 2, 3]) AS k), grams l, grams r
-  WHERE k < p.m AND l.lang = p.lang AND l.phrase = array_to_string(p.w[1:k], ' ')
-    AND r.lang = p.lang AND r.phrase = array_to_string(p.w[k + 1:p.m], ' ')
+cutting AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first_part, array_to_string(w[k + 1:m], ' ') AS rest
+  FROM parts, (SELECT unnest([1, 2, 3]) AS k) WHERE k < m
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r,
+         ((2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f::HUGEINT))::BIGINT AS score
+  FROM cutting c
+  JOIN grams l ON l.lang = c.lang AND l.phrase = c.first_part
+  JOIN grams r ON r.lang = c.lang AND r.phrase = c.rest
 ), lowest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts) WHERE nth = 1
 ), kept AS (
