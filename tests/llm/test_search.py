@@ -2,11 +2,14 @@
 
 import collections
 import math
+import pickle
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import SparkContext
+from pyspark.sql import functions as F
 
 from tidewire.llm import topk
 
@@ -34,7 +37,7 @@ def parts(spark, texts):
     asked = terms.filter("key % 3 = 0").orderBy("key").collect()
     block = pa.table({"row": [r.key for r in asked], "terms": [r.terms for r in asked], "counts": [[counts[t] for t in r.terms] for r in asked]})
     row = index.toArrow().to_pylist()[0]
-    return row, row["words"] / row["n_docs"], topk.Queries(block, len(texts))
+    return row, row["words"] / row["n_docs"], topk.Queries.of(block, len(texts))
 
 
 def by_hand(texts, query):
@@ -73,3 +76,14 @@ def test_queries_run_through_a_shard_together(texts, parts, sizes, monkeypatch):
     assert again == expected
     assert sum(opened) <= without and (topk.BLOCK_DOCS == 64 or sum(opened) < 0.9 * len(which) * shard.blocks)
     assert list(shard.search_some(queries, which, floors + 1000, K)) == []
+
+
+def test_broadcasts_are_read_without_the_package(spark, texts, monkeypatch):
+    sent, broadcast = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda sc, value: sent.append(pickle.dumps(value)) or broadcast(sc, value))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = topk.top_k(docs, F.col("doc_id") % 50 == 0, K).collect()
+    for query in range(0, len(texts), 50):
+        own = sorted((r.rank, r.doc_id, r.score) for r in found if r.query_id == query)
+        assert [(key, score) for _, key, score in own] == by_hand(texts, query)
+    assert sent and not any(b"tidewire" in value for value in sent)
